@@ -131,19 +131,35 @@ def parse(page: str) -> list[list]:
     return nodes
 
 
-def _parse_batch(pages: pa.Array) -> pa.Array:
-    columns, offsets = [[] for _ in range(9)], [0]
-    for page in pages.to_pylist():
-        for column, values in zip(columns, zip(*parse(page)) if page else ()):
-            column.extend(values)
-        offsets.append(len(columns[0]))
-    names = ["no", "parent", "last", "nth", "tag", "id", "class", "href", "text"]
+NAMES = ["no", "parent", "last", "nth", "tag", "id", "class", "href", "text"]
+CHUNK = 50_000
+
+
+def _as_array(pages: list[list[list]]) -> pa.Array:
+    offsets = [0]
+    for found in pages:
+        offsets.append(offsets[-1] + len(found))
+    columns = list(zip(*(row for found in pages for row in found))) or [()] * len(NAMES)
     arrays = [pa.array(c, pa.int32() if i < 4 else pa.string()) for i, c in enumerate(columns)]
     return pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(arrays, names=names)
+        pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(arrays, names=NAMES)
     )
 
 
+def _parse_batch(pages: pa.Array) -> pa.Array:
+    """Parse a batch, turning nodes into Arrow every ``CHUNK`` nodes to keep few Python objects."""
+    done, pending, size = [], [], 0
+    for page in pages:
+        text = page.as_py()
+        found = parse(text) if text else []
+        pending.append(found)
+        size += len(found)
+        if size >= CHUNK:
+            done.append(_as_array(pending))
+            pending, size = [], 0
+    return pa.concat_arrays([*done, _as_array(pending)])
+
+
 def nodes(page: Column) -> Column:
     """The nodes of an HTML text."""
 

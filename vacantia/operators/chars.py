@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # --- fixed values: ASCII meaning of the classes -------------------------------------------------
 SPECIAL = r"[^\w\s]"
 BLANKS_AND_DIGITS = r"[\s\d]+"
-BLANKS = r"\s+"
 
 
 def collapse_digits(c: Column) -> Column:
@@ -48,21 +47,13 @@ def apply_decisions(chars: DataFrame, decisions: DataFrame) -> DataFrame:
     return stored.unionByName(answered).groupBy("ch").agg(latest.alias("is_word"))
 
 
-def _class_of(chars: DataFrame) -> Column:
-    """A character class of the table's characters as a scalar subquery; NULL if there are none.
+def _members(chars: DataFrame) -> Column:
+    """The table's characters as the inside of a character class, by a scalar subquery.
 
-    The class is at most the alphabet, however large the text.
+    It is at most as long as the alphabet, however large the text.
     """
     escaped = F.concat(F.lit(r"\x{"), F.hex(F.ascii("ch")), F.lit("}"))
-    return chars.agg(
-        F.when(
-            F.count("*") > 0,
-            F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_set(escaped)), ""), F.lit("]")),
-        )
-    ).scalar()
-
-
-NEVER = "(?!)"
+    return chars.agg(F.array_join(F.sort_array(F.collect_set(escaped)), "")).scalar()
 
 
 def normalise_text(
@@ -72,21 +63,22 @@ def normalise_text(
 
     ``unknown`` says what happens to characters the table does not hold: ``keep`` them, ``blank``
     them, or ``flag`` rows that have some in a column ``has_unclassified``. A text without any
-    special character is only collapsed, whatever the table says.
+    special character is only collapsed, whatever the table says. All that becomes a blank is one
+    character class, so a text is rewritten in one pass.
     """
     if unknown not in ("keep", "blank", "flag"):
         raise ValueError(f"unknown is 'keep', 'blank' or 'flag', not {unknown!r}")
-    base = F.col("_base")
-    non_word = F.coalesce(_class_of(chars.filter(~F.col("is_word"))), F.lit(NEVER))
-    known = F.coalesce(_class_of(chars), F.lit(""))
-    unclassified = F.concat(F.lit(r"[\W&&\S"), F.when(known != "", F.concat(F.lit("&&[^"), known, F.lit("]"))).otherwise(""), F.lit("]"))
-    replaced = F.regexp_replace(base, non_word, F.lit(" "))
+    text = F.col(col)
+    known = _members(chars)
+    open_chars = F.concat(
+        F.lit(r"[\W&&\S"), F.when(known != "", F.concat(F.lit("&&[^"), known, F.lit("]"))).otherwise(""),
+        F.lit("]"),
+    )
+    blanked = [F.lit(r"[\s\d"), _members(chars.filter(~F.col("is_word")))]
     if unknown == "blank":
-        replaced = F.regexp_replace(replaced, unclassified, F.lit(" "))
-    text = F.when(
-        base.rlike(SPECIAL), F.btrim(F.regexp_replace(replaced, BLANKS, " "))
-    ).otherwise(base)
-    collapsed = df.withColumn("_base", collapse_digits(F.col(col)))
+        blanked.append(open_chars)
+    rewritten = F.btrim(F.regexp_replace(text, F.concat(*blanked, F.lit("]+")), F.lit(" ")))
+    columns = {out or col: F.when(text.rlike(SPECIAL), rewritten).otherwise(collapse_digits(text))}
     if unknown == "flag":
-        collapsed = collapsed.withColumn("has_unclassified", F.regexp_like(base, unclassified))
-    return collapsed.withColumn(out or col, text).drop("_base")
+        columns["has_unclassified"] = F.regexp_like(text, open_chars)
+    return df.withColumns(columns)

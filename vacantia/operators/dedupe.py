@@ -16,23 +16,40 @@ def first_seen(
     An aggregate rather than a window: every map task reduces its rows to one per key before the
     shuffle, so a key that holds a third of all rows costs one row per map task.
     """
-    first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("first")
-    counted = [F.count("*").alias("copies")] if copies else []
-    kept = df.groupBy(*key).agg(first, *counted)
-    return kept.select("first.*", *([F.col("copies").alias(copies)] if copies else []))
-
-
-def distinct_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    return df.select(*key).distinct()
-
-
-def only_new(df: DataFrame, seen: DataFrame, key: Sequence[str] = ("source", "job_id")) -> DataFrame:
+    carried = [c for c in df.columns if c not in key]
+    aggregates = [F.min_by(F.struct(*carried), F.struct(*order)).alias("_first")]
+    if copies:
+        aggregates.append(F.count("*").alias(copies))
+    # The key comes from the grouping, so a later join on it finds the rows in place.
+    return (
+        df.groupBy(*key)
+        .agg(*aggregates)
+        .select(
+            *(F.col(c) if c in key else F.col("_first")[c].alias(c) for c in df.columns),
+            *([copies] if copies else []),
+        )
+    )
+
+
+def only_new(
+    df: DataFrame,
+    seen: DataFrame,
+    key: Sequence[str] = ("source", "job_id"),
+    one_per_key: bool = False,
+) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``seen``; a NULL key is never in it.
 
-    Stored ids are made distinct map-side first, so repeated ids do not travel. Joining on a second
-    hash of the key gives both sides an exchange of their own, right below the join, which is where
-    AQE may split a partition that one key of ``df`` blows up.
+    Stored ids are made distinct map-side first, so repeated ids do not travel. Rows that are known
+    to hold every key once, as :func:`first_seen` leaves them, stay where they are. Others may have
+    a hot key: joining on a second hash of the key gives both sides an exchange of their own, right
+    below the join, which is where AQE can split a partition that one key blows up.
     """
-    ids = distinct_keys(seen, key).withColumn("_spread", F.xxhash64(*key))
-    rows = df.withColumn("_spread", F.xxhash64(*key))
-    return rows.join(ids, [*key, "_spread"], "left_anti").drop("_spread")
+    ids = seen.select(*key).distinct()
+    if one_per_key:
+        return df.join(ids, list(key), "left_anti")
+    spread = F.xxhash64(*key)
+    return (
+        df.withColumn("_spread", spread)
+        .join(ids.withColumn("_spread", spread), [*key, "_spread"], "left_anti")
+        .drop("_spread")
+    )

@@ -36,7 +36,7 @@ def claim(rows: DataFrame, seen: DataFrame | None) -> DataFrame:
     shuffle and stays, so that the list is read and parsed once for good and bad records.
     """
     own = F.concat_ws("\u0000", F.lit(""), *(F.col(c).cast("string") for c in ARRIVAL))
-    keyed = rows.withColumn(
+    keyed = rows.drop("query_term").withColumn(
         "claim",
         F.when(
             F.col("problem").isNull(), F.coalesce(F.col("list_id"), F.lit("\u0000"))
@@ -45,7 +45,8 @@ def claim(rows: DataFrame, seen: DataFrame | None) -> DataFrame:
     first = first_seen(keyed, CLAIM, ARRIVAL, copies="copies")
     if seen is None:
         return first
-    return only_new(first, seen.select("source", F.col("job_id").alias("claim")), CLAIM)
+    ids = seen.select("source", F.col("job_id").alias("claim"))
+    return only_new(first, ids, CLAIM, one_per_key=True)
 
 
 def attach_details(claimed: DataFrame, raw: DataFrame, source: str) -> DataFrame:

@@ -23,13 +23,15 @@ def pages_of(raw: DataFrame, source: str, kind: str = "list") -> DataFrame:
 
 def _items(pages: DataFrame) -> DataFrame:
     """One row per entry of ``entries``; a page with a problem is one row that keeps its body."""
-    exploded = pages.select(
+    # The body is given up before the explode, or every entry would carry its whole page along.
+    slim = pages.select(
         *ORIGIN,
         F.col("page_problem").alias("problem"),
         F.when(F.col("page_problem").isNotNull(), F.col("body")).alias("page_body"),
-        F.posexplode_outer(
-            F.when(F.col("page_problem").isNull(), F.col("entries"))
-        ).alias("item_no", "item"),
+        F.when(F.col("page_problem").isNull(), F.col("entries")).alias("entries"),
+    )
+    exploded = slim.select(
+        *ORIGIN, "problem", "page_body", F.posexplode_outer("entries").alias("item_no", "item")
     )
     return exploded.filter(F.col("item_no").isNotNull() | F.col("problem").isNotNull())
 

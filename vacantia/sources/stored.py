@@ -37,10 +37,11 @@ def append_seen(postings: DataFrame, path: str) -> None:
     ids.write.mode("append").text(path)
 
 
-def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A Parquet table of the engine, empty where it does not exist yet."""
+def read_table(spark: SparkSession, path: str, schema, base: str | None = None) -> DataFrame:
+    """A Parquet table of the engine, or one folder of it; empty where it does not exist yet."""
+    reader = spark.read.schema(schema).option("basePath", base or path)
     return _if_there(
-        lambda: spark.read.schema(schema).parquet(path), lambda: spark.createDataFrame([], schema)
+        lambda: reader.parquet(path), lambda: spark.createDataFrame([], schema)
     )
 
 

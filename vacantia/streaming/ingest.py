@@ -31,12 +31,28 @@ def seen_path(store: str) -> str:
     return f"{store}/seen"
 
 
-def read_records(spark: SparkSession, store: str) -> DataFrame:
-    return read_table(spark, records_path(store), RECORDS)
-
-
-def read_stored_postings(spark: SparkSession, store: str) -> DataFrame:
-    accepted = read_records(spark, store).filter(F.col("outcome") == "accepted")
+def read_records(
+    spark: SparkSession, store: str, source: str | None = None, batch_id: int | None = None
+) -> DataFrame:
+    """Classified records, of one source or one of its batches if named."""
+    return _read(spark, records_path(store), RECORDS, source, batch_id)
+
+
+def _read(spark, path, schema, source=None, batch_id=None) -> DataFrame:
+    """A table by its partition folders, so that no more of them are listed than are read."""
+    part = path
+    if source is not None:
+        part += f"/source={source}"
+        if batch_id is not None:
+            part += f"/batch_id={batch_id}"
+    return read_table(spark, part, schema, base=path)
+
+
+def read_stored_postings(
+    spark: SparkSession, store: str, source: str | None = None, batch_id: int | None = None
+) -> DataFrame:
+    records = read_records(spark, store, source, batch_id)
+    accepted = records.filter(F.col("outcome") == "accepted")
     return accepted.select(*schemas.STORED_POSTING.names, "batch_id")
 
 
@@ -45,8 +61,8 @@ def read_rejected(spark: SparkSession, store: str) -> DataFrame:
     return rejected.select("source", "list_id", "error_reason", "record", "batch_id")
 
 
-def read_stored_seen(spark: SparkSession, store: str) -> DataFrame:
-    return read_table(spark, seen_path(store), SEEN)
+def read_stored_seen(spark: SparkSession, store: str, source: str | None = None) -> DataFrame:
+    return _read(spark, seen_path(store), SEEN, source)
 
 
 def add_seen(ids: DataFrame, store: str) -> None:
@@ -72,8 +88,7 @@ def ingest_batch(
     spark = landed.sparkSession
     seen = None
     if incremental:
-        known = read_stored_seen(spark, store)
-        seen = known.filter((F.col("source") == source) & (F.col("batch_id") != batch_id))
+        seen = read_stored_seen(spark, store, source).filter(F.col("batch_id") != batch_id)
     rows = CLASSIFY[source](landed, seen).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     partitions = ["source", "batch_id", "outcome"]
     if incremental:
@@ -84,9 +99,7 @@ def ingest_batch(
             "partitionOverwriteMode", "static"
         ).partitionBy(*partitions[1:]).parquet(f"{records_path(store)}/source={source}")
         return
-    written = read_stored_postings(spark, store).filter(
-        (F.col("source") == source) & (F.col("batch_id") == batch_id)
-    )
+    written = read_stored_postings(spark, store, source, batch_id)
     # Both the id a posting was listed under and its own: either one marks it as stored.
     ids = written.select(
         "source", F.explode(F.array_distinct(F.array("list_id", "job_id"))).alias("job_id"),
