@@ -38,7 +38,11 @@ def filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "overwrite") -> None:
-    """Write CSV with a header, quoting only where needed, quotes doubled."""
+    """Write CSV with a header, quoting only where needed, quotes doubled.
+
+    Rows end with a plain line feed: the writer would turn every line feed inside a text into
+    whatever longer row end it is given.
+    """
     (
         filled(df, columns)
         .write.mode(mode)
@@ -47,7 +51,7 @@ def export_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "ov
         .option("escape", '"')
         .option("emptyValue", "")
         .option("nullValue", "")
-        .option("lineSep", "\r\n")
+        .option("lineSep", "\n")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
