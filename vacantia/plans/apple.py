@@ -43,11 +43,9 @@ def sections(doc: Column, *at: str) -> Column:
     return F.array_compact(F.array(*made)).cast(schemas.LISTINGS)
 
 
-def classify_apple(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    claimed = common.claim(list_records(raw), seen)
-    rows = common.attach_details(claimed, raw, SOURCE).withColumn(
-        "doc", F.try_parse_json("detail_body")
-    )
+def details(raw: DataFrame) -> DataFrame:
+    """Fields of the detail pages; a page that cannot be read keeps its body with the problem."""
+    pages = common.detail_pages(raw, SOURCE).withColumn("doc", F.try_parse_json("body"))
     doc = F.col("doc")
     info = J.member(doc, "requisitionInfo")
     fields = J.member(doc, "reqTextFields")
@@ -59,41 +57,54 @@ def classify_apple(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     opened = J.text_field(doc, "requisitionInfo", "reqOpenDt")
     day, day_problem = J.date_field(opened, day_month_date, "reqOpenDt")
     comments = J.text_field(doc, "jobComments")
-    function = F.when(F.col("item.jobfunction") != "", F.col("item.jobfunction"))
     zero = ~J.is_text(form) & (form_id.try_cast("double") == 0)
+    problem = F.coalesce(
+        F.when(doc.isNull(), F.lit("body is not JSON")),
+        F.when(~J.is_object(doc), F.lit("body is not an object")),
+        F.when(info.isNotNull() & ~J.is_object(info), F.lit("requisitionInfo is not an object")),
+        title.problem,
+        F.when(
+            (title.value == "") | form.isNull() | F.coalesce(zero, F.lit(False)),
+            F.lit("title or id is missing"),
+        ),
+        F.when(form_id.isNull(), F.lit("formId is null")),
+        place.problem,
+        state.problem,
+        day_problem,
+        comments.problem,
+        F.when(fields.isNotNull() & ~J.is_object(fields), F.lit("reqTextFields is not an object")),
+    )
+    return pages.select(
+        "*",
+        problem.alias("detail_problem"),
+        form_id.alias("job_id"),
+        X.strip(title.value).alias("title"),
+        X.strip(X.place_with_state(place.value, state.value)).alias("place"),
+        day.alias("day"),
+        X.strip(comments.value).alias("comments"),
+        sections(doc, "reqTextFields").alias("listings"),
+    ).withColumn("body", F.when(F.col("detail_problem").isNotNull(), F.col("body"))).drop("doc")
+
+
+def classify_apple(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    claimed = common.claim(list_records(raw), seen)
+    function = F.when(F.col("item.jobfunction") != "", F.col("item.jobfunction"))
     return common.classified(
-        rows,
+        common.attach_details(claimed, details(raw)),
         common.first_problem(
-            F.when(doc.isNull(), F.lit("body is not JSON")),
-            F.when(~J.is_object(doc), F.lit("body is not an object")),
-            F.when(
-                info.isNotNull() & ~J.is_object(info), F.lit("requisitionInfo is not an object")
-            ),
-            title.problem,
-            F.when(
-                (title.value == "") | form.isNull() | F.coalesce(zero, F.lit(False)),
-                F.lit("title or id is missing"),
-            ),
-            F.when(form_id.isNull(), F.lit("formId is null")),
-            place.problem,
-            state.problem,
-            day_problem,
-            comments.problem,
-            F.when(
-                fields.isNotNull() & ~J.is_object(fields), F.lit("reqTextFields is not an object")
-            ),
+            F.col("detail_problem"),
             F.when(function.isNull(), F.lit("jobfunction is missing")),
         ),
-        F.coalesce("detail_body", F.to_json("item"), "page_body"),
-        job_id=form_id,
-        title=X.strip(title.value),
+        F.coalesce("body", F.to_json("item"), "page_body"),
+        job_id=F.col("job_id"),
+        title=F.col("title"),
         department=X.strip(function),
-        location=X.strip(X.place_with_state(place.value, state.value)),
-        date_posted=day,
+        location=F.col("place"),
+        date_posted=F.col("day"),
         time_scraped=F.col("detail_at"),
-        url=posting_url(form_id),
-        role_description=X.strip(comments.value),
-        listings=sections(doc, "reqTextFields"),
+        url=posting_url(F.col("job_id")),
+        role_description=F.col("comments"),
+        listings=F.col("listings"),
     )
 
 

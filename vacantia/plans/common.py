@@ -15,7 +15,8 @@ from vacantia import schemas
 from vacantia.operators.dedupe import first_seen, only_new
 from vacantia.sources.landed import pages_of
 
-ARRIVAL = ["term_no", "page", "pos", "item_no"]
+PAGE_ORDER = ["term_no", "page", "pos"]
+ARRIVAL = [*PAGE_ORDER, "item_no"]
 CLAIM = ["source", "claim"]
 
 CLASSIFIED = T.StructType(
@@ -49,27 +50,31 @@ def claim(rows: DataFrame, seen: DataFrame | None) -> DataFrame:
     return only_new(first, ids, CLAIM, one_per_key=True)
 
 
-def attach_details(claimed: DataFrame, raw: DataFrame, source: str) -> DataFrame:
-    """Claimed records with their detail page; those whose page never arrived give no row.
-
-    Both sides hold one row per id and are partitioned by it. Pages are parsed after this join, so
-    only pages of claimed ids are.
-    """
-    pages = pages_of(raw, source, "detail").select(
+def detail_pages(raw: DataFrame, source: str) -> DataFrame:
+    """Landed detail pages by the id they were fetched for."""
+    pages = pages_of(raw, source, "detail").filter(
+        F.col("list_id").isNotNull() & F.col("body").isNotNull()
+    )
+    return pages.select(
         "source",
         F.col("list_id").alias("claim"),
         F.col("url").alias("detail_url"),
         F.col("fetched_at").alias("detail_at"),
-        F.col("body").alias("detail_body"),
-        "term_no", "page", "pos",
+        F.lit(True).alias("arrived"),
+        *PAGE_ORDER,
+        "body",
     )
-    details = first_seen(
-        pages.filter(F.col("claim").isNotNull()),
-        CLAIM,
-        ["detail_at", "term_no", "page", "pos", "detail_url"],
-    ).drop("term_no", "page", "pos")
-    joined = claimed.join(details, CLAIM, "left")
-    return joined.filter(F.col("detail_body").isNotNull() | F.col("problem").isNotNull())
+
+
+def attach_details(claimed: DataFrame, details: DataFrame) -> DataFrame:
+    """Claimed records with what was read from their page; no row for pages that never arrived.
+
+    ``details`` are :func:`detail_pages` with fields in place of the body: a page is read where it
+    lies, and only its fields travel. Both sides come out of an aggregate by id and join in place.
+    """
+    first = first_seen(details, CLAIM, ["detail_at", *PAGE_ORDER, "detail_url"]).drop(*PAGE_ORDER)
+    joined = claimed.drop(*PAGE_ORDER).join(first, CLAIM, "left")
+    return joined.filter(F.col("arrived") | F.col("problem").isNotNull())
 
 
 def first_problem(*problems: Column) -> Column:

@@ -34,18 +34,23 @@ def list_records(raw: DataFrame) -> DataFrame:
     ).withColumn("problem", F.coalesce("problem", "item_problem")).drop("item_problem")
 
 
+def details(raw: DataFrame) -> DataFrame:
+    pages = common.detail_pages(raw, SOURCE).withColumn("nodes", H.nodes(F.col("body")))
+    nodes = F.col("nodes")
+    found = H.select(nodes, H.tagged("div", H.has_id(DESCRIPTION)))
+    text = X.strip(H.text_of(nodes, found, "\n"))
+    return pages.withColumn("description", text).drop("nodes", "body")
+
+
 def classify_dice(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     claimed = common.claim(list_records(raw), seen)
-    rows = common.attach_details(claimed, raw, SOURCE)
-    rows = rows.withColumn("nodes", H.nodes(F.col("detail_body")))
-    item, nodes = F.col("item"), F.col("nodes")
+    item = F.col("item")
     title = J.text_field(item, "jobTitle")
     company = J.text_field(item, "company")
     place = J.text_field(item, "location")
     day, day_problem = J.date_field(J.text_field(item, "date"), iso_date, "date")
-    description = H.select(nodes, H.tagged("div", H.has_id(DESCRIPTION)))
     return common.classified(
-        rows,
+        common.attach_details(claimed, details(raw)),
         common.first_problem(title.problem, place.problem, day_problem, company.problem),
         F.coalesce(F.to_json(item), F.col("page_body")),
         job_id=F.col("list_id"),
@@ -55,7 +60,7 @@ def classify_dice(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
         date_posted=day,
         time_scraped=F.col("detail_at"),
         url=F.coalesce(F.col("detail_url"), detail_url(F.col("link"))),
-        role_description=X.strip(H.text_of(nodes, description, "\n")),
+        role_description=F.col("description"),
         listings=common.no_listings(),
     )
 

@@ -56,17 +56,14 @@ def wanted(records: DataFrame) -> DataFrame:
     )
 
 
-def classify_facebook(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    claimed = common.claim(wanted(list_records(raw)), seen)
-    rows = common.attach_details(claimed, raw, SOURCE)
-    rows = rows.withColumn("nodes", H.nodes(F.col("detail_body")))
+def details(raw: DataFrame) -> DataFrame:
+    """Fields of the detail pages; a page that cannot be read keeps its body with the problem."""
+    pages = common.detail_pages(raw, SOURCE).withColumn("nodes", H.nodes(F.col("body")))
     nodes = F.col("nodes")
-    rows = rows.withColumn("content", H.select(nodes, H.tagged("div", H.has_class(CONTENT))))
+    pages = pages.withColumn("content", H.select(nodes, H.tagged("div", H.has_class(CONTENT))))
     content = F.col("content")
     topic = H.select(nodes, H.tagged("div", H.class_contains(TOPIC)))
-    described = F.filter(
-        H.children(nodes, content, "div", 3), H.class_other_than(SECTION)
-    )
+    described = F.filter(H.children(nodes, content, "div", 3), H.class_other_than(SECTION))
     listings = F.transform(
         H.inside(nodes, content, H.tagged("div", H.has_class(SECTION))),
         lambda section: F.struct(
@@ -81,34 +78,42 @@ def classify_facebook(raw: DataFrame, seen: DataFrame | None = None) -> DataFram
             ).alias("elements"),
         ),
     )
-    rows = rows.select(
+    places = H.inside(nodes, content, H.tagged("div", H.class_contains(PLACE)))
+    apply_link = H.inside(nodes, content, H.tagged("a", H.has_id(APPLY_LINK)))
+    read = pages.select(
         "*",
         X.strip(H.text_of(nodes, H.inside(nodes, content, H.class_contains(TITLE)))).alias("title"),
-        X.joined_places(
-            H.text_of(
-                nodes, H.inside(nodes, content, H.tagged("div", H.class_contains(PLACE)))
-            )
-        ).alias("places"),
-        request_id(
-            H.first_href(H.inside(nodes, content, H.tagged("a", H.has_id(APPLY_LINK))))
-        ).alias("request_id"),
+        X.strip(H.text_of(nodes, topic)).alias("topic"),
+        X.joined_places(H.text_of(nodes, places)).alias("places"),
+        request_id(H.first_href(apply_link)).alias("job_id"),
+        X.strip(H.text_of(nodes, H.children(nodes, content, "div", 2))).alias("intro"),
+        X.strip(H.text_of(nodes, described)).alias("description"),
+        listings.cast(schemas.LISTINGS).alias("listings"),
+    ).drop("nodes", "content")
+    problem = F.coalesce(
+        F.when(F.col("places").isNull(), F.lit("location has no brackets")),
+        F.when(F.col("job_id").isNull(), F.lit("apply link has no id")),
+    )
+    return read.withColumn("detail_problem", problem).withColumn(
+        "body", F.when(F.col("detail_problem").isNotNull(), F.col("body"))
     )
+
+
+def classify_facebook(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    claimed = common.claim(wanted(list_records(raw)), seen)
     return common.classified(
-        rows,
-        common.first_problem(
-            F.when(F.col("places").isNull(), F.lit("location has no brackets")),
-            F.when(F.col("request_id").isNull(), F.lit("apply link has no id")),
-        ),
-        F.coalesce("detail_body", F.to_json("item"), "page_body"),
-        job_id=F.col("request_id"),
+        common.attach_details(claimed, details(raw)),
+        common.first_problem(F.col("detail_problem")),
+        F.coalesce("body", F.to_json("item"), "page_body"),
+        job_id=F.col("job_id"),
         title=F.col("title"),
-        department=X.strip(H.text_of(nodes, topic)),
+        department=F.col("topic"),
         location=X.strip(F.col("places")),
         time_scraped=F.col("detail_at"),
         url=F.coalesce(F.col("detail_url"), resolve(F.col("url"), F.col("item.link"))),
-        company_intro=X.strip(H.text_of(nodes, H.children(nodes, content, "div", 2))),
-        role_description=X.strip(H.text_of(nodes, described)),
-        listings=listings.cast(schemas.LISTINGS),
+        company_intro=F.col("intro"),
+        role_description=F.col("description"),
+        listings=F.col("listings"),
     )
 
 

@@ -42,6 +42,23 @@ def _place(item) -> J.Field:
     return J.Field(value, problem)
 
 
+def details(raw: DataFrame) -> DataFrame:
+    pages = common.detail_pages(raw, SOURCE).withColumn("nodes", H.nodes(F.col("body")))
+    nodes = F.col("nodes")
+    steps = H.select(nodes, H.tagged("table", H.has_id(CONTENT)))
+    for tag in CONTENT_PATH:
+        steps = H.children(nodes, steps, tag, 1)
+    pages = pages.withColumn("content", steps)
+    content = F.col("content")
+    links = H.inside(nodes, content, H.tagged("a", H.class_contains(ORIGINAL_LINK)))
+    summary = F.filter(H.children(nodes, content, "span"), H.has_id(SUMMARY))
+    return pages.select(
+        "*",
+        H.first_href(links).alias("original"),
+        X.strip(H.text_of(nodes, summary, "\n")).alias("description"),
+    ).drop("nodes", "content", "body")
+
+
 def classify_indeed(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     # The url is needed to fetch the page, after the id has been claimed.
     claimed = common.claim(list_records(raw), seen)
@@ -49,14 +66,7 @@ def classify_indeed(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     claimed = claimed.withColumn("link", link.value).withColumn(
         "problem", F.coalesce(F.col("problem"), link.problem)
     )
-    rows = common.attach_details(claimed, raw, SOURCE)
-    rows = rows.withColumn("nodes", H.nodes(F.col("detail_body")))
-    nodes = F.col("nodes")
-    steps = H.select(nodes, H.tagged("table", H.has_id(CONTENT)))
-    for tag in CONTENT_PATH:
-        steps = H.children(nodes, steps, tag, 1)
-    rows = rows.withColumn("content", steps)
-    item, content = F.col("item"), F.col("content")
+    item, original = F.col("item"), F.col("original")
     title = J.text_field(item, "jobtitle")
     place = _place(item)
     posted = J.text_field(item, "date")
@@ -65,13 +75,9 @@ def classify_indeed(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     day_problem = F.coalesce(
         posted.problem, F.when(~unread & day.isNull(), F.lit("date is not a date"))
     )
-    original = H.first_href(
-        H.inside(nodes, content, H.tagged("a", H.class_contains(ORIGINAL_LINK)))
-    )
-    summary = F.filter(H.children(nodes, content, "span"), H.has_id(SUMMARY))
     page = F.coalesce(F.col("detail_url"), F.col("link"))
     return common.classified(
-        rows,
+        common.attach_details(claimed, details(raw)),
         common.first_problem(title.problem, place.problem, day_problem),
         F.coalesce(F.to_json(item), F.col("page_body")),
         job_id=F.col("list_id"),
@@ -82,7 +88,7 @@ def classify_indeed(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
         date_posted_raw=F.when(unread & (posted.value != ""), posted.value),
         time_scraped=F.col("detail_at"),
         url=F.col("link"),
-        role_description=X.strip(H.text_of(nodes, summary, "\n")),
+        role_description=F.col("description"),
         original_url=F.when(original != "", resolve(page, original)),
         listings=common.no_listings(),
     )
