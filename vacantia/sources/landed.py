@@ -42,21 +42,18 @@ def json_items(pages: DataFrame, key: str, page_check=None) -> DataFrame:
     A missing key is an empty list. A body that is not JSON, or anything but a list under the key,
     makes the whole page a problem row. ``page_check`` adds a problem from the parsed body.
     """
-    parsed = pages.withColumn("doc", F.try_parse_json("body"))
-    doc = F.col("doc")
-    found = J.member(doc, key)
+    parsed = pages.withColumn("doc", F.try_parse_json("body")).withColumn(
+        "entries", F.try_variant_get("doc", J.path_of(key), "array<variant>")
+    )
+    doc, entries = F.col("doc"), F.col("entries")
     problem = (
         F.when(doc.isNull(), F.lit("body is not JSON"))
         .when(~J.is_object(doc), F.lit("body is not an object"))
-        .when(found.isNotNull() & ~J.is_list(found), F.lit(f"{key} is not a list"))
+        .when(entries.isNull() & J.member(doc, key).isNotNull(), F.lit(f"{key} is not a list"))
     )
     if page_check is not None:
         problem = F.coalesce(problem, page_check(doc))
-    return _items(
-        parsed.withColumn("page_problem", problem).withColumn(
-            "entries", F.try_variant_get(doc, J.path_of(key), "array<variant>")
-        )
-    )
+    return _items(parsed.withColumn("page_problem", problem))
 
 
 def xml_items(pages: DataFrame, schema: str, entries: str, page_check=None) -> DataFrame:

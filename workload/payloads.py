@@ -29,6 +29,12 @@ def raw(df, source, kind, body, *, url, list_id=None, term_no=None, page=None):
     return df.select(*(values[f.name].cast(f.dataType).alias(f.name) for f in schemas.RAW.fields))
 
 
+def spread(df):
+    """Rows dealt out evenly. A table here is one row group, hence one task; pages land in many
+    files, so this stands in for their layout and is no part of the plans under test."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def list_pages(records, source, start, separator, end, url):
     """Pages from rows ``(term_no, number, text)``, in order of the number."""
     page = (F.col("number") / PAGE_SIZE).cast("int").alias("page")
@@ -144,7 +150,7 @@ def apple(spark, sf):
         F.lit('{"requisitionInfo":'), info, F.lit(',"jobComments":" c","reqTextFields":'), fields,
         F.lit("}"),
     )
-    arrived = orders.filter(F.col(k) % 41 != 0)
+    arrived = spread(orders.filter(F.col(k) % 41 != 0))
     details = raw(
         arrived, "apple", "detail", body, list_id=number,
         url=F.lit("https://jobs.apple.com/us/requisition/detail.json"),
@@ -190,7 +196,7 @@ def facebook(spark, sf):
         F.lit("</ul></div></div></body></html>"),
     )
     details = raw(
-        docs, "facebook", "detail", body, list_id=number,
+        spread(docs), "facebook", "detail", body, list_id=number,
         url=F.concat(F.lit("https://www.facebook.com/careers/jobs/"), number, F.lit("/")),
     )
     return lists.unionByName(details)
@@ -220,7 +226,7 @@ def dice(spark, sf):
         F.lit("</div><div>Footer</div></body></html>"),
     )
     details = raw(
-        docs.filter(F.col(k) % 19 != 0), "dice", "detail", body, list_id=number,
+        spread(docs.filter(F.col(k) % 19 != 0)), "dice", "detail", body, list_id=number,
         url=F.concat(F.lit("https://www.dice.com/jobs/detail/"), number),
     )
     return lists.unionByName(details)
@@ -259,7 +265,7 @@ def indeed(spark, sf):
         F.lit("</td><td>Side</td></tr></table></td></tr></table></body></html>"),
     )
     details = raw(
-        docs.filter(F.col(k) % 19 != 0), "indeed", "detail", body, list_id=number,
+        spread(docs.filter(F.col(k) % 19 != 0)), "indeed", "detail", body, list_id=number,
         url=F.concat(F.lit("http://www.indeed.com/viewjob?jk="), number),
     )
     return lists.unionByName(details)
