@@ -116,3 +116,22 @@ def test_explode_listings(spark):
                    .alias("listings"))
     assert [tuple(r) for r in explode_listings(df).collect()] == [
         ("1", 0, "A", 0, "x"), ("1", 0, "A", 1, "y"), ("1", 2, "C", 0, "z")]
+
+
+def test_hot_id_in_a_plan(spark):
+    """A third of the list records and of the pages share one id: one posting, all copies counted."""
+    from payloads import detail, landed, page
+
+    from vacantia.plans import classify_dice
+
+    keys = ["hot" if i % 3 == 0 else f"k{i}" for i in range(300)]
+    entries = [{"detailUrl": f"http://h/result/{k}?src=1", "jobTitle": f"T{i}"}
+               for i, k in enumerate(keys)]
+    rows = [page("dice", {"resultItemList": entries[i:i + 50]}, page=i // 50)
+            for i in range(0, 300, 50)]
+    rows += [detail("dice", k, f'<div id="jobdescSec">{i}</div>', url=f"http://h/{i:03}")
+             for i, k in enumerate(keys)]
+    got = {r.job_id: r for r in classify_dice(landed(spark, rows)).collect()}
+    assert len(got) == 201 and all(r.outcome == "accepted" for r in got.values())
+    assert (got["hot"].title, got["hot"].copies, got["hot"].role_description) == ("T0", 100, "0")
+    assert (got["k299"].title, got["k299"].copies) == ("T299", 1)

@@ -59,7 +59,8 @@ def text_field(obj: Column, *keys: str, required: bool = False, name: str | None
     """A member that must be text. Missing gives ``''`` unless required; JSON null is a problem."""
     name = name or str(keys[-1])
     v = member(obj, *keys)
-    problem = F.when(v.isNotNull() & ~is_text(v), F.lit(f"{name} is not text"))
+    # The kind of a missing member is NULL, which is no problem here.
+    problem = F.when(kind(v) != "STRING", F.lit(f"{name} is not text"))
     if required:
         problem = F.when(v.isNull(), F.lit(f"{name} is missing")).otherwise(problem)
     value = F.coalesce(F.try_variant_get(obj, path_of(*keys), "string"), F.lit(""))
