@@ -39,6 +39,16 @@ def test_text_is_decoded_and_joined_over_stray_end_tags():
         ("a & b\xa0<i>c", -1), ("d", -1)]
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [("&copy;&eacute;&apos;", "\xa9\xe9'"), ("&ampx", "&ampx"), ("?a=1&copy=2", "?a=1&copy=2"),
+     ("&#65;&#x42;&#67", "ABC"), ("&nosuch;&;&", "&nosuch;&;&"), ("&amp;lt;", "&lt;"),
+     ("a&#0;&#xD800;&#99999999;b", "ab"), ("&#" + "9" * 5000 + ";&#0000065;", "A")],
+)
+def test_entities(text, want):
+    assert H.decoded(text) == want
+
+
 def test_weak_end_tag_does_not_close_a_strong_element():
     assert tree("<b><div>a</b>b</div>c") == [("b", -1), ("div", 0), ("ab", 1), ("c", 0)]
 

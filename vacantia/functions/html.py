@@ -7,9 +7,9 @@ Text is a node with tag ``#text``.
 
 from __future__ import annotations
 
-import html
 import re
 import sys
+from html.entities import name2codepoint
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -56,12 +56,33 @@ SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 
+ENTITY = re.compile(r"&(?:#[xX]([0-9a-fA-F]+);?|#([0-9]+);?|([a-zA-Z][a-zA-Z0-9]*);)")
+
+
+def _entity(match):
+    hexadecimal, decimal, name = match.groups()
+    if name:
+        code = 39 if name == "apos" else name2codepoint.get(name)
+        return match[0] if code is None else chr(code)
+    digits = (hexadecimal or decimal).lstrip("0") or "0"
+    if len(digits) > 7:
+        return ""
+    code = int(digits, 16 if hexadecimal else 10)
+    control = code < 32 and code not in (9, 10, 13)
+    return "" if control or code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
+
+
+def decoded(text):
+    """Text with HTML 4 entities decoded. A name must end in ``;`` to count, a number need not."""
+    return ENTITY.sub(_entity, text) if "&" in text else text
+
+
 def _attributes(text):
     found = {}
     for name, value in ATTRIBUTE.findall(text):
         name = name.lower()
         if name in ("id", "class", "href") and name not in found:
-            found[name] = html.unescape(value[1:-1] if value[:1] in "\"'" else value)
+            found[name] = decoded(value[1:-1] if value[:1] in "\"'" else value)
     return found
 
 
@@ -93,7 +114,7 @@ def parse(page: str) -> list[list]:
         token = TOKEN.search(page, at)
         stop = token.start() if token else len(page)
         if stop > at:
-            add_text(html.unescape(page[at:stop]), joined)
+            add_text(decoded(page[at:stop]), joined)
             joined = bool(nodes)
         if token is None:
             break
