@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vacantia.llm import bpe
+from vacantia.llm import bpe, warc
 from vacantia.llm.registry import query, table
+from vacantia.session import work_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -23,3 +24,28 @@ def op1_byte_bpe(spark, sf):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("""
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+    d AS (
+        SELECT page_id, payload_bytes, sha256(html) AS payload_digest FROM p),
+    f AS (
+        SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY ALL)
+    SELECT d.page_id, d.payload_bytes, d.payload_digest,
+        CASE WHEN first_id IS NOT NULL AND first_id IS DISTINCT FROM d.page_id THEN 'revisit' ELSE 'response' END
+            AS record_type,
+        CASE WHEN first_id IS DISTINCT FROM d.page_id THEN first_id END AS refers_to
+    FROM d LEFT JOIN f USING (payload_digest)
+""")
+def op2_warc(spark, sf):
+    """Every page written to an archive, found again by its address through the index, and read."""
+    pages = table(spark, sf, "pages", "page_id", "url", "html")
+    folder = work_dir(spark, "warc")
+    warc.write_archives(pages, f"{folder}/archives")
+    warc.build_index(spark, f"{folder}/archives", f"{folder}/index")
+    captures = warc.lookup(pages.select(warc.url_key(F.col("url")).alias("key")), f"{folder}/index")
+    return warc.read_records(captures, f"{folder}/archives", payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
