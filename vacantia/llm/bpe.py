@@ -13,17 +13,20 @@ from __future__ import annotations
 
 import base64
 import struct
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most pieces, and most token pairs, that one worker remembers.
-MEMO = 500_000
+#: Most pieces, and most token pairs, in one generation of what a worker remembers; it keeps two.
+MEMO = 150_000
 #: Longer pieces are encoded but not remembered.
-MEMO_BYTES = 48
+MEMO_CHARS = 40
 #: Above every rank.
 NONE = 1 << 60
+#: Stands for the token before the first one of a piece.
+BEGIN = 1 << 63
 
 _CODECS = {}
 
@@ -38,18 +41,26 @@ class Codec:
     """One vocabulary in one worker."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import ahocorasick
         import regex
 
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
-        self.tokens = {r: t for t, r in ranks.items()}
-        self.size = {r: len(t) for t, r in ranks.items()}
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self.tokens = [None] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), rank)
-        self.automaton.make_automaton()
-        self.shorter_of, self.fits, self.pieces = {}, {}, _Pieces(self)
+            self.tokens[rank] = token
+        self.size = [len(t or b"") for t in self.tokens]
+        self.shorter_of, self.fits, self.pieces = {}, _Fits(self), _Pieces(self)
+
+    @cached_property
+    def automaton(self):
+        """Of all tokens as Latin-1 text; only encoding needs it."""
+        import ahocorasick
+
+        found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for token, rank in self.ranks.items():
+            found.add_word(token.decode("latin-1"), rank)
+        found.make_automaton()
+        return found
 
     def stays(self, left: bytes, right: bytes) -> bool:
         """Whether the merges of these bytes, lowest rank first, end at the border of the two and nowhere else."""
@@ -69,14 +80,6 @@ class Codec:
                 order[at] = ranks.get(parts[at] + parts[at + 1], NONE)
         return len(parts) == (2 if left else 1)
 
-    def neighbours(self, left: int | None, right: int) -> bool:
-        """Find out and remember whether ``right`` may follow ``left``, or begin a piece."""
-        if len(self.fits) >= MEMO:
-            self.fits.clear()
-        before = b"" if left is None else self.tokens[left]
-        fit = self.fits[left, right] = self.stays(before, self.tokens[right])
-        return fit
-
     def shorter(self, token: int) -> int | None:
         """The longest token that is a proper prefix of this one."""
         found = self.shorter_of.get(token, -1)
@@ -96,14 +99,12 @@ class Codec:
             longest[end - size[token] + 1] = token  # longer ones end later
         open_at = bytearray(b"\1") * (length + 1)
         fits = self.fits
-        found, at, token, last = [], 0, longest[0], None
+        found, at, token, last = [], 0, longest[0], BEGIN
         while at < length:
             while token is not None:
                 end = at + size[token]
-                if open_at[end]:
-                    fit = fits.get((last, token))
-                    if fit or fit is None and self.neighbours(last, token):
-                        break
+                if open_at[end] and fits[last | token]:
+                    break
                 token = self.shorter(token)
             if token is None:
                 if not found:
@@ -111,11 +112,11 @@ class Codec:
                 open_at[at] = 0
                 token = found.pop()
                 at -= size[token]
-                last = found[-1] if found else None
+                last = found[-1] << 32 if found else BEGIN
                 token = self.shorter(token)
             else:
                 found.append(token)
-                last, at = token, end
+                last, at = token << 32, end
                 token = longest[at] if at < length else None
         return found
 
@@ -127,21 +128,40 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
-class _Pieces(dict):
-    """Piece of text to packed ids, forgetting all when full."""
+class _Memo(dict):
+    """Remembers answers in two generations: a full one becomes the old one, and what is used again moves on."""
 
     def __init__(self, codec: Codec):
-        self.codec = codec
+        self.codec, self.old = codec, {}
+
+    def __missing__(self, key):
+        answer = self.old.get(key)
+        if answer is None:
+            answer = self.work_out(key)
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[key] = answer
+        return answer
+
+
+class _Pieces(_Memo):
+    """Piece of text to packed ids."""
+
+    def work_out(self, piece: str) -> bytes:
+        ids = self.codec.piece(piece.encode("utf-8"))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode("utf-8")
-        ids = self.codec.piece(data)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(data) <= MEMO_BYTES:
-            if len(self) >= MEMO:
-                self.clear()
-            self[piece] = packed
-        return packed
+        return super().__missing__(piece) if len(piece) <= MEMO_CHARS else self.work_out(piece)
+
+
+class _Fits(_Memo):
+    """Whether the right token, in the low half of the key, may follow the left one or begin a piece."""
+
+    def work_out(self, key: int) -> bool:
+        tokens, left, right = self.codec.tokens, key >> 32, key & 0xFFFFFFFF
+        return self.codec.stays(b"" if key >= BEGIN else tokens[left], tokens[right])
 
 
 def codec(path: str, pattern: str) -> Codec:
