@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vacantia.llm import bpe, warc
+from vacantia.llm import ann, bpe, warc
 from vacantia.llm.registry import query, table
 from vacantia.session import work_dir
 
@@ -49,3 +49,22 @@ def op2_warc(spark, sf):
     return warc.read_records(captures, f"{folder}/archives", payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("""
+    WITH v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            AND len([x FOR x IN embedding IF x <> 0]) > 0),
+    p AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+        FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 20 = 0),
+    r AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+""")
+def op3_nearest(spark, sf):
+    """The 20 nearest of every twentieth vector among all others."""
+    vectors = table(spark, sf, "embeddings", "vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
