@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vacantia.llm import ann, bpe, warc
+from vacantia.llm import ann, bpe, mixing, pii, sharding, warc
 from vacantia.llm.registry import query, table
 from vacantia.session import work_dir
 
@@ -68,3 +68,37 @@ def op3_nearest(spark, sf):
     """The 20 nearest of every twentieth vector among all others."""
     vectors = table(spark, sf, "embeddings", "vec_id", "embedding")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query()
+def op7_pii(spark, sf):
+    """Counts and places of personal data in every text."""
+    rows = pii.find(table(spark, sf, "documents", "doc_id", "text")).select("doc_id", "spans")
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    count = {f"n_{kind}": F.size(of(kind)).cast("long") for kind in pii.BASE}
+    place = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    joined = lambda spans: F.array_join(F.transform(spans, place), ",")
+    digests = {"base_sha256": F.sha2(joined(of(*pii.BASE)), 256), "spans": joined(F.col("spans"))}
+    return rows.withColumns({**count, **digests})
+
+
+@query()
+def op9_mixing(spark, sf):
+    """All documents with the words that a mix of their sources takes of each."""
+    docs = table(spark, sf, "documents", "doc_id", "text", "source")
+    return mixing.mix(docs, weights=[5, 2, 1]).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op10_hash_tree(spark, sf):
+    """All documents in 16 shards, with their place there, and the shard they have when one is added."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+    )
+    rows = sharding.assign(rows, sharding.layout(16))
+    return sharding.number(sharding.assign(rows, sharding.layout(17), shard="grown_shard"))
