@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vacantia.llm import ann, bpe, mixing, pii, sharding, warc
+from vacantia.llm import ann, bpe, minhash, mixing, pii, sharding, warc
 from vacantia.llm.registry import query, table
 from vacantia.session import work_dir
 
@@ -82,6 +82,12 @@ def op7_pii(spark, sf):
     return rows.withColumns({**count, **digests})
 
 
+@query()
+def op8_minhash(spark, sf):
+    """Every document with the component of near-duplicates that it belongs to."""
+    return minhash.near_duplicates(table(spark, sf, "documents", "doc_id", "text"))
+
+
 @query()
 def op9_mixing(spark, sf):
     """All documents with the words that a mix of their sources takes of each."""
