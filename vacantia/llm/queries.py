@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vacantia.llm import ann, bpe, minhash, mixing, pii, sharding, warc
+from vacantia.llm import ann, bpe, imatch, minhash, mixing, pii, quality, sharding, warc
 from vacantia.llm.registry import query, table
 from vacantia.session import work_dir
 
@@ -70,6 +70,38 @@ def op3_nearest(spark, sf):
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+@query()
+def op5_imatch(spark, sf):
+    """Fingerprints of every text, of it with its second half exchanged, and their likeness."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    lexicon = imatch.lexicon(docs)
+    rows = imatch.with_next(imatch.fingerprint(docs, lexicon, "text", "own"), "doc_id", ["text", "own"])
+    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    kept = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
+    new = F.coalesce(F.substring(F.col("next.text"), F.lit(1), half), F.lit(""))
+    rows = rows.withColumn("edited", F.concat(kept, new))
+    rows = imatch.fingerprint(rows.drop("text"), lexicon, "edited", "changed").withColumn("next", F.col("next.own"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        imatch.readable("own").alias("fingerprint"),
+        imatch.readable("changed").alias("edited_fingerprint"),
+        imatch.likeness("own", "changed").alias("near_edited"),
+        F.coalesce(imatch.likeness("own", "next"), F.lit(0.0)).alias("near_next"),
+    )
+
+
+@query()
+def op6_quality(spark, sf):
+    """Every document with its importance weight and whether resampling keeps it."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    model = quality.fit(docs, table(spark, sf, "labels", "doc_id", "quality"))
+    return quality.resample(docs, model).select("doc_id", "weight", "key", "kept")
+
+
 @query()
 def op7_pii(spark, sf):
     """Counts and places of personal data in every text."""
