@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vacantia.llm import ann, bpe, imatch, minhash, mixing, pii, quality, sharding, warc
+from vacantia.llm import ann, bpe, imatch, licenses, minhash, mixing, pii, quality, sharding, warc
 from vacantia.llm.registry import query, table
 from vacantia.session import work_dir
 
@@ -70,6 +70,12 @@ def op3_nearest(spark, sf):
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+@query(licenses.scan_sql("documents"))
+def op4_licenses(spark, sf):
+    """Licence sentences and licences of every document."""
+    return licenses.scan(table(spark, sf, "documents", "doc_id", "text")).select("doc_id", "sentences", "licences")
+
+
 @query()
 def op5_imatch(spark, sf):
     """Fingerprints of every text, of it with its second half exchanged, and their likeness."""
