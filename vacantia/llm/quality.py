@@ -154,18 +154,21 @@ def kth_largest(rows: DataFrame, key: str, k: int) -> float:
             low = float(np.nextafter(low, np.inf)) if low == middle else low
 
 
-def resample(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
-    """Add ``weight`` (log importance weight), ``key`` and ``kept``, true for the k largest keys.
-
-    A text without words or marks, or null, has no weight and is not kept. Equal keys at the border
-    stay together, so repeated rows do. Columns of these names are replaced, others kept; an empty
-    table stays empty.
+def resample(
+    docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, seed: int = 0
+) -> DataFrame:
+    """The columns ``keep`` (all by default) with ``weight``, ``key`` and ``kept``, true for the k largest keys.
+
+    ``weight`` is the log importance weight. A text without words or marks, or null, has no weight and
+    is not kept. Equal keys at the border stay together, so repeated rows do. Columns of these names
+    are replaced; an empty table stays empty.
     """
     spark = docs.sparkSession
     bits = F.xxhash64(F.lit(seed), F.col(doc_id)).bitwiseAND(F.lit((1 << 53) - 1))
     gumbel = -F.ln(-F.ln((bits + F.lit(0.5)) / F.lit(float(1 << 53))))
+    own = [c for c in (docs.columns if keep is None else keep) if c not in ("weight", "key", "kept")]
     rows = _weighed(docs, model, text, "weight").withColumn("key", F.col("weight") + gumbel)
-    rows = stored(rows, work_dir(spark, "resample"))
+    rows = stored(rows.select(*own, "weight", "key"), work_dir(spark, "resample"))
     k = rows.where(F.col("weight") >= model.cut).count()
     least = kth_largest(rows.where("key IS NOT NULL"), "key", k) if k else float("inf")
     return rows.withColumn("kept", F.coalesce(F.col("key") >= least, F.lit(False)))

@@ -105,7 +105,7 @@ def op6_quality(spark, sf):
     """Every document with its importance weight and whether resampling keeps it."""
     docs = table(spark, sf, "documents", "doc_id", "text")
     model = quality.fit(docs, table(spark, sf, "labels", "doc_id", "quality"))
-    return quality.resample(docs, model).select("doc_id", "weight", "key", "kept")
+    return quality.resample(docs, model, keep=["doc_id"])
 
 
 @query()
