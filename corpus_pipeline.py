@@ -11,30 +11,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacantia.llm import bpe, minhash, mixing, pii, quality
-from vacantia.llm.registry import stored, table
+from vacantia.llm.registry import stored, table, with_package
 from vacantia.session import work_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+@with_package
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards those labelled good keeps."""
     model = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     return quality.resample(docs, model).where("kept").select(docs.columns)
 
 
+@with_package
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the document with the smallest id. Rows of one id stay or go together."""
     away = minhash.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
     return docs.join(away, "doc_id", "left_anti").select(docs.columns)
 
 
+@with_package
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with the names of kinds in place of personal data; ``n_chars`` is that of the new text."""
     masked = pii.mask(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return masked.select(docs.columns)
 
 
+@with_package
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     mixed = mixing.mix(docs, weights=[5, 2, 1]).where("times > 0")
@@ -42,6 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select(*docs.columns, times.alias("__time")).drop("__time")
 
 
+@with_package
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, packed, and whether they decode to exactly its bytes."""
     encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
+
+import vacantia
+
 QUERIES = {}
 SQL = {}
 
 
 def query(sql: str | None = None):
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        QUERIES[fn.__name__] = with_package(fn)
         if sql is not None:
             SQL[fn.__name__] = sql
         return fn
@@ -16,6 +23,34 @@ def query(sql: str | None = None):
     return register
 
 
+def with_package(fn):
+    """Make sure that Python workers can import the package before the function runs."""
+
+    @functools.wraps(fn)
+    def run(spark, *rest):
+        ship(spark)
+        return fn(spark, *rest)
+
+    return run
+
+
+def ship(spark) -> None:
+    """Add the package to the job's files, once for each Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_vacantia_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(vacantia.__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="vacantia-"), "vacantia_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(os.path.join(root, "vacantia")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, root))
+    context.addPyFile(archive)  # Spark serves it to every executor
+    context._vacantia_shipped = True
+
+
 def table(spark, sf_dir: str, name: str, *columns: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
