@@ -1,0 +1,70 @@
+import random
+
+import numpy as np
+import pytest
+
+from vacantia.llm import quality, registry
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_held_out_labels_are_told_apart(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(docs, labels.where("pmod(hash(doc_id), 2) = 0"))
+    rest = labels.where("pmod(hash(doc_id), 2) = 1").select("doc_id", "quality")
+    rows = quality.resample(docs, model, keep=["doc_id"]).join(rest, "doc_id").collect()
+    good = [r.kept for r in rows if r.quality == 1]
+    bad = [r.kept for r in rows if r.quality == 0]
+    assert len(good) > 1_000 and len(bad) > 150
+    assert sum(good) / len(good) > 0.985
+    assert sum(bad) / len(bad) < 0.12
+
+
+def test_query_is_the_same_again_and_keeps_the_largest_keys(spark):
+    sf = "/root/testdata/sf0.01"
+    first = {r.doc_id: tuple(r) for r in registry.QUERIES["op6_quality"](spark, sf).collect()}
+    again = {r.doc_id: tuple(r) for r in registry.QUERIES["op6_quality"](spark, sf).collect()}
+    assert first == again and len(first) == 1_000
+    kept = [r[2] for r in first.values() if r[3]]
+    gone = [r[2] for r in first.values() if not r[3] and r[2] is not None]
+    assert kept and gone and min(kept) > max(gone)
+
+
+def test_weights_are_those_of_plain_counts(spark):
+    texts = ["good words here", "good words there", "bad bad bad $$$", "good bad", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 0), (9, 1), (None, 1), (3, None)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    target, raw = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for at, text in enumerate(texts):
+        for bucket in quality.ngrams(text or ""):
+            raw[bucket] += 1
+            target[bucket] += at < 2
+    log = lambda c: np.log((c + 1) / (c.sum() + quality.BUCKETS))
+    assert np.allclose(model.ratio, log(target) - log(raw))
+    rows = {r.doc_id: r for r in quality.resample(docs, model).collect()}
+    assert rows[0].weight == pytest.approx(sum((log(target) - log(raw))[quality.ngrams(texts[0])]))
+    assert rows[4].weight is None and not rows[4].kept and rows[5].weight is None and not rows[5].kept
+    assert rows[0].kept and rows[1].kept and not rows[2].kept
+
+
+@pytest.mark.parametrize("few", [5, 10_000])
+def test_kth_largest_is_exact(spark, monkeypatch, few):
+    monkeypatch.setattr(quality, "FEW", few)
+    draw = random.Random(7)
+    values = [draw.gauss(0, 1) for _ in range(2_000)] + [0.5] * 700 + [1e300, -1e300]
+    df = spark.createDataFrame([(v,) for v in values], "key double").repartition(4).cache()
+    ordered = sorted(values, reverse=True)
+    for k in (1, 2, 300, 900, 1_400, 2_702):
+        assert quality.kth_largest(df, "key", k) == ordered[k - 1]
+    df.unpersist()
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 1, 2), (1, "a b", 1, 2)], "doc_id long, text string, kept int, key int")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    rows = quality.resample(docs, model).collect()
+    assert len({tuple(r) for r in rows}) == 1 and set(rows[0].asDict()) == {"doc_id", "text", "weight", "key", "kept"}
+    assert quality.resample(docs.where("false"), quality.fit(docs.where("false"), labels)).count() == 0
