@@ -163,7 +163,7 @@ def _members(data):
             parts.append(unpacker.decompress(data[at : at + STEP]))
             at += STEP
         at = min(at, len(data)) - len(unpacker.unused_data)
-        if data[at : at + len(EMPTY)] == EMPTY:
+        if bytes(data[at : at + len(EMPTY)]) == EMPTY:
             at += len(EMPTY)
         yield begin, at - begin, b"".join(parts)
 
