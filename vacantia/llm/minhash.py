@@ -38,7 +38,7 @@ FILTER_BITS = 1 << 24
 #: Members of a posting list, and shingles of a component, in one block.
 BLOCK, BLOCK_SHINGLES = 1_024, 1_000_000
 #: Most words that a worker remembers.
-MEMO = 400_000
+MEMO = 150_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xFF51AFD7ED558CCD)

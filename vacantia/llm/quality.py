@@ -27,8 +27,8 @@ SAMPLE = 20_000
 REACH = 0.998
 #: Most keys that are sorted on the driver to find the k-th.
 FEW = 10_000
-#: Most words that a worker remembers.
-MEMO = 400_000
+#: Most words that a worker remembers, and n-grams that it holds before it counts them.
+MEMO, HELD = 120_000, 500_000
 
 _PARTS = re.compile(r"\w+|[^\w\s]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -77,14 +77,25 @@ def _sampled(labels: DataFrame, doc_id: str, quality: str) -> DataFrame:
 def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """N-grams of target documents and of all; ``rows`` has ``text, good``."""
 
+    def tally(counts, held) -> int:
+        for kind, found in enumerate(held):
+            if found:
+                counts[kind] += np.bincount(np.concatenate(found), minlength=BUCKETS)
+                found.clear()
+        return 0
+
     def count(batches):
-        counts = np.zeros((2, BUCKETS), np.int64)
+        counts, held, waiting = np.zeros((2, BUCKETS), np.int64), ([], []), 0
         for batch in batches:
-            for text, good in zip(batch.column(0), batch.column(1).to_pylist()):
-                found = np.bincount(ngrams(text.as_py() or ""), minlength=BUCKETS)
-                counts[1] += found
-                if good == 1:
-                    counts[0] += found
+            for text, good in zip(batch.column(0), batch.column(1)):
+                found = ngrams(text.as_py() or "")
+                held[1].append(found)
+                if good.as_py() == 1:
+                    held[0].append(found)
+                waiting += len(found)
+                if waiting > HELD:
+                    waiting = tally(counts, held)
+        tally(counts, held)
         yield pa.RecordBatch.from_arrays(
             [pa.array([0, 1], pa.int32()), pa.array([c.tobytes() for c in counts], pa.binary())], names=["kind", "counts"]
         )

@@ -23,12 +23,17 @@ def query(sql: str | None = None):
     return register
 
 
+#: Bytes of a batch of rows on its way to Python: texts are long, and several copies of a batch are held.
+BATCH_BYTES = "16m"
+
+
 def with_package(fn):
-    """Make sure that Python workers can import the package before the function runs."""
+    """Make sure that Python workers can import the package, and get batches of a fitting size."""
 
     @functools.wraps(fn)
     def run(spark, *rest):
         ship(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
         return fn(spark, *rest)
 
     return run
