@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Most pieces, and most token pairs, in one generation of what a worker remembers; it keeps two.
-MEMO = 150_000
+MEMO = 250_000
 #: Longer pieces are encoded but not remembered.
 MEMO_CHARS = 40
 #: Above every rank.
