@@ -49,8 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @with_package
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, packed, and whether they decode to exactly its bytes."""
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    both = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN)
+    both = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded="decoded")
     exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return both.select("doc_id", "lang", "source", bpe.token_count().alias("n_tokens"), "ids", exact.alias("exact"))
 

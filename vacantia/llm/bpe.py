@@ -171,20 +171,29 @@ def codec(path: str, pattern: str) -> Codec:
     return _CODECS[path, pattern]
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """Add ``ids``: the tokens of the whole text as packed little-endian unsigned 32-bit integers.
 
+    ``decoded`` names one more column, for the bytes that these ids decode to, made in the same pass.
     A null text counts as empty and gives no bytes; texts of any length are encoded whole; repeated
-    rows give equal ids; an empty table stays empty. Other columns are kept, and one already named
-    ``ids`` is replaced. ``path`` is a rank file that every executor can open.
+    rows give equal ids; an empty table stays empty. Other columns are kept, those of these names
+    replaced. ``path`` is a rank file that every executor can open.
     """
+    names = [ids] if decoded is None else [ids, decoded]
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf(", ".join(f"c{i} binary" for i in range(len(names))))
     def packed(texts: pa.Array) -> pa.Array:
         own = codec(path, pattern)
-        return pa.array([own.encode(t) for t in _each(texts)], pa.binary())
-
-    return df.withColumn(ids, packed(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+        columns = [[own.encode(t) for t in _each(texts)]]
+        if decoded is not None:
+            columns.append([own.decode(i) for i in columns[0]])
+        arrays = [pa.array(c, pa.binary()) for c in columns]
+        return pa.StructArray.from_arrays(arrays, names=[f"c{i}" for i in range(len(names))])
+
+    rows = df.withColumn("__packed", packed(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return rows.withColumns({n: F.col(f"__packed.c{i}") for i, n in enumerate(names)}).drop("__packed")
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str = "decoded") -> DataFrame:

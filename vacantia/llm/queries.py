@@ -16,8 +16,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 def op1_byte_bpe(spark, sf):
     """Token count and digests of every text, encoded and decoded again."""
     docs = table(spark, sf, "documents", "doc_id", "text")
-    ids = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "ids")
-    both = bpe.decode(ids, RANKS, public_tokenizers.PATTERN)
+    both = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded="decoded")
     return both.select(
         "doc_id",
         bpe.token_count().alias("n_tokens"),
