@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +125,45 @@ def test_pages_are_parsed_once(page):
     )
     plan = two._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: "<a " * n, lambda n: "<b>" * n + "</i>" * n, lambda n: "<i><td>" + "<b>" * n + "</i>" * n,
+        lambda n: '<a ">" ' * n, lambda n: "<" * n, lambda n: '<a "' * n + ">", lambda n: "a&b<" * n,
+        lambda n: "<p>" * n, lambda n: "<script>" * n,
+    ],
+)
+def test_parsing_takes_linear_time(page):
+    def seconds(n):
+        began = time.perf_counter()
+        H.parse(page(n))
+        return time.perf_counter() - began
+
+    small = min(seconds(10_000) for _ in range(3))
+    assert seconds(40_000) < 12 * small + 0.2
+
+
+def test_a_tag_whose_quotes_do_not_close_ends_at_the_next_bracket():
+    tags = [(n[4], n[8]) for n in H.parse("<p class=\"x>one</p><p>two</p>")]
+    assert tags == [("p", None), ("#text", "one"), ("p", None), ("#text", "two")]
+
+
+def test_cards_take_linear_time(spark):
+    from payloads import landed, page
+
+    from vacantia.plans.facebook import list_records
+
+    def seconds(n):
+        cards = "".join(
+            f'<div class="_3k6i"><a class="_5144" href="/careers/jobs/{i}/">J</a><div class="_3k6n">A, CA</div></div>'
+            for i in range(n)
+        )
+        raw = landed(spark, [page("facebook", f"<html><body>{cards}</body></html>")])
+        began = time.perf_counter()
+        assert list_records(raw).count() == n
+        return time.perf_counter() - began
+
+    small = min(seconds(2_000) for _ in range(3))
+    assert seconds(8_000) < 10 * small + 2

@@ -40,18 +40,19 @@ ENDED_BY = {
         "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre",
         "section", "table", "ul")},
 }
-RANK = {
-    "div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180,
-    "table": 190, "head": 200, "body": 200, "html": 220,
-}
+# From weak to strong: an end tag does not close an open element that is stronger. Others are weakest.
+STRENGTH = (("div",), ("td", "th"), ("tr",), ("thead", "tbody", "tfoot"), ("table",), ("head", "body"), ("html",))
+RANK = {tag: rank for rank, tags in enumerate(STRENGTH, start=1) for tag in tags}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*'){0,2000}+)>"
     r"|<[!?/][^>]*>",
     re.S,
 )
+# A start tag whose quotes do not close, or with more quotes than any tag has, ends at the next ">".
+UNQUOTED = re.compile(r"<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)>")
 SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
@@ -86,9 +87,48 @@ def _attributes(text):
     return found
 
 
+def _next_token(page: str, at: int, last_end: int):
+    """The next tag or comment; ``<`` signs that begin none are text, as is all that no ``>`` follows."""
+    while (at := page.find("<", at)) >= 0:
+        token = TOKEN.match(page, at) if at < last_end or page.startswith("<!--", at) else None
+        if token is None and at < last_end:
+            token = UNQUOTED.match(page, at)
+        if token or at > last_end:
+            return token
+        at += 1
+    return None
+
+
+class _Open:
+    """The open elements, and where the topmost of every tag and of every strength is."""
+
+    def __init__(self):
+        self.stack, self.of_tag, self.of_rank = [], {}, [[] for _ in range(len(STRENGTH) + 1)]
+
+    def push(self, no: int, tag: str) -> None:
+        self.of_tag.setdefault(tag, []).append(len(self.stack))
+        self.of_rank[RANK.get(tag, 0)].append(len(self.stack))
+        self.stack.append((no, tag))
+
+    def pop(self) -> int:
+        no, tag = self.stack.pop()
+        self.of_tag[tag].pop()
+        self.of_rank[RANK.get(tag, 0)].pop()
+        return no
+
+    def closed_by(self, tag: str) -> int:
+        """How many elements an end tag closes."""
+        if not self.of_tag.get(tag):
+            return 0
+        place = self.of_tag[tag][-1]
+        stronger = self.of_rank[RANK.get(tag, 0) + 1 :]
+        return 0 if any(p and p[-1] > place for p in stronger) else len(self.stack) - place
+
+
 def parse(page: str) -> list[list]:
-    """Nodes of one page, as rows in the order of the ``NODES`` fields."""
-    nodes, stack, siblings = [], [], {}
+    """Nodes of one page, as rows in the order of the ``NODES`` fields. Takes time linear in the page."""
+    nodes, opened, siblings = [], _Open(), {}
+    stack, last_end = opened.stack, page.rfind(">")
 
     def add(tag, attrs, text):
         parent = stack[-1][0] if stack else -1
@@ -99,56 +139,55 @@ def parse(page: str) -> list[list]:
         return no
 
     def close():
-        nodes[stack.pop()[0]][2] = len(nodes) - 1
+        nodes[opened.pop()][2] = len(nodes) - 1
 
     def add_text(text, joined):
         if not text:
             return
         if joined and nodes[-1][4] == TEXT:
-            nodes[-1][8] += text
+            nodes[-1][8].append(text)
         else:
-            add(TEXT, {}, text)
+            add(TEXT, {}, [text])
 
     at, joined = 0, False
     while True:
-        token = TOKEN.search(page, at)
+        token = _next_token(page, at, last_end)
         stop = token.start() if token else len(page)
         if stop > at:
             add_text(decoded(page[at:stop]), joined)
             joined = bool(nodes)
         if token is None:
             break
-        at = token.end()
-        if token["start"]:
+        at, groups = token.end(), token.groupdict()
+        if groups["start"]:
             joined = False
-            tag, attrs = token["start"].lower(), token["attrs"]
+            tag, attrs = groups["start"].lower(), groups["attrs"]
             while stack and stack[-1][1] in ENDED_BY.get(tag, ()):
                 close()
             no = add(tag, _attributes(attrs), None)
             if tag in RAW_TEXT:
                 end = re.compile(f"</{tag}", re.I).search(page, at)
                 stop = end.start() if end else len(page)
-                stack.append((no, tag))
+                opened.push(no, tag)
                 add_text(page[at:stop], False)
                 close()
                 tail = page.find(">", stop)
                 at = tail + 1 if end and tail >= 0 else len(page)
             elif tag not in VOID and not SELF_CLOSED.search(attrs):
-                stack.append((no, tag))
-        elif token["end"]:
-            tag = token["end"].lower()
-            depth = len(stack) - 1
-            while depth >= 0 and stack[depth][1] != tag:
-                # A weaker end tag does not close a stronger open element.
-                depth = -1 if RANK.get(stack[depth][1], 100) > RANK.get(tag, 100) else depth - 1
-            if depth >= 0:
+                opened.push(no, tag)
+        elif groups.get("end"):
+            count = opened.closed_by(groups["end"].lower())
+            if count:
                 joined = False
-                while len(stack) > depth:
-                    close()
+            for _ in range(count):
+                close()
         else:
             joined = False
     while stack:
         close()
+    for node in nodes:
+        if node[8] is not None:
+            node[8] = "".join(node[8])
     return nodes
 
 
@@ -235,27 +274,25 @@ def below(nodes: Column, anchor: Column) -> Column:
 
 
 def inside(nodes: Column, anchors: Column, test) -> Column:
-    """Nodes at any depth below one of the anchors."""
-    return _once(
+    """Nodes at any depth below one of the anchors: only what lies below them is looked at."""
+    outer = _once(
         anchors,
         lambda found: F.filter(
-            nodes,
-            lambda n: test(n)
-            & F.exists(found, lambda a: (n["no"] > a["no"]) & (n["no"] <= a["last"])),
+            found, lambda a: ~F.exists(found, lambda b: (a["no"] > b["no"]) & (a["no"] <= b["last"]))
         ),
     )
+    return F.flatten(F.transform(outer, lambda a: F.filter(below(nodes, a), test)))
 
 
 def children(nodes: Column, anchors: Column, tag: str, nth: int | None = None) -> Column:
     """Direct children with a tag, or only the ``nth`` of that tag."""
 
-    def test(n, found):
-        hit = n["tag"] == tag
-        if nth is not None:
-            hit = hit & (n["nth"] == nth)
-        return hit & F.exists(found, lambda a: n["parent"] == a["no"])
+    def test(n, anchor):
+        hit = (n["parent"] == anchor["no"]) & (n["tag"] == tag)
+        return hit if nth is None else hit & (n["nth"] == nth)
 
-    return _once(anchors, lambda found: F.filter(nodes, lambda n: test(n, found)))
+    found = F.transform(anchors, lambda a: F.filter(below(nodes, a), lambda n: test(n, a)))
+    return F.array_sort(F.flatten(found))  # nested anchors: back to document order
 
 
 def _joined(texts: Column, separator: str) -> Column:
