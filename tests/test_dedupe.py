@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from vacantia.operators.dedupe import first_seen, only_new
 from vacantia.operators.details import list_detail
 from vacantia.operators.listings import explode_listings
-from vacantia.operators.outcomes import claimed_outcomes, outcomes
+from vacantia.operators.outcomes import outcomes
 
 
 def plan_of(df):
@@ -96,15 +96,37 @@ def test_list_detail_splits_a_hot_key(spark):
 
 
 def test_outcomes(spark):
-    claimed = spark.createDataFrame(
-        [("s", "accepted", 3), ("s", "accepted", 1), ("s", "rejected", 2), ("t", "accepted", 1)],
-        "source string, outcome string, copies long")
-    want = {("s", "accepted"): 2, ("s", "rejected"): 1, ("s", "duplicate"): 3, ("t", "accepted"): 1}
-    assert {(r.source, r.outcome): r.n for r in claimed_outcomes(claimed).collect()} == want
-    by = lambda o: claimed.filter(F.col("outcome") == o)
-    duplicates = claimed.filter("copies > 1").select("source", F.explode(F.sequence(F.lit(2), "copies")))
-    made = outcomes(by("accepted"), by("rejected"), duplicates)
-    assert {(r.source, r.outcome): r.n for r in made.collect()} == want
+    classified = spark.createDataFrame(
+        [("s", "accepted", 3, True), ("s", "accepted", 1, True), ("s", "rejected", 2, True), ("s", "rejected", 4, False),
+         ("s", "skipped_seen", 5, True), ("s", "skipped_place", 7, False), ("s", "no_detail", 2, True),
+         ("t", "accepted", 1, None)],
+        "source string, outcome string, copies long, claimed boolean")
+    want = {("s", "accepted"): 2, ("s", "rejected"): 5, ("s", "duplicate"): 4, ("s", "skipped_seen"): 5,
+            ("s", "skipped_place"): 7, ("s", "no_detail"): 1, ("t", "accepted"): 1}
+    assert {(r.source, r.outcome): r.n for r in outcomes(classified).collect()} == want
+
+
+def test_two_crawls_in_any_order_of_rows(spark):
+    """The earlier collected page wins whatever order rows come in, and bad records do not merge."""
+    import datetime
+
+    from payloads import AT, detail, landed, page
+
+    from vacantia.plans import classify_dice
+
+    def crawl(word, days):
+        entries = [{"detailUrl": "http://h/result/a?src=1", "jobTitle": word}, {"detailUrl": "http://h/x", "jobTitle": word}]
+        row = list(page("dice", {"resultItemList": entries}))
+        row[8] = AT + datetime.timedelta(days)
+        return tuple(row)
+
+    early, late = crawl("early", 0), crawl("late", 1)
+    for lists in ([early, late], [late, early], [late, early, early]):
+        rows = classify_dice(landed(spark, [*lists, detail("dice", "a", "<div id=jobdescSec>d</div>")])).collect()
+        tally = {r.outcome: r.n for r in outcomes(classify_dice(landed(spark, [*lists, detail("dice", "a", "d")]))).collect()}
+        assert [r.title for r in rows if r.outcome == "accepted"] == ["early"]
+        assert sum(r.outcome == "rejected" for r in rows) == 2
+        assert tally == {"accepted": 1, "rejected": len(lists), "duplicate": len(lists) - 1}
 
 
 def test_explode_listings(spark):

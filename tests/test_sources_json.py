@@ -205,7 +205,7 @@ def test_apple_list_page_without_count(spark):
     raw = landed(spark, [page("apple", f"<result>{requisition(1)}</result>"), apple_detail("1")])
     accepted, rejected = v.normalise_apple(raw)
     assert accepted.count() == 0
-    assert [r.error_reason for r in rejected.collect()] == ["count is not a number"]
+    assert [r.error_reason for r in rejected.collect()] == ["count is missing"]
 
 
 def test_stored_ids_are_left_out(spark):
@@ -255,3 +255,14 @@ def test_company_defaults_and_bad_records(spark):
     assert sorted(r.error_reason for r in rejected.collect()) == sorted([
         "companies is empty", "companies is not a list", "meta is not an object",
         "company is not an object", "record is not an object"])
+
+
+def test_apple_lists_are_read_tolerantly(spark):
+    cut = "<result><count>2</count>" + requisition(1) + "<requisition><jobId>2</jobId><jobFunction>R&D"
+    raw = landed(spark, [
+        page("apple", cut), page("apple", "no markup", page=1), page("apple", "<result><count>x</count></result>", page=2),
+        apple_detail("1"), apple_detail("2"),
+    ])
+    accepted, rejected = v.normalise_apple(raw)
+    assert {r.list_id: r.department for r in accepted.collect()} == {"1": "Eng", "2": "R&D"}
+    assert sorted(r.error_reason for r in rejected.collect()) == ["body is not XML", "count is not a number"]

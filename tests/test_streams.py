@@ -20,6 +20,31 @@ def details(*keys):
     return [detail("dice", k, f'<div id="jobdescSec">{k}</div>') for k in keys]
 
 
+FACEBOOK = (
+    '<div class="_3k6i"><a class="_5144" href="/careers/jobs/{0}/">J</a><div class="_3k6n">A, CA</div></div>',
+    '<div class="_4ycv"><div><h1 class="_4ycw">T</h1><div class="_4ycx">(A, CA)</div>'
+    '<a id="u_0_d" href="/careers/resume?req={0}">Apply</a></div></div>',
+)
+REQUISITION = "<requisition><jobId>{0}</jobId><jobFunction>E</jobFunction></requisition>"
+TWO = ("j1", "j2")
+# One list page with two records, and their detail pages, of every source that has any.
+PARTS = {
+    "dice": ([items(*TWO)], details(*TWO)),
+    "apple": (
+        [page("apple", f"<result><count>2</count>{''.join(map(REQUISITION.format, TWO))}</result>")],
+        [detail("apple", k, {"requisitionInfo": {"formId": k, "postingTitle": "T"}}) for k in TWO],
+    ),
+    "facebook": (
+        [page("facebook", "".join(map(FACEBOOK[0].format, TWO)))],
+        [detail("facebook", k, FACEBOOK[1].format(k)) for k in TWO],
+    ),
+    "indeed": (
+        [page("indeed", {"results": [{"jobkey": k, "url": f"http://h/{k}", "jobtitle": "T"} for k in TWO]})],
+        [detail("indeed", k, "<table id='job-content'></table>") for k in TWO],
+    ),
+}
+
+
 @pytest.fixture
 def place(spark, tmp_path):
     class Place:
@@ -29,9 +54,12 @@ def place(spark, tmp_path):
             df = spark.createDataFrame(list(rows), schemas.RAW)
             df.write.mode("append").partitionBy("source", "kind").parquet(self.landed)
 
-        def run(self, source="dice", incremental=True):
-            I.ingest(spark, self.landed, self.store, self.checkpoint, source, incremental
-                     ).awaitTermination()
+        def run(self, source="dice", incremental=None, checkpoint=None):
+            where = checkpoint or self.checkpoint
+            I.ingest(spark, self.landed, self.store, where, source, incremental).awaitTermination()
+
+        def tally(self):
+            return {r.outcome: r.n for r in I.stored_outcomes(spark, self.store).collect()}
 
         def stored(self):
             rows = I.read_stored_postings(spark, self.store).collect()
@@ -55,8 +83,7 @@ def test_runs_take_only_new_postings(spark, place):
     place.run()
     place.run()
     assert place.stored() == place.seen() == [("a", 0), ("b", 0), ("c", 1)]
-    tally = {r.outcome: r.n for r in I.stored_outcomes(spark, place.store).collect()}
-    assert tally == {"accepted": 3, "duplicate": 1}
+    assert place.tally() == {"accepted": 3, "duplicate": 1, "skipped_seen": 1}
 
 
 def test_rejected_rows_are_tried_again(spark, place):
@@ -74,9 +101,93 @@ def test_rejected_rows_are_tried_again(spark, place):
 def test_details_that_did_not_arrive_leave_the_id_open(spark, place):
     place.land(items("a", "b"), *details("a"))
     place.run()
+    assert place.tally() == {"accepted": 1, "no_detail": 1}
     place.land(items("b"), *details("b"))
     place.run()
     assert place.stored() == [("a", 0), ("b", 1)]
+    assert place.tally() == {"accepted": 2, "duplicate": 1}
+
+
+@pytest.mark.parametrize("source", ["dice", "apple", "facebook", "indeed"])
+@pytest.mark.parametrize("lists_first", [True, False])
+def test_lists_and_details_of_different_runs_meet(spark, place, source, lists_first):
+    lists, pages = PARTS[source]
+    first, second = (lists, pages) if lists_first else (pages, lists)
+    place.land(*first)
+    place.run(source)
+    assert (place.stored(), place.seen()) == ([], [])
+    place.land(*second[:1])
+    place.run(source)
+    place.land(*second[1:])
+    place.run(source)
+    # A list page brings both records at once, detail pages come one by one.
+    want = [("j1", 1), ("j2", 2)] if lists_first else [("j1", 1), ("j2", 1)]
+    assert [(k, b) for k, b in place.stored() if k in ("j1", "j2")] == want
+    assert place.rejected() == []
+    assert place.tally() == {"accepted": 2}
+
+
+def test_a_replayed_batch_finds_what_waits_again(spark, place):
+    frame = lambda *rows: spark.createDataFrame(list(rows), schemas.RAW)
+    for batch, rows in ((0, [items("a", "b")]), (1, details("a")), (1, details("a")), (2, details("b")), (1, details("a"))):
+        I.ingest_batch(frame(*rows), batch, place.store, "dice")
+    assert place.stored() == [("a", 1), ("b", 2)]
+    assert place.tally() == {"accepted": 2}
+
+
+def test_a_record_that_waits_after_a_rejected_copy(spark, place):
+    place.land(items("a", bad=["a"]), *details("a"))
+    place.run()
+    place.land(items("a"))
+    place.run()
+    assert place.tally() == {"rejected": 1, "no_detail": 1}
+    place.land(*details("a"))
+    place.run()
+    assert (place.stored(), place.rejected()) == ([("a", 2)], [("a", 0)])
+    assert place.tally() == {"accepted": 1, "rejected": 1}
+
+
+def test_runs_of_two_checkpoints_do_not_touch_each_other(spark, place, tmp_path):
+    place.land(items("a"), *details("a"))
+    place.run()
+    place.landed = str(tmp_path / "landed2")
+    place.land(items("b"), *details("b"))
+    place.run(checkpoint=str(tmp_path / "checkpoint2"))
+    assert place.stored() == place.seen() == [("a", 0), ("b", 0)]
+
+
+def test_a_run_that_finds_nothing_leaves_the_store_alone(spark, place):
+    job = {"id": "a", "title": "T", "location": "US", "id_icims": "1"}
+    place.land(page("amazon", {"jobs": [job, {**job, "id": "x", "location": "CA"}]}))
+    place.run("amazon")
+    place.land(items("d"), *details("d"))
+    place.run("amazon")
+    rows = spark.createDataFrame([items("d")], schemas.RAW)
+    I.ingest_batch(rows, 7, place.store, "amazon")
+    assert place.stored() == [("a", 0)]
+    assert place.tally() == {"accepted": 1, "skipped_place": 1}
+
+
+def test_replay_leaves_no_stale_outcome(spark, place):
+    frame = lambda *rows: spark.createDataFrame(list(rows), schemas.RAW)
+    I.ingest_batch(frame(items("a", bad=["a"]), *details("a")), 0, place.store, "dice")
+    I.ingest_batch(frame(items("a"), *details("a")), 0, place.store, "dice")
+    assert (place.stored(), place.rejected()) == ([("a", 0)], [])
+
+
+def test_compacted_ids_are_the_same_set(spark, place):
+    for name in ("a", "b"):
+        ids = spark.createDataFrame([("dice", name), ("apple", "z")], schemas.SEEN)
+        I.add_seen(ids, place.store)
+    place.land(items("c"), *details("c"))
+    place.run()
+    pairs = lambda: sorted((r.source, r.job_id) for r in I.read_stored_seen(spark, place.store).collect())
+    before = pairs()
+    I.compact_seen(spark, place.store)
+    assert pairs() == sorted(set(before))
+    place.land(items("a", "b", "c", "d"), *details("a", "b", "c", "d"))
+    place.run()
+    assert place.stored() == [("c", 0), ("d", 1)]
 
 
 def test_replayed_batch_adds_nothing(spark, place):
@@ -90,10 +201,10 @@ def test_stop_between_postings_and_ids(spark, place, monkeypatch):
     place.land(items("a", "b"), *details("a", "b"))
     write = I._replace
 
-    def fail(df, path, partitions):
-        if path == I.seen_path(place.store):
+    def fail(df, path, *partitions):
+        if path.startswith(I.seen_path(place.store)):
             raise RuntimeError("lost")
-        write(df, path, partitions)
+        write(df, path, *partitions)
 
     monkeypatch.setattr(I, "_replace", fail)
     with pytest.raises(Exception, match="lost"):
@@ -111,6 +222,8 @@ def test_known_ids_from_elsewhere(spark, place):
     place.run()
     assert place.stored() == [("b", 0)]
     assert place.seen() == [("a", -1), ("b", 0)]
+    I.add_seen(spark.createDataFrame([("dice", "z")], schemas.SEEN), place.store)
+    assert place.seen() == [("a", -1), ("b", 0), ("z", -1)]
 
 
 def test_sources_share_a_store(spark, place, tmp_path):
@@ -124,6 +237,7 @@ def test_sources_share_a_store(spark, place, tmp_path):
     amazon = I.read_stored_postings(spark, place.store, "amazon").collect()
     # Collected afresh: the newer run replaces the older, and no id is remembered.
     assert [(r.job_id, r.batch_id) for r in amazon] == [("b", 1)]
+    assert ("a", 0) in place.stored()
     assert place.seen() == [("a", 0)]
 
 
@@ -144,3 +258,19 @@ def test_weekly_stream_agrees_with_batch(spark, tmp_path):
         got = {tuple(r) for r in weekly.read_week_counts(spark, store).collect()}
         batch = heat.week_counts(spark.read.schema(schemas.AGGREGATOR_SITE).parquet(landed))
         assert got == {tuple(r) for r in batch.collect()}
+
+
+def test_weekly_stream_keeps_no_state_and_compacts(spark, tmp_path):
+    landed, store, checkpoint = (str(tmp_path / d) for d in ("landed", "store", "checkpoint"))
+    for part in (SITES[:4], SITES[4:]):
+        spark.createDataFrame(part, schemas.AGGREGATOR_SITE).write.mode("append").parquet(landed)
+        weekly.count_days(spark, landed, store, checkpoint).awaitTermination()
+    assert not (tmp_path / "checkpoint" / "state").exists()
+    days = lambda: sorted(map(repr, weekly.read_day_counts(spark, store).collect()))
+    before = days()
+    weekly.compact_days(spark, store)
+    assert days() == before
+    spark.createDataFrame(SITES[:1], schemas.AGGREGATOR_SITE).write.mode("append").parquet(landed)
+    weekly.count_days(spark, landed, store, checkpoint).awaitTermination()
+    total = weekly.read_day_counts(spark, store).agg({"quantity": "sum"}).first()[0]
+    assert total == len(SITES) + 1

@@ -24,6 +24,20 @@ COMPANY_META = [
     "global500-rank", "global500-y-n",
     "worlds-most-admired-companies-rank", "worlds-most-admired-companies-y-n",
 ]
+COMPANY_COLUMNS = [
+    "slug", "fullname", "fortune_id", "shortname", "industry", "sector", "website", "hqaddr",
+    "hqcity", "hqstate", "hqzip", "hqtel", "ranking", "newcomer", "prevrank", "yearsonlist", "ceo",
+    "ceoforeign", "ceofounder", "ceowoman", "employees", "jobgrowth", "jobgrowthnum", "linkedin",
+    "twitter", "assets", "ticker", "mktval", "totshequity", "revenues", "revchange", "eps",
+    "epschange", "eps10yr", "eps5yr", "profitable", "profits", "prftchange", "prftpctasts",
+    "prftpctseqty", "prftpctsls", "totrti", "totrti5yr", "totrti10yr",
+    "100-fastest-growing-companies-rank", "100-fastest-growing-companies-y-n",
+    "best-companies-rank", "best-companies-y-n",
+    "change-the-world-rank", "change-the-world-y-n",
+    "global500-rank", "global500-y-n",
+    "worlds-most-admired-companies-rank", "worlds-most-admired-companies-y-n",
+    "fortune_link", "logo", "description",
+]
 COMPANY_ROOT = [("id", "fortune_id"), ("title", "shortname"), ("description", "description")]
 COMPANY_LINKED = [("link", "fortune_link"), ("logo", "logo")]
 

@@ -5,34 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Outcomes of a claimed id, which all but its first copy are duplicates of.
+CLAIMED = ("accepted", "rejected", "no_detail")
+SKIPPED = ("skipped_seen", "skipped_place")
+
 
 def tally(df: DataFrame) -> DataFrame:
     """Rows per source and outcome; ``df`` has one row per record and outcome."""
     return df.groupBy("source", "outcome").agg(F.count("*").alias("n"))
 
 
-def outcomes(accepted: DataFrame, rejected: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """Counts of accepted, rejected and duplicate records per source."""
-    named = [
-        df.select("source", F.lit(outcome).alias("outcome"))
-        for df, outcome in (
-            (accepted, "accepted"), (rejected, "rejected"), (duplicates, "duplicate"),
-        )
-    ]
-    return tally(named[0].unionByName(named[1]).unionByName(named[2]))
-
+def outcomes(classified: DataFrame) -> DataFrame:
+    """Records per source and outcome, from rows that carry their outcome and the number of their copies.
 
-def claimed_outcomes(claimed: DataFrame) -> DataFrame:
-    """The same counts from rows that carry their outcome and the number of their copies.
-
-    The copies of a key beyond its first row are its duplicates, so nothing but the first rows has
-    to be kept to count them.
+    The copies of a claimed id beyond its first are its duplicates, so nothing but the first rows has
+    to be kept to count them. A rejected record that claimed no id has none: copies of it are rejected
+    too. Every copy of a skipped record is skipped.
     """
-    totals = claimed.groupBy("source").agg(
-        F.count_if(F.col("outcome") == "accepted").alias("accepted"),
-        F.count_if(F.col("outcome") == "rejected").alias("rejected"),
-        F.sum(F.col("copies") - 1).alias("duplicate"),
-    )
-    return totals.unpivot(
-        "source", ["accepted", "rejected", "duplicate"], "outcome", "n"
-    ).filter(F.col("n") > 0)
+    n, outcome = F.col("copies"), F.col("outcome")
+    once = F.coalesce(F.col("claimed"), F.lit(True)) & outcome.isin(*CLAIMED)
+    counts = [
+        F.sum(F.when(outcome == name, F.when(once, 1).otherwise(n))).alias(name)
+        for name in (*CLAIMED, *SKIPPED)
+    ]
+    totals = classified.groupBy("source").agg(*counts, F.sum(F.when(once, n - 1)).alias("duplicate"))
+    names = [c for c in totals.columns if c != "source"]
+    return totals.unpivot("source", names, "outcome", "n").filter(F.col("n") > 0)

@@ -57,19 +57,18 @@ def list_records(raw: DataFrame) -> DataFrame:
     )
 
 
-def wanted(records: DataFrame) -> DataFrame:
-    """Records of the country, and records whose country cannot be told."""
+def listed(raw: DataFrame) -> DataFrame:
+    """Records of the country, records whose country cannot be told, and the others to be counted."""
+    records = list_records(raw)
+    inside = F.col("country_problem").isNotNull() | F.coalesce(X.in_country(F.col("country")), F.lit(False))
     return (
-        records.filter(F.col("country_problem").isNotNull() | X.in_country(F.col("country")))
+        records.withColumn("skip", F.when(~inside, F.lit("skipped_place")))
         .withColumn("problem", F.coalesce("country_problem", "id_problem"))
         .drop("country", "country_problem", "id_problem")
     )
 
 
-def classify_amazon(
-    raw: DataFrame, seen: DataFrame | None = None, split_bullets: bool = True
-) -> DataFrame:
-    claimed = common.claim(wanted(list_records(raw)), seen)
+def finish(claimed: DataFrame, split_bullets: bool = True) -> DataFrame:
     item = F.col("item")
     title = J.text_field(item, "title", required=True)
     place = J.text_field(item, "location")
@@ -104,9 +103,13 @@ def classify_amazon(
     )
 
 
+PLAN = common.Plan(listed, None, finish)
+classify_amazon = PLAN.classify
+
+
 def normalise_amazon(
     raw: DataFrame, seen: DataFrame | None = None, split_bullets: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     return common.split_outcomes(
-        classify_amazon(raw, seen, split_bullets), fixed.JOB_COLUMNS
+        classify_amazon(raw, seen, split_bullets=split_bullets), fixed.JOB_COLUMNS
     )

@@ -6,25 +6,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia import fixed, schemas
+from vacantia.functions import html as H
 from vacantia.functions import json as J
 from vacantia.functions import text as X
 from vacantia.functions.dates import day_month_date
 from vacantia.functions.urls import posting_url
 from vacantia.plans import common
-from vacantia.sources.landed import pages_of, xml_items
+from vacantia.sources.landed import array_items, pages_of
 
 SOURCE = "apple"
-LIST_SCHEMA = "count string, requisition array<struct<jobid: string, jobfunction: string>>"
-
-
-def _count_problem(doc: Column) -> Column:
-    return F.when(
-        F.trim(doc["count"]).try_cast("bigint").isNull(), F.lit("count is not a number")
-    )
+# --- fixed values: elements of the list pages, as the reader gives them, in lower case -----------
+COUNT, RECORD, RECORD_FIELDS = "count", "requisition", ("jobid", "jobfunction")
 
 
 def list_records(raw: DataFrame) -> DataFrame:
-    items = xml_items(pages_of(raw, SOURCE), LIST_SCHEMA, "requisition", _count_problem)
+    """Records of the XML lists, read as tolerantly as HTML: a bare ``&`` or a cut page costs nothing else."""
+    pages = pages_of(raw, SOURCE).withColumn("nodes", H.nodes(F.col("body")))
+    nodes = F.col("nodes")
+    first = lambda found: H.text_below(nodes, F.get(found, 0))
+    field = lambda r, tag: first(F.filter(H.below(nodes, r), H.tagged(tag)))
+    entries = F.transform(
+        H.select(nodes, H.tagged(RECORD)),
+        lambda r: F.struct(*(field(r, tag).alias(tag) for tag in RECORD_FIELDS)),
+    )
+    counts = H.select(nodes, H.tagged(COUNT))
+    problem = (
+        F.when(F.coalesce(F.forall(nodes, H.is_text), F.lit(True)), F.lit("body is not XML"))
+        .when(F.size(counts) == 0, F.lit("count is missing"))
+        .when(F.trim(first(counts)).try_cast("bigint").isNull(), F.lit("count is not a number"))
+    )
+    items = array_items(pages, entries, problem)
     key = F.when(F.col("item.jobid") != "", F.col("item.jobid"))
     return items.withColumn("list_id", key).withColumn(
         "problem",
@@ -86,11 +97,10 @@ def details(raw: DataFrame) -> DataFrame:
     ).withColumn("body", F.when(F.col("detail_problem").isNotNull(), F.col("body"))).drop("doc")
 
 
-def classify_apple(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    claimed = common.claim(list_records(raw), seen)
+def finish(joined: DataFrame) -> DataFrame:
     function = F.when(F.col("item.jobfunction") != "", F.col("item.jobfunction"))
     return common.classified(
-        common.attach_details(claimed, details(raw)),
+        joined,
         common.first_problem(
             F.col("detail_problem"),
             F.when(function.isNull(), F.lit("jobfunction is missing")),
@@ -108,6 +118,10 @@ def classify_apple(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     )
 
 
+PLAN = common.Plan(list_records, details, finish)
+classify_apple = PLAN.classify
+
+
 def normalise_apple(
     raw: DataFrame, seen: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:

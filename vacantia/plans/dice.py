@@ -42,15 +42,14 @@ def details(raw: DataFrame) -> DataFrame:
     return pages.withColumn("description", text).drop("nodes", "body")
 
 
-def classify_dice(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    claimed = common.claim(list_records(raw), seen)
+def finish(joined: DataFrame) -> DataFrame:
     item = F.col("item")
     title = J.text_field(item, "jobTitle")
     company = J.text_field(item, "company")
     place = J.text_field(item, "location")
     day, day_problem = J.date_field(J.text_field(item, "date"), iso_date, "date")
     return common.classified(
-        common.attach_details(claimed, details(raw)),
+        joined,
         common.first_problem(title.problem, place.problem, day_problem, company.problem),
         F.coalesce(F.to_json(item), F.col("page_body")),
         job_id=F.col("list_id"),
@@ -65,6 +64,10 @@ def classify_dice(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     )
 
 
+PLAN = common.Plan(list_records, details, finish)
+classify_dice = PLAN.classify
+
+
 def normalise_dice(
     raw: DataFrame, seen: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -49,10 +49,12 @@ def list_records(raw: DataFrame) -> DataFrame:
     )
 
 
-def wanted(records: DataFrame) -> DataFrame:
-    """Records whose place names a state, and records with a problem; others claim no id."""
-    return records.filter(
-        F.col("problem").isNotNull() | X.names_a_state(F.col("item.place"))
+def listed(raw: DataFrame) -> DataFrame:
+    """Records whose place names a state, and records with a problem; the others are only counted."""
+    records = list_records(raw)
+    named = F.coalesce(X.names_a_state(F.col("item.place")), F.lit(False))
+    return records.withColumn(
+        "skip", F.when(F.col("problem").isNull() & ~named, F.lit("skipped_place"))
     )
 
 
@@ -99,10 +101,9 @@ def details(raw: DataFrame) -> DataFrame:
     )
 
 
-def classify_facebook(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    claimed = common.claim(wanted(list_records(raw)), seen)
+def finish(joined: DataFrame) -> DataFrame:
     return common.classified(
-        common.attach_details(claimed, details(raw)),
+        joined,
         common.first_problem(F.col("detail_problem")),
         F.coalesce("body", F.to_json("item"), "page_body"),
         job_id=F.col("job_id"),
@@ -117,6 +118,10 @@ def classify_facebook(raw: DataFrame, seen: DataFrame | None = None) -> DataFram
     )
 
 
+PLAN = common.Plan(listed, details, finish)
+classify_facebook = PLAN.classify
+
+
 def normalise_facebook(
     raw: DataFrame, seen: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -27,8 +27,14 @@ PLACE_KEYS = ["formattedLocationFull", "formattedLocation", "city"]
 def list_records(raw: DataFrame) -> DataFrame:
     items = json_items(pages_of(raw, SOURCE), "results")
     key = J.id_field(F.col("item"), "jobkey")
-    return items.withColumn("list_id", key.value).withColumn(
-        "problem", F.coalesce(F.col("problem"), key.problem)
+    # The url is needed to fetch the page, after the id has been claimed.
+    link = J.text_field(F.col("item"), "url", required=True)
+    return items.withColumns(
+        {
+            "list_id": key.value,
+            "claim_problem": link.problem,
+            "problem": F.coalesce(F.col("problem"), key.problem),
+        }
     )
 
 
@@ -59,13 +65,9 @@ def details(raw: DataFrame) -> DataFrame:
     ).drop("nodes", "content", "body")
 
 
-def classify_indeed(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    # The url is needed to fetch the page, after the id has been claimed.
-    claimed = common.claim(list_records(raw), seen)
+def finish(joined: DataFrame) -> DataFrame:
     link = J.text_field(F.col("item"), "url", required=True)
-    claimed = claimed.withColumn("link", link.value).withColumn(
-        "problem", F.coalesce(F.col("problem"), link.problem)
-    )
+    joined = joined.withColumn("link", link.value)
     item, original = F.col("item"), F.col("original")
     title = J.text_field(item, "jobtitle")
     place = _place(item)
@@ -77,7 +79,7 @@ def classify_indeed(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     )
     page = F.coalesce(F.col("detail_url"), F.col("link"))
     return common.classified(
-        common.attach_details(claimed, details(raw)),
+        joined,
         common.first_problem(title.problem, place.problem, day_problem),
         F.coalesce(F.to_json(item), F.col("page_body")),
         job_id=F.col("list_id"),
@@ -94,6 +96,10 @@ def classify_indeed(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     )
 
 
+PLAN = common.Plan(list_records, details, finish)
+classify_indeed = PLAN.classify
+
+
 def normalise_indeed(
     raw: DataFrame, seen: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:

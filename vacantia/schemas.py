@@ -77,12 +77,5 @@ CHARS = T.StructType(
     [T.StructField("ch", T.StringType()), T.StructField("is_word", T.BooleanType())]
 )
 
-# Two identity members come between the second and third name, the linked ones before the text.
-COMPANY_COLUMNS = (
-    fixed.COMPANY_META[:2]
-    + [name for _, name in fixed.COMPANY_ROOT[:2]]
-    + fixed.COMPANY_META[2:]
-    + [name for _, name in fixed.COMPANY_LINKED]
-    + [name for _, name in fixed.COMPANY_ROOT[2:]]
-)
+COMPANY_COLUMNS = fixed.COMPANY_COLUMNS
 COMPANY = T.StructType([T.StructField(c, T.StringType()) for c in COMPANY_COLUMNS])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,11 +28,9 @@ def build_session(app: str = "vacantia", master: str | None = None, **extra) ->
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Where that is unset, it is made under the warehouse, which every deployment shares.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="vacantia-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,4 +1,4 @@
-"""Landed payloads: the raw table, and the records inside JSON, XML and HTML bodies."""
+"""Landed payloads: the raw table, and the records inside JSON bodies and arrays."""
 
 from __future__ import annotations
 
@@ -56,20 +56,7 @@ def json_items(pages: DataFrame, key: str, page_check=None) -> DataFrame:
     return _items(parsed.withColumn("page_problem", problem))
 
 
-def xml_items(pages: DataFrame, schema: str, entries: str, page_check=None) -> DataFrame:
-    """Entries of a repeated XML element, each a struct ``item`` with its place ``item_no``."""
-    options = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
-    parsed = pages.withColumn("doc", F.from_xml("body", F.lit(schema), options))
-    problem = F.when(F.col("doc").isNull(), F.lit("body is not XML"))
-    if page_check is not None:
-        problem = F.coalesce(problem, page_check(F.col("doc")))
-    return _items(
-        parsed.withColumn("page_problem", problem).withColumn("entries", F.col("doc")[entries])
-    )
-
-
-def array_items(pages: DataFrame, entries) -> DataFrame:
-    """Entries of an array computed from the page, for HTML lists."""
-    return _items(
-        pages.withColumn("page_problem", J.no_problem()).withColumn("entries", entries)
-    )
+def array_items(pages: DataFrame, entries, problem=None) -> DataFrame:
+    """Entries of an array computed from the page, for HTML and XML lists."""
+    page_problem = J.no_problem() if problem is None else problem
+    return _items(pages.withColumn("page_problem", page_problem).withColumn("entries", entries))

@@ -11,7 +11,7 @@ from vacantia.functions.dates import site_date
 from vacantia.functions.text import strip
 
 
-def _if_there(read, empty):
+def if_there(read, empty):
     """What ``read`` gives, or ``empty`` where its path does not exist yet."""
     try:
         return read()
@@ -28,7 +28,7 @@ def read_seen(spark: SparkSession, path: str, source: str) -> DataFrame:
         lines = spark.read.text(path).select(strip(F.col("value")).alias("job_id"))
         return lines.distinct().select(F.lit(source).alias("source"), "job_id")
 
-    return _if_there(read, lambda: spark.createDataFrame([], schemas.SEEN))
+    return if_there(read, lambda: spark.createDataFrame([], schemas.SEEN))
 
 
 def append_seen(postings: DataFrame, path: str) -> None:
@@ -40,7 +40,7 @@ def append_seen(postings: DataFrame, path: str) -> None:
 def read_table(spark: SparkSession, path: str, schema, base: str | None = None) -> DataFrame:
     """A Parquet table of the engine, or one folder of it; empty where it does not exist yet."""
     reader = spark.read.schema(schema).option("basePath", base or path)
-    return _if_there(
+    return if_there(
         lambda: reader.parquet(path), lambda: spark.createDataFrame([], schema)
     )
 
@@ -70,7 +70,8 @@ def read_postings(spark: SparkSession, path: str, aggregator: bool = False) -> D
 def read_sites(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Geolocated postings from CSV by column name: ``company`` or ``aggregator`` files.
 
-    Read as text and cast, so other columns may come in any order and a bad number is NULL.
+    Read as text and cast, so other columns may come in any order and a bad number is NULL. Other
+    columns may hold quoted line breaks, so each file is read as a whole by one task.
     """
     first = {
         "company": F.when(F.col("company") != "NA", F.col("company")).alias("company"),
@@ -78,7 +79,8 @@ def read_sites(spark: SparkSession, path: str, kind: str) -> DataFrame:
     }
     if kind not in first:
         raise ValueError(f"kind is 'company' or 'aggregator', not {kind!r}")
-    files = spark.read.option("header", True).option("escape", '"').csv(path)
+    reader = spark.read.option("header", True).option("multiLine", True)
+    files = reader.option("quote", '"').option("escape", '"').csv(path)
     return files.select(
         first[kind],
         *(F.col(c).try_cast("double").alias(c) for c in ("latitude", "longitude")),
@@ -93,12 +95,12 @@ def read_chars(spark: SparkSession, path: str) -> DataFrame:
         newest = versions.agg(F.max("version")).scalar()
         return versions.filter(F.col("version") == newest).select("ch", "is_word")
 
-    return _if_there(read, lambda: spark.createDataFrame([], schemas.CHARS))
+    return if_there(read, lambda: spark.createDataFrame([], schemas.CHARS))
 
 
 def write_chars(chars: DataFrame, path: str, version: int) -> None:
     """Write one version of the character table; the earlier ones stay readable meanwhile."""
-    chars.select("ch", "is_word").coalesce(1).write.mode("overwrite").parquet(
+    chars.select("ch", "is_word").write.mode("overwrite").parquet(
         f"{path}/version={version}"
     )
 

@@ -1,26 +1,35 @@
 """Incremental ingest: landed files in, postings, rejected records and seen ids out.
 
 One stream run with ``availableNow`` takes what has landed since the last one. Every micro-batch
-writes the partition of its own batch id and replaces it when it is replayed, so losing the job
-between two writes repeats work but never rows. Ids are taken from rows that were written, so a
-rejected record is tried again when it is collected again.
+writes folders of its own run (named after its checkpoint) and batch id and replaces them whole when
+it is replayed, so losing the job between two writes repeats work but never rows, and runs never touch
+each other's. Ids are taken from rows that were written, so a rejected record is tried again when it is
+collected again.
+
+List records whose detail page has not landed wait in the store, and so do detail pages whose list
+record has not; every later batch of the run joins them with what it brings. Their ids stay open.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vacantia import schemas
-from vacantia.operators.outcomes import claimed_outcomes
-from vacantia.plans import CLASSIFY
-from vacantia.plans.common import CLASSIFIED
-from vacantia.sources.stored import read_table
+from vacantia.operators.outcomes import outcomes
+from vacantia.plans import KEEPS_IDS, PLANS
+from vacantia.plans import common
+from vacantia.sources.landed import pages_of
+from vacantia.sources.stored import if_there, read_table
 
-BATCH = T.StructField("batch_id", T.LongType())
-RECORDS = T.StructType([*CLASSIFIED.fields, BATCH])
-SEEN = T.StructType([*schemas.SEEN.fields, BATCH])
+RUN = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+RECORDS = T.StructType([*common.CLASSIFIED.fields, *RUN])
+SEEN = T.StructType([*schemas.SEEN.fields, *RUN])
+PAGES = T.StructType([*schemas.RAW.fields, *RUN])
 
 
 def records_path(store: str) -> str:
@@ -31,34 +40,44 @@ def seen_path(store: str) -> str:
     return f"{store}/seen"
 
 
+def waiting_path(store: str, kind: str) -> str:
+    """Where list records (``list``) or detail pages (``detail``) wait for each other."""
+    return f"{store}/waiting_{kind}"
+
+
+def run_of(checkpoint: str) -> str:
+    """A name for all that one checkpoint has taken; never mistaken for a number."""
+    return f"r{hashlib.sha256(checkpoint.encode()).hexdigest()[:12]}"
+
+
+def _folder(source: str, run: str, batch_id: int) -> str:
+    return f"source={source}/run={run}/batch_id={batch_id}"
+
+
 def read_records(
-    spark: SparkSession, store: str, source: str | None = None, batch_id: int | None = None
+    spark: SparkSession, store: str, source: str | None = None, batch: str | None = None
 ) -> DataFrame:
-    """Classified records, of one source or one of its batches if named."""
-    return _read(spark, records_path(store), RECORDS, source, batch_id)
+    """Classified records, of one source or one of its batches (``run=.../batch_id=...``) if named."""
+    return _read(spark, records_path(store), RECORDS, source, batch)
 
 
-def _read(spark, path, schema, source=None, batch_id=None) -> DataFrame:
+def _read(spark, path, schema, source=None, batch=None) -> DataFrame:
     """A table by its partition folders, so that no more of them are listed than are read."""
-    part = path
-    if source is not None:
-        part += f"/source={source}"
-        if batch_id is not None:
-            part += f"/batch_id={batch_id}"
+    part = "/".join(p for p in (path, source and f"source={source}", batch) if p)
     return read_table(spark, part, schema, base=path)
 
 
 def read_stored_postings(
-    spark: SparkSession, store: str, source: str | None = None, batch_id: int | None = None
+    spark: SparkSession, store: str, source: str | None = None, batch: str | None = None
 ) -> DataFrame:
-    records = read_records(spark, store, source, batch_id)
+    records = read_records(spark, store, source, batch)
     accepted = records.filter(F.col("outcome") == "accepted")
-    return accepted.select(*schemas.STORED_POSTING.names, "batch_id")
+    return accepted.select(*schemas.STORED_POSTING.names, "run", "batch_id")
 
 
 def read_rejected(spark: SparkSession, store: str) -> DataFrame:
     rejected = read_records(spark, store).filter(F.col("outcome") == "rejected")
-    return rejected.select("source", "list_id", "error_reason", "record", "batch_id")
+    return rejected.select("source", "list_id", "error_reason", "record", "run", "batch_id")
 
 
 def read_stored_seen(spark: SparkSession, store: str, source: str | None = None) -> DataFrame:
@@ -66,46 +85,124 @@ def read_stored_seen(spark: SparkSession, store: str, source: str | None = None)
 
 
 def add_seen(ids: DataFrame, store: str) -> None:
-    """Take over ids that are known from elsewhere, as batch -1."""
-    known = ids.select("source", "job_id").distinct().withColumn("batch_id", F.lit(-1))
-    _replace(known, seen_path(store), ["source", "batch_id"])
-
-
-def _replace(df: DataFrame, path: str, partitions: list[str]) -> None:
-    """Replace the partitions that ``df`` has rows in."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
+    """Take over ids that are known from elsewhere, as a run of its own with batch -1."""
+    known = ids.select("source", "job_id").distinct()
+    known = known.withColumns({"run": F.lit(f"import-{uuid.uuid4().hex}"), "batch_id": F.lit(-1)})
+    known.write.mode("append").partitionBy("source", "run", "batch_id").parquet(seen_path(store))
+
+
+def compact_seen(spark: SparkSession, store: str) -> None:
+    """Put all stored ids into one batch per source; not while a run is going.
+
+    The ids are staged next to the table first. If the job is lost while it replaces the table, the
+    staged folder still holds all of them.
+    """
+    staged = f"{seen_path(store)}-compact-{uuid.uuid4().hex}"
+    read_stored_seen(spark, store).select("source", "job_id").distinct().write.parquet(staged)
+    ids = spark.read.schema(schemas.SEEN).parquet(staged)
+    ids = ids.withColumns({"run": F.lit("compacted"), "batch_id": F.lit(-1)})
+    _replace(ids, seen_path(store), "source", "run", "batch_id")
+
+
+def _replace(df: DataFrame, path: str, *partitions: str) -> None:
+    """Replace a folder whole, so that no partition of an earlier attempt stays behind."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+
+
+def _still_waiting(rows: DataFrame, key: str, store: str, source: str, run: str, before: int) -> DataFrame:
+    """Of rows stored by earlier batches of a run, those whose id no batch since has settled."""
+    spark = rows.sparkSession
+    rows = rows.filter((F.col("run") == run) & (F.col("batch_id") < before))
+    seen = read_stored_seen(spark, store, source)
+    own = (F.col("run") == run) & (F.col("batch_id") >= before)
+    stored = seen.filter(~own).select(F.col("job_id").alias(key)).distinct()
+    rejected = read_records(spark, store, source).filter(
+        (F.col("outcome") == "rejected") & (F.col("run") == run) & (F.col("batch_id") < before)
     )
+    settled = rejected.groupBy(F.col("list_id").alias(key)).agg(F.max("batch_id").alias("settled"))
+    rows = rows.join(stored, key, "left_anti").join(settled, key, "left")
+    open_yet = F.col("settled").isNull() | (F.col("settled") <= F.col("batch_id"))
+    return rows.filter(open_yet).drop("settled")
+
+
+def waiting_claims(spark: SparkSession, store: str, source: str, run: str, before: int) -> DataFrame | None:
+    """List records of a run whose detail page has not come before a batch; None where there never were any."""
+    base = waiting_path(store, "list")
+    reader = spark.read.option("basePath", base)
+    rows = if_there(lambda: reader.parquet(f"{base}/source={source}"), lambda: None)
+    return rows and _still_waiting(rows, "claim", store, source, run, before).drop("run", "batch_id")
+
+
+def waiting_pages(spark: SparkSession, store: str, source: str, run: str, before: int) -> DataFrame:
+    """Detail pages of a run whose list record has not come before a batch."""
+    rows = _read(spark, waiting_path(store, "detail"), PAGES, source)
+    return _still_waiting(rows, "list_id", store, source, run, before).select(*schemas.RAW.names)
 
 
 def ingest_batch(
-    landed: DataFrame, batch_id: int, store: str, source: str, incremental: bool = True
+    landed: DataFrame,
+    batch_id: int,
+    store: str,
+    source: str,
+    incremental: bool | None = None,
+    run: str = "direct",
 ) -> None:
-    """Classify one batch of landed payloads and store what came of it."""
-    spark = landed.sparkSession
-    seen = None
-    if incremental:
-        seen = read_stored_seen(spark, store, source).filter(F.col("batch_id") != batch_id)
-    rows = CLASSIFY[source](landed, seen).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    partitions = ["source", "batch_id", "outcome"]
-    if incremental:
-        _replace(rows, records_path(store), partitions)
-    else:
-        # A source without stored ids is collected afresh: its older batches go.
-        rows.drop("source").write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy(*partitions[1:]).parquet(f"{records_path(store)}/source={source}")
+    """Classify one batch of landed payloads and store what came of it; other sources are left alone.
+
+    ``incremental`` keeps stored ids from being taken again; by default it is on for the sources
+    that keep ids. A source without is collected afresh: what its older batches stored is replaced.
+    """
+    spark, plan = landed.sparkSession, PLANS[source]
+    incremental = source in KEEPS_IDS if incremental is None else incremental
+    landed = landed.filter(F.col("source") == source)
+    if landed.isEmpty():
+        return
+    folder = _folder(source, run, batch_id)
+    own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+    seen = read_stored_seen(spark, store, source).filter(~own) if incremental else None
+    new = common.claim(plan.listed(landed), seen)
+    claimed = new
+    if plan.details is not None:
+        pages = landed
+        if incremental:
+            waiting = waiting_claims(spark, store, source, run, batch_id)
+            claimed = new if waiting is None else common.merged_claims(new, waiting)
+            pages = landed.unionByName(waiting_pages(spark, store, source, run, batch_id))
+        claimed = common.attach_details(claimed, plan.details(pages))
+    rows = plan.finish(claimed)
+    if not incremental:
+        rows = rows.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
+        whole = f"{records_path(store)}/source={source}"
+        _replace(rows.drop("source"), whole, "run", "batch_id", "outcome")
         return
-    written = read_stored_postings(spark, store, source, batch_id)
+    rows = rows.filter(F.col("outcome") != "no_detail").drop("source")
+    _replace(rows, f"{records_path(store)}/{folder}", "outcome")
+    batch = folder.split("/", 1)[1]
+    written = read_stored_postings(spark, store, source, batch)
     # Both the id a posting was listed under and its own: either one marks it as stored.
-    ids = written.select(
-        "source", F.explode(F.array_distinct(F.array("list_id", "job_id"))).alias("job_id"),
-        "batch_id",
+    ids = written.select(F.explode(F.array_distinct(F.array("list_id", "job_id"))).alias("job_id"))
+    _replace(ids.filter(F.col("job_id").isNotNull()), f"{seen_path(store)}/{folder}")
+    if plan.details is not None:
+        _keep_waiting(new, landed, store, source, run, batch_id)
+
+
+def _keep_waiting(new: DataFrame, landed: DataFrame, store: str, source: str, run: str, batch_id: int) -> None:
+    """Store what this batch brought and could not match: claimed records, and pages of unlisted ids."""
+    spark, folder = landed.sparkSession, _folder(source, run, batch_id)
+    settled = read_records(spark, store, source, folder.split("/", 1)[1]).filter(
+        F.col("outcome").isin("accepted", "rejected") & F.col("list_id").isNotNull()
     )
-    _replace(ids.filter(F.col("job_id").isNotNull()), seen_path(store), ["source", "batch_id"])
+    settled = settled.select(F.col("list_id").alias("claim")).distinct()
+    open_claims = new.filter(F.col("claimed") & F.col("skip").isNull() & F.col("claim_problem").isNull())
+    open_claims = open_claims.join(settled, "claim", "left_anti").drop("source")
+    _replace(open_claims, f"{waiting_path(store, 'list')}/{folder}")
+    pages = pages_of(landed, source, "detail").filter(F.col("list_id").isNotNull())
+    stored = read_stored_seen(spark, store, source).select(F.col("job_id").alias("list_id")).distinct()
+    listed = settled.select(F.col("claim").alias("list_id"))
+    # Ids first, as they are small; then only the pages that are kept move.
+    unlisted = pages.select("list_id").distinct().join(listed.union(stored), "list_id", "left_anti")
+    _replace(pages.join(unlisted, "list_id", "left_semi").drop("source"), f"{waiting_path(store, 'detail')}/{folder}")
 
 
 def ingest(
@@ -114,17 +211,21 @@ def ingest(
     store: str,
     checkpoint: str,
     source: str,
-    incremental: bool = True,
+    incremental: bool | None = None,
 ):
-    """Start the stream for one source; it ends when everything landed has been taken."""
+    """Start the stream for one source; it ends when everything landed has been taken.
+
+    Only the folder of the source is listed, so it must have landed something.
+    """
+    run = run_of(checkpoint)
     stream = (
         spark.readStream.schema(schemas.RAW)
-        .parquet(landed)
-        .filter(F.col("source") == source)
+        .parquet(f"{landed}/source={source}")
+        .withColumn("source", F.lit(source))
     )
     return (
         stream.writeStream.foreachBatch(
-            lambda df, batch_id: ingest_batch(df, batch_id, store, source, incremental)
+            lambda df, batch_id: ingest_batch(df, batch_id, store, source, incremental, run)
         )
         .option("checkpointLocation", checkpoint)
         .queryName(f"ingest-{source}")
@@ -134,5 +235,20 @@ def ingest(
 
 
 def stored_outcomes(spark: SparkSession, store: str) -> DataFrame:
-    """Accepted, rejected and duplicate records per source, over all batches."""
-    return claimed_outcomes(read_records(spark, store).select("source", "outcome", "copies"))
+    """Records per source and outcome over all batches, with those that still wait for their page."""
+    columns = ["source", "outcome", "copies", "claimed"]
+    rows = read_records(spark, store).select(*columns)
+    keys = T.StructType(
+        [
+            T.StructField("source", T.StringType()), T.StructField("claim", T.StringType()),
+            T.StructField("copies", T.LongType()), *RUN,
+        ]
+    )
+    waiting = read_table(spark, waiting_path(store, "list"), keys)
+    for source, run in sorted(tuple(r) for r in waiting.select("source", "run").distinct().collect()):
+        own = _still_waiting(waiting.filter(F.col("source") == source), "claim", store, source, run, 1 << 62)
+        own = own.groupBy("source", "claim").agg(F.sum("copies").alias("copies"))
+        rows = rows.unionByName(
+            own.select("source", F.lit("no_detail").alias("outcome"), "copies", F.lit(True).alias("claimed"))
+        )
+    return outcomes(rows)

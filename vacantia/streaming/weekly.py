@@ -1,11 +1,14 @@
 """Postings per day and place, kept up to date by a stream.
 
 The week of a posting depends on the newest date, which moves, so the stream counts days and the
-week is taken when the table is read.
+week is taken when the table is read. Each batch stores counts of its own rows, and reading adds them
+up: the stream keeps no state, and a replayed batch replaces what it wrote.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,38 +16,32 @@ from pyspark.sql import types as T
 from vacantia import schemas
 from vacantia.functions.dates import week_age
 from vacantia.sources.stored import read_table
+from vacantia.streaming.ingest import run_of
 
 DAY = ["date_posted", "latitude", "longitude"]
 COUNTS = T.StructType(
     [
         *schemas.AGGREGATOR_SITE.fields,
         T.StructField("quantity", T.LongType()),
+        T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
 
 def count_days(spark: SparkSession, landed: str, store: str, checkpoint: str):
-    """Start the stream: each batch writes the new totals of the days and places it touched."""
-    totals = (
-        spark.readStream.schema(schemas.AGGREGATOR_SITE)
-        .parquet(landed)
-        .groupBy(*DAY)
-        .agg(F.count("*").alias("quantity"))
-    )
+    """Start the stream: each batch writes the counts of its rows by day and place."""
+    run = run_of(checkpoint)
 
-    def write(changed: DataFrame, batch_id: int) -> None:
-        (
-            changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(store)
-        )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(*DAY).agg(F.count("*").alias("quantity"))
+        writer = counts.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.parquet(f"{store}/run={run}/batch_id={batch_id}")
 
     return (
-        totals.writeStream.outputMode("update")
-        .foreachBatch(write)
+        spark.readStream.schema(schemas.AGGREGATOR_SITE)
+        .parquet(landed)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -52,9 +49,18 @@ def count_days(spark: SparkSession, landed: str, store: str, checkpoint: str):
 
 
 def read_day_counts(spark: SparkSession, store: str) -> DataFrame:
-    """The latest total of every day and place."""
-    totals = read_table(spark, store, COUNTS)
-    return totals.groupBy(*DAY).agg(F.max_by("quantity", "batch_id").alias("quantity"))
+    """The total of every day and place."""
+    return read_table(spark, store, COUNTS).groupBy(*DAY).agg(F.sum("quantity").alias("quantity"))
+
+
+def compact_days(spark: SparkSession, store: str) -> None:
+    """Put all counts into one batch; not while a stream is going, nor before it has ended its last batch."""
+    staged = f"{store}-compact-{uuid.uuid4().hex}"
+    read_day_counts(spark, store).write.parquet(staged)
+    days = spark.read.parquet(staged).withColumns({"run": F.lit("compacted"), "batch_id": F.lit(-1)})
+    days.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "run", "batch_id"
+    ).parquet(store)
 
 
 def read_week_counts(spark: SparkSession, store: str) -> DataFrame:

@@ -68,7 +68,7 @@ def page_first_link(spark, sf):
            case when link is null then url
                 when link like 'http%' then link
                 else regexp_extract(url, '^(https?://[^/?#]*)', 1) || link end as resolved,
-           replace(url, 'http://www.', 'http://www.') as rewritten,
+           'https://www.dice.com/jobs/detail/' || page_id || '/?from=' || url as rewritten,
            'https://www.dice.com/jobs/detail/' || page_id || '?src=19' as detail_url,
            'https://jobs.apple.com/us/search#&ss=' || page_id as posting_url
     from (select page_id, url, {FIRST_LINK} as link from pages)
@@ -80,7 +80,9 @@ def url_rewrite(spark, sf):
     return _parsed(spark, sf).select(
         "page_id",
         U.resolve(F.col("url"), H.first_href(links)).alias("resolved"),
-        U.detail_url(F.col("url")).alias("rewritten"),
+        U.detail_url(
+            F.concat(F.lit("http://www.dice.com/job/result/"), number, F.lit("/?from="), "url")
+        ).alias("rewritten"),
         U.detail_url(found).alias("detail_url"),
         U.posting_url(number).alias("posting_url"),
     )

@@ -1,6 +1,7 @@
 """Landed payloads derived from the tables, in the layout each source delivers.
 
-List pages hold at most a hundred records each, as the sources page them.
+List pages hold at most a hundred records each, as the sources page them. Some are broken in ways
+that a tolerant reader takes: a bare ``&``, a page that ends early.
 """
 
 from pyspark.sql import functions as F
@@ -122,8 +123,8 @@ def apple(spark, sf):
     )
     k = "o_orderkey"
     number = F.col(k).cast("string")
-    function = F.concat(F.lit("<jobFunction>"), "o_orderstatus", F.col("term_no"),
-                        F.lit("</jobFunction>"))
+    function = F.concat(F.lit("<jobFunction>"), every(k, 43, F.lit("R&D "), F.lit("")), "o_orderstatus",
+                        F.col("term_no"), F.lit("</jobFunction>"))
     text = F.concat(
         F.lit("<requisition><jobId>"), number, F.lit("</jobId>"),
         every(k, 31, F.lit(""), function), F.lit("</requisition>"),
@@ -133,6 +134,9 @@ def apple(spark, sf):
         records, "apple", "<result><count>100</count>", "", "</result>",
         "https://jobs.apple.com/us/search/search-result",
     )
+    # Every fifth page ends early, before the end tags of its last record.
+    cut = F.regexp_replace("body", "</requisition></result>$", "")
+    lists = lists.withColumn("body", F.when(F.col("page") % 5 == 2, cut).otherwise(F.col("body")))
     fields = json_object(
         keyQualifications=F.concat(F.lit(" one \n\n two "), "o_custkey"),
         additionalRequirements=every(k, 2, F.col("o_orderstatus")),

@@ -20,6 +20,7 @@ def _shown(classified, *columns):
     """Outcome, reason and the named columns, flat: days as text, section lists as lines."""
     flat = {
         "date_posted": F.date_format("date_posted", "yyyy-MM-dd"),
+        "time_scraped": F.col("time_scraped").cast("string"),
         "listings": F.array_join(
             F.transform(
                 "listings",
@@ -28,14 +29,18 @@ def _shown(classified, *columns):
             "\n",
         ),
     }
-    return classified.select(
+    # Records that were skipped or wait for their page are counted by the tally, not shown.
+    shown = classified.filter(F.col("outcome").isin("accepted", "rejected"))
+    return shown.select(
         "list_id", "outcome", "error_reason",
+        flat["time_scraped"].alias("time_scraped"),
         *(flat.get(c, F.col(c)).alias(c) for c in columns),
     )
 
 
 def _good(**columns):
     """SQL of the columns, NULL where there is an error."""
+    columns = {"time_scraped": f"'{P.FETCHED}'", **columns}
     return ",\n".join(
         f"case when error_reason is null then {sql} end as {name}" for name, sql in columns.items()
     )
@@ -92,7 +97,7 @@ def amazon_postings(spark, sf):
         from listed where rn = 1 and k % 41 <> 0)
     select cast(k as varchar) as list_id, {OUTCOME}, {_good(
         job_id="cast(k as varchar)", title="o_orderpriority",
-        department="o_orderstatus || term_no",
+        department="case when k % 43 = 0 then 'R&D ' else '' end || o_orderstatus || term_no",
         location="'Place ' || o_custkey || case when k % 2 = 0 then ', NY' else '' end",
         date_posted="strftime(o_orderdate, '%Y-%m-%d')",
         url="'https://jobs.apple.com/us/search#&ss=' || k",
@@ -132,7 +137,7 @@ def apple_postings(spark, sf):
     )}
     from checked
     union all
-    select null, 'rejected', 'link has no id', null, null, null, null, null, null, null, null
+    select null, 'rejected', 'link has no id', null, null, null, null, null, null, null, null, null
     from listed where no_id
 """)
 def facebook_postings(spark, sf):
@@ -165,7 +170,7 @@ LINES = strip(
     )}
     from checked
     union all
-    select null, 'rejected', 'detailUrl has no id', null, null, null, null, null, null, null, null
+    select null, 'rejected', 'detailUrl has no id', null, null, null, null, null, null, null, null, null
     from listed where k % 29 = 0
 """)
 def dice_postings(spark, sf):

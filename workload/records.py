@@ -7,7 +7,7 @@ from vacantia.functions import text as X
 from vacantia.operators.dedupe import first_seen as keep_first
 from vacantia.operators.dedupe import only_new
 from vacantia.operators.details import list_detail as join_details
-from vacantia.operators.outcomes import claimed_outcomes
+from vacantia.operators.outcomes import outcomes as tally_outcomes
 from vacantia.plans import apple
 from vacantia.sources.sinks import filled
 from workload.registry import query, table
@@ -73,7 +73,7 @@ def outcomes(spark, sf):
     claims = keep_first(events, ["source", "user_id"], ["event_id"], copies="copies")
     small = J.json_field(F.col("props"), "k").cast("bigint") < 20
     outcome = F.when(small, F.lit("rejected")).otherwise(F.lit("accepted"))
-    return claimed_outcomes(claims.select("source", "copies", outcome.alias("outcome")))
+    return tally_outcomes(claims.select("source", "copies", outcome.alias("outcome"), F.lit(True).alias("claimed")))
 
 
 @query("select p_partkey, p_brand from part where p_brand like 'Brand#1%'")

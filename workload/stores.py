@@ -6,7 +6,7 @@ from vacantia import fixed, schemas
 from vacantia.functions import text as X
 from vacantia.operators import chars as C
 from vacantia.operators import heat
-from vacantia.plans import flatten_companies
+from vacantia.plans import PLANS, flatten_companies
 from vacantia.session import work_dir
 from vacantia.sources import sinks, stored
 from vacantia.streaming import ingest as I
@@ -74,6 +74,48 @@ def company_rejected(spark, sf):
     )
 
 
+def _written_company_sql():
+    columns = ", ".join(f'"{c}"' for c in schemas.COMPANY_COLUMNS)
+    return f"select {columns} from ({_company_sql()})"
+
+
+@query(_written_company_sql())
+def company_csv(spark, sf):
+    """Profiles written as CSV, written again over it, and read as another tool would."""
+    path = work_dir(spark, "company-csv")
+    profiles = flatten_companies(companies(spark, sf))[0]
+    sinks.export_companies(profiles.withColumn("slug", F.lit("old")), path)
+    sinks.export_companies(profiles, path)
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    back = reader.csv(path)
+    return back.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in back.columns))
+
+
+@query(f"""
+    select cast(doc_id as varchar) as job_id, 'T ' || lang as title, source as department,
+           '2024-01-15' as date_posted, trim(text, '{WS}') as role_description, '' as company_intro
+    from documents where doc_id % 2 = 0
+""")
+def posting_csv(spark, sf):
+    """Whole texts as direct postings; a later run replaces the file of an earlier one."""
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang", "source")
+    postings = docs.select(
+        F.col("doc_id").cast("string").alias("job_id"),
+        F.concat(F.lit("T "), "lang").alias("title"),
+        F.col("source").alias("department"),
+        F.lit("2024-01-15").cast("date").alias("date_posted"),
+        X.strip(F.col("text")).alias("role_description"),
+    )
+    path = work_dir(spark, "direct-csv")
+    sinks.export_postings(postings.filter("job_id % 2 = 1"), path, "overwrite")
+    sinks.export_postings(postings.filter("job_id % 2 = 0"), path, "overwrite")
+    back = stored.read_postings(spark, path)
+    return back.select(
+        "job_id", "title", "department", F.col("date_posted").cast("string").alias("date_posted"),
+        "role_description", F.coalesce("company_intro", F.lit("")).alias("company_intro"),
+    )
+
+
 @query(f"""
     select cast(doc_id as varchar) as job_id, '"' || lang || '", ' || source as title, '' as company,
            case when doc_id % 5 = 0 then 'soon' else '2024-01-15' end as date_posted,
@@ -131,7 +173,7 @@ def company_site_file(spark, sf):
     """Company sites through a CSV file whose columns come in another order, with one more."""
     path = work_dir(spark, "company-sites")
     sites = company_sites(spark, sf).select(
-        "longitude", F.lit('a, "b"').alias("note"), "company", "latitude"
+        "longitude", F.lit('a, "b"\nof two lines').alias("note"), "company", "latitude"
     )
     sinks.export_csv(sites, path, sites.columns)
     return heat.site_counts(stored.read_sites(spark, path, "company"))
@@ -143,8 +185,8 @@ def company_site_file(spark, sf):
 """)
 def aggregator_site_file(spark, sf):
     path = work_dir(spark, "aggregator-sites")
-    sites = dated_sites(spark, sf)
-    sinks.export_csv(sites, path, sites.columns)
+    sites = dated_sites(spark, sf).withColumn("note", F.lit('first\n"second", third'))
+    sinks.export_csv(sites, path, ["note", "date_posted", "latitude", "longitude"])
     weeks = heat.week_counts(stored.read_sites(spark, path, "aggregator"))
     return weeks.withColumn("week", F.col("week").cast("bigint"))
 
@@ -180,7 +222,7 @@ def _event_payloads(events):
     text = P.json_object(
         id=F.concat("user_id", F.lit("-"), F.col("event_id") % 37),
         title=P.every("event_id", 41, F.lit(P.NULL), F.col("event_type")),
-        location=F.lit("US, NY"),
+        location=P.every("event_id", 43, F.lit("CA, ON"), F.lit("US, NY")),
         description=F.col("props"),
         id_icims=F.lit(""),
     )
@@ -193,7 +235,7 @@ def _event_payloads(events):
 KEYED = """
     select *, user_id || '-' || event_id % 37 as job_id,
            case when event_id <= (select max(event_id) // 2 from events) then 0 else 1 end as run
-    from events
+    from events where event_id % 43 <> 0
 """
 FIRST_IN_RUN = f"""
     select *, row_number() over (partition by run, job_id order by event_id) as rn from ({KEYED})
@@ -216,7 +258,7 @@ def _ingest_twice(spark, sf):
         _event_payloads(events.filter(part)).write.mode("append").partitionBy(
             "source", "kind"
         ).parquet(landed)
-        I.ingest(spark, landed, store, checkpoint, "amazon").awaitTermination()
+        I.ingest(spark, landed, store, checkpoint, "amazon", True).awaitTermination()
     return store
 
 
@@ -239,13 +281,107 @@ def incremental_ingest(spark, sf):
     select 'amazon' as source, outcome, cast(n as bigint) as n from (
         select 'accepted' as outcome, count(*) as n from new where event_id % 41 <> 0
         union all select 'rejected', count(*) from new where event_id % 41 = 0
-        union all select 'duplicate', sum(copies - 1) from new)
+        union all select 'duplicate', sum(copies - 1) from new
+        union all select 'skipped_place', count(*) from events where event_id % 43 = 0
+        union all select 'skipped_seen', sum(copies) from claimed c where rn = 1
+            and exists (select 1 from stored s where s.job_id = c.job_id and s.run < c.run))
     where n > 0
 """)
 def ingest_outcomes(spark, sf):
     return I.stored_outcomes(spark, _ingest_twice(spark, sf))
 
 
+DICE_LISTED = f"""
+    select *, doc_id as k, row_number() over (partition by doc_id order by term_no) as rn,
+           count(*) over (partition by doc_id) as copies
+    from documents, (values (0), (1)) as t(term_no)
+    where {P.TWO_TERMS.format('doc_id')}
+"""
+DICE_CHECKED = f"""
+    select *, case when k % 17 <> 0 and k % 23 = 0 then 'date is not a date'
+                   when k % 31 = 0 then 'company is not text' end as error_reason
+    from ({DICE_LISTED}) where rn = 1 and k % 19 <> 0 and k % 29 <> 0
+"""
+
+
+def _land(raw, folder):
+    raw.write.mode("append").partitionBy("source", "kind").parquet(folder)
+
+
+def _late_details(spark, sf):
+    """The lists first, then one half of the detail pages, then the other; a run after each."""
+    raw = P.dice(spark, sf)
+    base = work_dir(spark, "late")
+    pages = (F.col("kind") == "detail") & (F.col("list_id").cast("bigint") % 2 == 0)
+    for part in (F.col("kind") == "list", pages, (F.col("kind") == "detail") & ~pages):
+        _land(raw.filter(part), f"{base}/landed")
+        I.ingest(
+            spark, f"{base}/landed", f"{base}/store", f"{base}/checkpoint", "dice"
+        ).awaitTermination()
+    return f"{base}/store"
+
+
+@query(f"""
+    select cast(k as varchar) as job_id, 'Job ' || k || ' under ' || term_no as title,
+           cast(case when k % 2 = 0 then 1 else 2 end as bigint) as batch_id
+    from ({DICE_CHECKED}) where error_reason is null
+""")
+def late_details(spark, sf):
+    """Postings whose page lands one or two runs after their list record."""
+    return I.read_stored_postings(spark, _late_details(spark, sf)).select("job_id", "title", "batch_id")
+
+
+@query(f"""
+    select 'dice' as source, outcome, cast(n as bigint) as n from (
+        select 'accepted' as outcome, count(*) as n from ({DICE_CHECKED}) where error_reason is null
+        union all select 'rejected', (select count(*) from ({DICE_CHECKED}) where error_reason is not null)
+            + (select count(*) from ({DICE_LISTED}) where k % 29 = 0)
+        union all select 'duplicate', count(*) from ({DICE_LISTED}) where rn > 1 and k % 29 <> 0
+        union all select 'no_detail', count(*) from ({DICE_LISTED}) where rn = 1 and k % 29 <> 0 and k % 19 = 0)
+    where n > 0
+""")
+def late_outcomes(spark, sf):
+    return I.stored_outcomes(spark, _late_details(spark, sf))
+
+
+@query(f"""
+    select cast(k as varchar) as list_id, case when error_reason is null then 'accepted' else 'rejected' end
+        as outcome, error_reason, cast(2 * copies as bigint) as copies,
+        case when error_reason is null then '2024-05-01 10:00:00' end as time_scraped
+    from ({DICE_CHECKED})
+    union all
+    select null, 'rejected', 'detailUrl has no id', 1, null
+    from ({DICE_LISTED}), (values (0), (1)) as crawl(c) where k % 29 = 0
+""")
+def two_crawls(spark, sf):
+    """The same pages collected twice: the earlier wins, and bad records of both stay apart."""
+    raw = P.dice(spark, sf)
+    later = raw.withColumn("fetched_at", F.col("fetched_at") + F.expr("interval 1 day"))
+    rows = PLANS["dice"].classify(P.spread(later.unionByName(raw)))
+    shown = rows.filter(F.col("outcome").isin("accepted", "rejected"))
+    return shown.select(
+        "list_id", "outcome", "error_reason", "copies", F.col("time_scraped").cast("string").alias("time_scraped")
+    )
+
+
+@query(f"""
+    select job_id, event_type as title from ({FIRST_IN_RUN}) where rn = 1 and run = 1 and event_id % 41 <> 0
+""")
+def amazon_refresh(spark, sf):
+    """A source without stored ids collected twice; pages of another source land in between."""
+    events = table(spark, sf, "events", "event_id", "user_id", "event_type", "props")
+    half = events.agg(F.floor(F.max("event_id") / 2)).scalar()
+    base = work_dir(spark, "refresh")
+    first = _event_payloads(events.filter(F.col("event_id") <= half))
+    second = _event_payloads(events.filter(F.col("event_id") > half))
+    for rows in (first, P.dice(spark, sf), second):
+        _land(rows, f"{base}/landed")
+        I.ingest(
+            spark, f"{base}/landed", f"{base}/store", f"{base}/checkpoint", "amazon"
+        ).awaitTermination()
+    return I.read_stored_postings(spark, f"{base}/store", "amazon").select("job_id", "title")
+
+
 @query(f"""
     select wk as week, latitude, longitude, count(*) as quantity
     from ({WEEKS}) group by wk, latitude, longitude
