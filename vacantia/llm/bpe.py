@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import struct
+from collections.abc import Iterator
 from functools import cached_property
 
 import pyarrow as pa
@@ -62,6 +63,13 @@ class Codec:
         found.make_automaton()
         return found
 
+    def forget(self) -> None:
+        """Give back what was remembered: a worker outlives the task, and goes on to other stages."""
+        self.shorter_of.clear()
+        for memo in (self.fits, self.pieces):
+            memo.clear()
+            memo.old = {}
+
     def stays(self, left: bytes, right: bytes) -> bool:
         """Whether the merges of these bytes, lowest rank first, end at the border of the two and nowhere else."""
         ranks, data, border = self.ranks, left + right, len(left)
@@ -184,13 +192,15 @@ def encode(
     names = [ids] if decoded is None else [ids, decoded]
 
     @F.arrow_udf(", ".join(f"c{i} binary" for i in range(len(names))))
-    def packed(texts: pa.Array) -> pa.Array:
+    def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path, pattern)
-        columns = [[own.encode(t) for t in _each(texts)]]
-        if decoded is not None:
-            columns.append([own.decode(i) for i in columns[0]])
-        arrays = [pa.array(c, pa.binary()) for c in columns]
-        return pa.StructArray.from_arrays(arrays, names=[f"c{i}" for i in range(len(names))])
+        for texts in batches:
+            columns = [[own.encode(t) for t in _each(texts)]]
+            if decoded is not None:
+                columns.append([own.decode(i) for i in columns[0]])
+            arrays = [pa.array(c, pa.binary()) for c in columns]
+            yield pa.StructArray.from_arrays(arrays, names=[f"c{i}" for i in range(len(names))])
+        own.forget()
 
     rows = df.withColumn("__packed", packed(F.coalesce(F.col(text).cast("string"), F.lit(""))))
     return rows.withColumns({n: F.col(f"__packed.c{i}") for i, n in enumerate(names)}).drop("__packed")

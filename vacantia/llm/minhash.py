@@ -113,6 +113,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
                 nodes.append(_digest(own) if len(own) else None)
                 coords.append(signature(own).tobytes() if len(own) else None)
             yield _batch(schema, (batch.column(0), sizes, nodes, coords))
+        _WORDS.clear()  # the worker outlives the task
 
     return docs.mapInArrow(sketch, "id long, size long, node binary, coords binary")
 
@@ -315,6 +316,7 @@ def _confirmed(docs: DataFrame, groups: DataFrame, words: int, folder: str) -> D
             ids = batch.column(0).filter(pa.array(kept))
             sets = [shingles(t.as_py(), words) for t, k in zip(batch.column(1), kept) if k]
             yield _batch(schema, (ids, [_digest(s) if len(s) else None for s in sets], [s.tobytes() for s in sets]))
+        _WORDS.clear()
 
     place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("int")
     sets = docs.withColumn("place", place).mapInArrow(again, "id long, node binary, shingles binary")

@@ -10,6 +10,7 @@ reaches a cut that the labelled documents set, so what is unlike the target is r
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -96,6 +97,7 @@ def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 if waiting > HELD:
                     waiting = tally(counts, held)
         tally(counts, held)
+        _WORDS.clear()
         yield pa.RecordBatch.from_arrays(
             [pa.array([0, 1], pa.int32()), pa.array([c.tobytes() for c in counts], pa.binary())], names=["kind", "counts"]
         )
@@ -136,8 +138,10 @@ def _weighed(docs: DataFrame, model: Model, text: str, weight: str) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
 
     @F.arrow_udf("double")
-    def weigh(texts: pa.Array) -> pa.Array:
-        return pa.array([shared.value.weight(t.as_py()) for t in texts], pa.float64())
+    def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([shared.value.weight(t.as_py()) for t in texts], pa.float64())
+        _WORDS.clear()  # the worker outlives the task
 
     return docs.withColumn(weight, weigh(F.col(text).cast("string")))
 
