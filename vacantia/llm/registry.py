@@ -24,7 +24,7 @@ def query(sql: str | None = None):
 
 
 #: Bytes of a batch of rows on its way to Python: texts are long, and several copies of a batch are held.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "4m"
 
 
 def with_package(fn):
