@@ -108,8 +108,10 @@ def test_details_that_did_not_arrive_leave_the_id_open(spark, place):
     assert place.tally() == {"accepted": 2, "duplicate": 1}
 
 
-@pytest.mark.parametrize("source", ["dice", "apple", "facebook", "indeed"])
-@pytest.mark.parametrize("lists_first", [True, False])
+@pytest.mark.parametrize(
+    "source, lists_first",
+    [("dice", True), ("apple", False), ("facebook", True), ("facebook", False), ("indeed", True)],
+)
 def test_lists_and_details_of_different_runs_meet(spark, place, source, lists_first):
     lists, pages = PARTS[source]
     first, second = (lists, pages) if lists_first else (pages, lists)
@@ -175,6 +177,17 @@ def test_replay_leaves_no_stale_outcome(spark, place):
     assert (place.stored(), place.rejected()) == ([("a", 0)], [])
 
 
+@pytest.mark.parametrize("most, parsed", [(10, ["b"]), (0, ["a", "b", "c"])])
+def test_only_pages_of_open_ids_are_parsed(spark, monkeypatch, most, parsed):
+    monkeypatch.setattr(I, "OPEN_IDS", most)
+    landed = spark.createDataFrame([items("a", "b"), *details("a", "b", "c")], schemas.RAW)
+    seen = spark.createDataFrame([("dice", "a")], schemas.SEEN)
+    plan = I.PLANS["dice"]
+    claimed = I.common.claim(plan.listed(landed), seen)
+    pages = I.pages_in_question(landed, claimed)
+    assert sorted(r.claim for r in plan.details(pages).collect()) == parsed
+
+
 def test_compacted_ids_are_the_same_set(spark, place):
     for name in ("a", "b"):
         ids = spark.createDataFrame([("dice", name), ("apple", "z")], schemas.SEEN)

@@ -9,17 +9,18 @@ from vacantia.operators.html_nodes import html_nodes
 from vacantia.operators.listings import explode_listings
 from vacantia.operators.outcomes import outcomes
 from vacantia.plans import (
-    flatten_companies, normalise_amazon, normalise_apple, normalise_dice, normalise_facebook,
+    PLANS, flatten_companies, normalise_amazon, normalise_apple, normalise_dice, normalise_facebook,
     normalise_indeed,
 )
 from vacantia.session import build_session
 from vacantia.sources.landed import read_raw
 from vacantia.sources.sinks import export_csv
 from vacantia.sources.stored import read_chars, read_postings, read_seen, read_sites
-from vacantia.streaming.ingest import ingest
+from vacantia.streaming.ingest import compact_seen, ingest
+from vacantia.streaming.weekly import compact_days
 
 __all__ = [
-    "aged_sites", "apply_decisions", "build_session", "explode_listings", "export_csv",
+    "PLANS", "aged_sites", "apply_decisions", "build_session", "compact_days", "compact_seen", "explode_listings", "export_csv",
     "first_seen", "flatten_companies", "heat_range", "html_nodes", "ingest", "normalise_amazon",
     "normalise_apple", "normalise_dice", "normalise_facebook", "normalise_indeed",
     "normalise_text", "only_new", "outcomes", "read_chars", "read_postings", "read_raw",

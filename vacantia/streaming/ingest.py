@@ -26,6 +26,9 @@ from vacantia.plans import common
 from vacantia.sources.landed import pages_of
 from vacantia.sources.stored import if_there, read_table
 
+#: Most ids of open records that are sent to every task, so that only their pages are parsed.
+OPEN_IDS = 500_000
+
 RUN = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
 RECORDS = T.StructType([*common.CLASSIFIED.fields, *RUN])
 SEEN = T.StructType([*schemas.SEEN.fields, *RUN])
@@ -169,6 +172,7 @@ def ingest_batch(
             waiting = waiting_claims(spark, store, source, run, batch_id)
             claimed = new if waiting is None else common.merged_claims(new, waiting)
             pages = landed.unionByName(waiting_pages(spark, store, source, run, batch_id))
+        pages = pages_in_question(pages, claimed)
         claimed = common.attach_details(claimed, plan.details(pages))
     rows = plan.finish(claimed)
     if not incremental:
@@ -187,6 +191,19 @@ def ingest_batch(
         _keep_waiting(new, landed, store, source, run, batch_id)
 
 
+def pages_in_question(pages: DataFrame, claimed: DataFrame) -> DataFrame:
+    """Landed pages without those of ids that are stored, foreign or not listed: parsing is what costs.
+
+    The ids are broadcast if there are at most ``OPEN_IDS``. With more, all pages are parsed where they
+    lie, as the alternative would be to shuffle them unread.
+    """
+    wanted = claimed.filter(F.col("claimed") & F.col("skip").isNull())
+    wanted = wanted.select(F.col("claim").alias("list_id")).distinct()
+    if wanted.limit(OPEN_IDS + 1).count() > OPEN_IDS:
+        return pages
+    return pages.join(F.broadcast(wanted), "list_id", "left_semi").select(*pages.columns)
+
+
 def _keep_waiting(new: DataFrame, landed: DataFrame, store: str, source: str, run: str, batch_id: int) -> None:
     """Store what this batch brought and could not match: claimed records, and pages of unlisted ids."""
     spark, folder = landed.sparkSession, _folder(source, run, batch_id)
