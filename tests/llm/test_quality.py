@@ -32,21 +32,27 @@ def test_query_is_the_same_again_and_keeps_the_largest_keys(spark):
 
 
 def test_weights_are_those_of_plain_counts(spark):
-    texts = ["good words here", "good words there", "bad bad bad $$$", "good bad", None, ""]
+    texts = ["good words here", "good words there", "bad bad bad $$$", "good bad", None, ""] + ["good words, more"] * 30
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 0), (9, 1), (None, 1), (3, None)], "doc_id long, quality int")
+    good = [0, 1, *range(6, 36)]
+    rows = [(i, 1) for i in good] + [(2, 0), (99, 1), (None, 1), (3, None)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int")
     model = quality.fit(docs, labels)
+    counted = {r.label_of for r in quality._sampled(labels, "doc_id", "quality").where("counted").collect()}
+    assert 12 < len(counted & set(good)) < 32
     target, raw = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
     for at, text in enumerate(texts):
         for bucket in quality.ngrams(text or ""):
             raw[bucket] += 1
-            target[bucket] += at < 2
+            target[bucket] += at in counted and at in good
     log = lambda c: np.log((c + 1) / (c.sum() + quality.BUCKETS))
     assert np.allclose(model.ratio, log(target) - log(raw))
+    weights = [model.weight(texts[i]) for i in good if i not in counted]
+    assert model.cut == pytest.approx(min(weights))
     rows = {r.doc_id: r for r in quality.resample(docs, model).collect()}
     assert rows[0].weight == pytest.approx(sum((log(target) - log(raw))[quality.ngrams(texts[0])]))
     assert rows[4].weight is None and not rows[4].kept and rows[5].weight is None and not rows[5].kept
-    assert rows[0].kept and rows[1].kept and not rows[2].kept
+    assert rows[2].weight < rows[0].weight
 
 
 @pytest.mark.parametrize("few", [5, 10_000])

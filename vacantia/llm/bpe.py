@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
 from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vacantia.llm.registry import map_batches
 
 #: Most pieces, and most token pairs, in one generation of what a worker remembers; it keeps two.
 MEMO = 250_000
@@ -180,47 +182,42 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def encode(
-    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
-) -> DataFrame:
+    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
     """Add ``ids``: the tokens of the whole text as packed little-endian unsigned 32-bit integers.
 
-    ``decoded`` names one more column, for the bytes that these ids decode to, made in the same pass.
-    A null text counts as empty and gives no bytes; texts of any length are encoded whole; repeated
-    rows give equal ids; an empty table stays empty. Other columns are kept, those of these names
-    replaced. ``path`` is a rank file that every executor can open.
+    ``decoded`` names one more column, for the bytes that these ids decode to, made in the same pass;
+    ``keep`` names the columns to keep, all by default. A null text counts as empty and gives no bytes;
+    texts of any length are encoded whole; repeated rows give equal ids; an empty table stays empty.
+    Columns of the new names are replaced. ``path`` is a rank file that every executor can open.
     """
-    names = [ids] if decoded is None else [ids, decoded]
 
-    @F.arrow_udf(", ".join(f"c{i} binary" for i in range(len(names))))
-    def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def start():
         own = codec(path, pattern)
-        for texts in batches:
-            columns = [[own.encode(t) for t in _each(texts)]]
+
+        def work(texts):
+            columns = [[own.encode(t.as_py() or "") for t in texts]]
             if decoded is not None:
                 columns.append([own.decode(i) for i in columns[0]])
-            arrays = [pa.array(c, pa.binary()) for c in columns]
-            yield pa.StructArray.from_arrays(arrays, names=[f"c{i}" for i in range(len(names))])
-        own.forget()
+            return [pa.array(c, pa.binary()) for c in columns]
 
-    rows = df.withColumn("__packed", packed(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    return rows.withColumns({n: F.col(f"__packed.c{i}") for i, n in enumerate(names)}).drop("__packed")
+        return work, own.forget
+
+    names = [ids] if decoded is None else [ids, decoded]
+    return map_batches(df, [text], {n: T.BinaryType() for n in names}, start, keep)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
     """Add ``data``: the bytes that packed token ids stand for; null ids count as none."""
 
-    @F.arrow_udf("binary")
-    def unpacked(packed: pa.Array) -> pa.Array:
+    def start():
         own = codec(path, pattern)
-        return pa.array([own.decode(i) for i in _each(packed)], pa.binary())
+        return lambda packed: [pa.array([own.decode(i.as_py() or b"") for i in packed], pa.binary())], own.forget
 
-    return df.withColumn(data, unpacked(F.coalesce(F.col(ids), F.lit(b""))))
+    return map_batches(df, [ids], {data: T.BinaryType()}, start)
 
 
 def token_count(ids: str = "ids"):
     return (F.octet_length(F.col(ids)) / 4).cast("long")
 
-
-def _each(values: pa.Array):
-    """One value at a time, so that a batch is not held twice."""
-    return (v.as_py() for v in values)

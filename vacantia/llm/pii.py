@@ -17,7 +17,9 @@ from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vacantia.llm.registry import map_batches
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "login", "account")
@@ -34,7 +36,15 @@ DIALLED = re.compile(r"\+[0-9][ ().0-9-]+")
 USER_HOST = re.compile(r"[^\s/?#@:]+(?::[^\s/?#@]*)?@[A-Za-z0-9.-]+")
 VALUE = re.compile(r"\s{0,2}[=:#]\s{0,2}[\"']?([A-Za-z0-9][A-Za-z0-9_-]{7,})")
 
-SPANS = "array<struct<kind: string, start: int, end: int>>"
+SPANS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("kind", T.StringType()),
+            T.StructField("start", T.IntegerType()),
+            T.StructField("end", T.IntegerType()),
+        ]
+    )
+)
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
@@ -114,27 +124,31 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join((*parts, text[at:]))
 
 
-def find(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
+def find(df: DataFrame, text: str = "text", spans: str = "spans", keep: list[str] | None = None) -> DataFrame:
     """Add ``spans``: kind, start and end of personal data in the whole text, in code points.
 
-    A null or empty text has none. Other columns are kept; one already named ``spans`` is replaced.
-    Repeated rows are found alike, and an empty table stays empty.
+    A null or empty text has none. The columns ``keep`` are kept, all by default; one already named
+    ``spans`` is replaced. Repeated rows are found alike, and an empty table stays empty.
     """
 
-    @F.arrow_udf(SPANS)
-    def found(texts: pa.Array) -> pa.Array:
-        rows = ([{"kind": k, "start": s, "end": e} for k, s, e in find_spans(t.as_py())] for t in texts)
-        return pa.array(list(rows), _SPANS)
+    def start():
+        def work(texts):
+            rows = [[{"kind": k, "start": s, "end": e} for k, s, e in find_spans(t.as_py() or "")] for t in texts]
+            return [pa.array(rows, _SPANS)]
+
+        return work, lambda: None
 
-    return df.withColumn(spans, found(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return map_batches(df, [text], {spans: SPANS}, start, keep)
 
 
 def mask(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace personal data in ``text`` by the names of its kinds; a null text stays null."""
 
-    @F.arrow_udf("string")
-    def clean(texts: pa.Array) -> pa.Array:
-        values = (t.as_py() for t in texts)
-        return pa.array([None if t is None else masked(t, find_spans(t)) for t in values], pa.string())
+    def start():
+        def work(texts):
+            values = (t.as_py() for t in texts)
+            return [pa.array([None if t is None else masked(t, find_spans(t)) for t in values], pa.string())]
+
+        return work, lambda: None
 
-    return df.withColumn(text, clean(F.col(text).cast("string")))
+    return map_batches(df, [text], {text: T.StringType()}, start).select(df.columns)

@@ -4,27 +4,28 @@ Words and marks of a text, and pairs of neighbours, are hashed to ``BUCKETS``. O
 counts them in labelled target documents, another in all documents. The log ratio of the two, summed
 over a text, is its log importance weight. With a standard Gumbel draw added, the k largest keys are a
 sample without replacement in proportion to the weights. k is the number of documents whose weight
-reaches a cut that the labelled documents set, so what is unlike the target is rejected.
+reaches a cut, so what is unlike the target is rejected. The cut is set by labelled target documents that
+the model has not counted, as it favours those that it has.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vacantia.llm.registry import stored
+from vacantia.llm.registry import map_batches, stored
 from vacantia.session import work_dir
 
 BUCKETS = 1 << 16
-#: Most labelled documents that the target model and the cut are fitted on, chosen by a hash of the id.
+#: Most labelled documents that are used, chosen by a hash of the id: three in four for the target model, one for the cut.
 SAMPLE = 20_000
-#: Share of labelled target documents that must reach the cut.
+#: Share of the other labelled target documents that must reach the cut.
 REACH = 0.998
 #: Most keys that are sorted on the driver to find the k-th.
 FEW = 10_000
@@ -72,7 +73,8 @@ class Model:
 def _sampled(labels: DataFrame, doc_id: str, quality: str) -> DataFrame:
     one = labels.where(F.col(doc_id).isNotNull() & F.col(quality).isNotNull())
     one = one.groupBy(F.col(doc_id).alias("label_of")).agg(F.max(quality).alias("good"))
-    return one.orderBy(F.xxhash64("label_of"), "label_of").limit(SAMPLE)
+    few = one.orderBy(F.xxhash64("label_of"), "label_of").limit(SAMPLE)
+    return few.withColumn("counted", F.xxhash64("label_of", F.lit(1)) % 4 != 0)
 
 
 def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -120,30 +122,30 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Models of target (label 1) and of all documents, and the cut.
 
     Labels without id or value are ignored; of labels that repeat an id the largest counts. At most
-    ``SAMPLE`` labels are used, the raw model counts every document.
+    ``SAMPLE`` labels are used, the raw model counts every document. Without labels nothing is cut off.
     """
     own = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
-    sample = F.broadcast(_sampled(labels, doc_id, quality))  # at most SAMPLE rows
-    target, raw = _counts(own.join(sample, own["id"] == F.col("label_of"), "left"))
+    sample = _sampled(labels, doc_id, quality)
+    counted = F.broadcast(sample.where("counted"))  # at most SAMPLE rows, as are the others
+    others = F.broadcast(sample.where("NOT counted AND good = 1"))
+    target, raw = _counts(own.join(counted, own["id"] == counted["label_of"], "left"))
     log = lambda c: np.log((c + 1) / (c.sum() + BUCKETS))
     model = Model(log(target) - log(raw))
-    labelled = _weighed(own.join(sample, own["id"] == F.col("label_of")), model, "text", "weight")
-    rows = labelled.where("weight IS NOT NULL").select("weight", "good").limit(2 * SAMPLE).collect()
-    good = np.sort([r["weight"] for r in rows if r["good"] == 1])
+    labelled = _weighed(own.join(others, own["id"] == others["label_of"]), model, "text", "weight")
+    rows = labelled.where("weight IS NOT NULL").select("weight").limit(2 * SAMPLE).collect()
+    good = np.sort([r["weight"] for r in rows])
     model.cut = float(good[int((1 - REACH) * len(good))]) if len(good) else float("-inf")
     return model
 
 
-def _weighed(docs: DataFrame, model: Model, text: str, weight: str) -> DataFrame:
+def _weighed(docs: DataFrame, model: Model, text: str, weight: str, keep: list[str] | None = None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
 
-    @F.arrow_udf("double")
-    def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield pa.array([shared.value.weight(t.as_py()) for t in texts], pa.float64())
-        _WORDS.clear()  # the worker outlives the task
+    def start():
+        work = lambda texts: [pa.array([shared.value.weight(t.as_py()) for t in texts], pa.float64())]
+        return work, _WORDS.clear  # the worker outlives the task
 
-    return docs.withColumn(weight, weigh(F.col(text).cast("string")))
+    return map_batches(docs, [text], {weight: T.DoubleType()}, start, keep)
 
 
 def kth_largest(rows: DataFrame, key: str, k: int) -> float:
@@ -182,8 +184,9 @@ def resample(
     bits = F.xxhash64(F.lit(seed), F.col(doc_id)).bitwiseAND(F.lit((1 << 53) - 1))
     gumbel = -F.ln(-F.ln((bits + F.lit(0.5)) / F.lit(float(1 << 53))))
     own = [c for c in (docs.columns if keep is None else keep) if c not in ("weight", "key", "kept")]
-    rows = _weighed(docs, model, text, "weight").withColumn("key", F.col("weight") + gumbel)
-    rows = stored(rows.select(*own, "weight", "key"), work_dir(spark, "resample"))
+    rows = _weighed(docs.withColumn("__gumbel", gumbel), model, text, "weight", [*own, "__gumbel"])
+    rows = rows.select(*own, "weight", (F.col("weight") + F.col("__gumbel")).alias("key"))
+    rows = stored(rows, work_dir(spark, "resample"))
     k = rows.where(F.col("weight") >= model.cut).count()
     least = kth_largest(rows.where("key IS NOT NULL"), "key", k) if k else float("inf")
     return rows.withColumn("kept", F.coalesce(F.col("key") >= least, F.lit(False)))

@@ -16,7 +16,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 def op1_byte_bpe(spark, sf):
     """Token count and digests of every text, encoded and decoded again."""
     docs = table(spark, sf, "documents", "doc_id", "text")
-    both = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded="decoded")
+    both = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded="decoded", keep=["doc_id"])
     return both.select(
         "doc_id",
         bpe.token_count().alias("n_tokens"),
@@ -110,7 +110,7 @@ def op6_quality(spark, sf):
 @query()
 def op7_pii(spark, sf):
     """Counts and places of personal data in every text."""
-    rows = pii.find(table(spark, sf, "documents", "doc_id", "text")).select("doc_id", "spans")
+    rows = pii.find(table(spark, sf, "documents", "doc_id", "text"), keep=["doc_id"])
     of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
     count = {f"n_{kind}": F.size(of(kind)).cast("long") for kind in pii.BASE}
     place = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))

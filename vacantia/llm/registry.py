@@ -7,6 +7,9 @@ import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
+from pyspark.sql import types as T
+
 import vacantia
 
 QUERIES = {}
@@ -64,3 +67,26 @@ def stored(df, folder: str):
     """Write a table to the shared folder and read it back: later steps start from files, not from lineage."""
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def map_batches(df, inputs: list[str], outputs: dict[str, T.DataType], start, keep: list[str] | None = None):
+    """Columns ``keep`` (all by default) and ``outputs``, which Python makes of Arrow arrays of ``inputs``.
+
+    ``start`` is called once in a task and gives two functions: one that makes the new arrays of a batch,
+    and one for the end. Every operator that needs Python in a row goes this way, as Spark then has one
+    pool of workers for all of them; a kept column named as an output is replaced.
+    """
+    kept = [c for c in (df.columns if keep is None else keep) if c not in outputs]
+    more = [c for c in inputs if c not in kept]
+    fields = [*(df.schema[c] for c in kept), *(T.StructField(n, t) for n, t in outputs.items())]
+    places = [[*kept, *more].index(c) for c in inputs]
+    names = [f.name for f in fields]
+
+    def run(batches):
+        work, end = start()
+        for batch in batches:
+            made = work(*(batch.column(i) for i in places))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *made], names=names)
+        end()
+
+    return df.select(*kept, *more).mapInArrow(run, T.StructType(fields))
