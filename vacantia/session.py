@@ -32,5 +32,5 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/vacantia-work"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
