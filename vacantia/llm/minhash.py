@@ -325,7 +325,7 @@ def _confirmed(docs: DataFrame, groups: DataFrame, words: int, folder: str) -> D
     known = groups.join(sums, groups["root"] == sums["of"]).drop("of")
     rows = known.join(sets, (known["node"] == sets["own"]) & (known["id"] == sets["own_id"]))
     rows = rows.dropDuplicates(["node", "id"])  # by the keys of the join
-    blocks = F.greatest(F.ceil(F.col("shingles_of") / BLOCK_SHINGLES), F.ceil(F.col("members") / (4 * BLOCK)))
+    blocks = F.greatest(F.ceil(F.col("shingles_of") / BLOCK_SHINGLES), F.ceil(F.col("members") / BLOCK))
     rows = _in_blocks(rows, "root", blocks)
     link = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
