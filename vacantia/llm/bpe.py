@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from vacantia.llm.registry import map_batches
 
 #: Most pieces, and most token pairs, in one generation of what a worker remembers; it keeps two.
-MEMO = 150_000
+MEMO = 200_000
 #: Longer pieces are encoded but not remembered.
 MEMO_CHARS = 40
 #: Above every rank.
