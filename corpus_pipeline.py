@@ -14,6 +14,8 @@ from vacantia.llm import bpe, minhash, mixing, pii, quality
 from vacantia.llm.registry import stored, table, with_package
 from vacantia.session import work_dir
 
+#: Percent of common shingles that makes near-duplicates here.
+NEAR = 80
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -27,7 +29,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 @with_package
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the document with the smallest id. Rows of one id stay or go together."""
-    away = minhash.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    away = minhash.near_duplicates(docs, percent=NEAR).where("NOT kept").select("doc_id").distinct()
     return docs.join(away, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -7,7 +7,7 @@ import tiktoken
 import corpus_pipeline
 from vacantia.llm import bpe, mixing, pii, quality
 
-from .test_minhash import brute
+from .test_minhash import Union, brute, shingle_set
 
 SF = "/root/testdata/sf0.01"
 
@@ -98,3 +98,30 @@ def test_stages_take_nulls_empty_tables_and_repeated_rows(spark):
     for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
         for name, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, SF).count() >= 0
+
+
+def linked_at_80(rows):
+    """The smallest id of the component of every row, from all pairs."""
+    sets, found = {d: shingle_set(t) for d, t in rows}, Union()
+    ids = sorted(d for d in sets if sets[d])
+    for at, a in enumerate(ids):
+        for b in ids[:at]:
+            common = len(sets[a] & sets[b])
+            if 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                found.join(a, b)
+    return {d: found.root(d) for d in sets}
+
+
+def test_near_copies_from_80_percent_on_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    words = [f"w{i}" for i in range(204)]
+    close = [words, words[:80] + ["new"] * 4 + words[84:], words[:100] + ["so", "far"] + words[102:], words[4:] + ["end"] * 9]
+    close += [words[:60] + [f"o{n}"] + words[61:120] + [f"p{n}"] + words[121:160] + [f"q{n}"] + words[161:] for n in range(8)]
+    more = [(100_000 + n, " ".join(text), "en", "a", 1) for n, text in enumerate(close)]
+    docs = docs.union(spark.createDataFrame(more, docs.schema))
+    want = linked_at_80([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert sum(d != root for d, root in want.items()) > sum(
+        not keep for *_, keep in brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]).values()
+    )
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert sorted(r.doc_id for r in out.collect()) == sorted(d for d, root in want.items() if d == root)

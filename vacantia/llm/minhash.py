@@ -2,9 +2,9 @@
 
 1. Each text becomes a set of hashed five-word shingles, a digest of the set, and a signature of
    ``COORDS`` minima. Texts with equal sets form one node and are compared once.
-2. A pair at the threshold agrees in about 85 of 100 coordinates; ``AGREE`` lies almost five standard
+2. A pair at a threshold of 85 % agrees in about 85 of 100 coordinates; ``agreeing`` lies over four standard
    deviations lower. If a node's coordinate-value pairs are ordered from rare to frequent, two nodes
-   that agree in ``AGREE`` places share one of their first ``COORDS - AGREE + 1``; only these prefixes
+   that agree in so many places share one of their first ``COORDS - agreeing + 1``; only these prefixes
    are posted, so values of passages that many texts share are mostly skipped. How frequent a value is
    comes from counts over the whole corpus in a table of fixed size; any order gives the same pairs.
 3. Each posting list of at least two nodes counts the coordinates in which its members agree. Long lists are cut
@@ -18,6 +18,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,9 +30,11 @@ from vacantia.llm.registry import stored
 from vacantia.session import work_dir
 
 WORDS = 5
-COORDS, AGREE = 128, 90
-#: A link needs 100 * intersection >= PERCENT * union.
+COORDS = 128
+#: A link needs 100 * intersection >= percent * union; this is the percent of op8.
 PERCENT = 85
+#: Most that the chance to miss a pair at the threshold may be: 90 coordinates at 85 %.
+MISS = 1e-5
 #: Counters of coordinate values, and pieces they are summed in.
 COUNTERS, PIECES = 1 << 20, 256
 #: Bits of the filter that keeps texts of no candidate out of the second pass.
@@ -44,6 +48,16 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xFF51AFD7ED558CCD)
 
 
+def agreeing(percent: int) -> int:
+    """Most coordinates that a pair at ``percent`` agrees in but for a chance of ``MISS``."""
+    chance, at = 0.0, 0
+    while True:
+        chance += math.comb(COORDS, at) * (percent / 100) ** at * (1 - percent / 100) ** (COORDS - at)
+        if chance > MISS or at == COORDS:
+            return at
+        at += 1
+
+
 def _coefficients():
     rng = np.random.default_rng(20_240_501)
     multiply = rng.integers(0, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -158,10 +172,10 @@ def _frequencies(nodes: DataFrame) -> np.ndarray:
     return total.ravel()
 
 
-def _postings(nodes: DataFrame) -> DataFrame:
-    """The rarest COORDS - AGREE + 1 coordinate values of every node."""
+def _postings(nodes: DataFrame, percent: int) -> DataFrame:
+    """The rarest COORDS - agreeing + 1 coordinate values of every node."""
     frequencies = nodes.sparkSession.sparkContext.broadcast(_frequencies(nodes))
-    prefix = COORDS - AGREE + 1
+    prefix = COORDS - agreeing(percent) + 1
     schema = pa.schema([("value", pa.int64()), ("node", pa.binary())])
 
     def post(batches):
@@ -218,25 +232,25 @@ def _find(parent: list[int], x: int) -> int:
     return x
 
 
-def _agreeing(tags: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
-    """A forest over rows that agree in AGREE coordinates and whose sizes allow a link."""
-    left, found = np.arange(len(tags)), []
+def _agreeing(tags: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A forest over rows that agree in enough coordinates and whose sizes allow a link."""
+    left, found, enough = np.arange(len(tags)), [], agreeing(percent)
     while len(left) > 1:  # a component at a time, each row compared with those not reached yet
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop()
-            agree = (tags[left] == tags[at]).sum(axis=1) >= AGREE
+            agree = (tags[left] == tags[at]).sum(axis=1) >= enough
             small, large = np.minimum(sizes[left], sizes[at]), np.maximum(sizes[left], sizes[at])
-            near = agree & (100 * small >= PERCENT * large)
+            near = agree & (100 * small >= percent * large)
             found += [(at, other) for other in left[near].tolist()]
             queue += left[near].tolist()
             left = left[~near]
     return found
 
 
-def _candidates(nodes: DataFrame, folder: str) -> DataFrame:
+def _candidates(nodes: DataFrame, percent: int, folder: str) -> DataFrame:
     """A forest of nodes that may be linked: ``a, b``."""
-    postings = stored(_postings(nodes), f"{folder}/postings")
+    postings = stored(_postings(nodes, percent), f"{folder}/postings")
     shared = postings.groupBy(F.col("value").alias("of")).agg(F.count("*").alias("members")).where("members > 1")
     lists = postings.join(shared, postings["value"] == shared["of"]).select("value", "node", "members")
     tag = nodes.select(F.col("node").alias("own"), "size", "tag")
@@ -252,7 +266,7 @@ def _candidates(nodes: DataFrame, folder: str) -> DataFrame:
                 continue
             own = group["node"].to_pylist()
             tags = np.frombuffer(b"".join(group["tag"].to_pylist()), np.uint8).reshape(-1, COORDS)
-            pairs.update((own[i], own[j]) for i, j in _agreeing(tags, group["size"].to_numpy()))
+            pairs.update((own[i], own[j]) for i, j in _agreeing(tags, group["size"].to_numpy(), percent))
             if len(pairs) >= 50_000:
                 yield _batch(schema, zip(*pairs))
                 pairs = set()
@@ -263,12 +277,12 @@ def _candidates(nodes: DataFrame, folder: str) -> DataFrame:
     return rows.mapInArrow(collide, "a binary, b binary")
 
 
-def _linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A forest of links between sets, found by counting common shingles in inverted lists."""
     sizes = np.array([len(s) for s in sets])
     if len(sets) == 2:
         common = len(np.intersect1d(*sets, assume_unique=True))
-        return [(0, 1)] if 100 * common >= PERCENT * (sizes.sum() - common) else []
+        return [(0, 1)] if 100 * common >= percent * (sizes.sum() - common) else []
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, term = np.unique(np.concatenate(sets), return_inverse=True)
     ends = np.append(0, np.cumsum(sizes))
@@ -285,7 +299,7 @@ def _linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
             lengths = starts[terms + 1] - starts[terms]
             places = np.repeat(starts[terms + 1] - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
             common = np.bincount(posted[places], minlength=len(sets))
-            near = np.flatnonzero(unseen & (100 * common >= PERCENT * (sizes + sizes[at] - common)))
+            near = np.flatnonzero(unseen & (100 * common >= percent * (sizes + sizes[at] - common)))
             unseen[near] = False
             left -= len(near)
             found += [(at, other) for other in near.tolist()]
@@ -305,7 +319,7 @@ def _member_filter(members: DataFrame):
     return members.sparkSession.sparkContext.broadcast(np.unpackbits(words.view(np.uint8), bitorder="little"))
 
 
-def _confirmed(docs: DataFrame, groups: DataFrame, words: int, folder: str) -> DataFrame:
+def _confirmed(docs: DataFrame, groups: DataFrame, words: int, percent: int, folder: str) -> DataFrame:
     """A forest of links; ``groups`` has ``node, root, id, size``, where ``id`` is one document of the node."""
     bits = _member_filter(groups)
     schema = pa.schema([("id", pa.int64()), ("node", pa.binary()), ("shingles", pa.binary())])
@@ -335,7 +349,7 @@ def _confirmed(docs: DataFrame, groups: DataFrame, words: int, folder: str) -> D
             if group.num_rows < 2:
                 continue
             own = group["node"].to_pylist()
-            found = _linked([np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()])
+            found = _linked([np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()], percent)
             if found:
                 yield _batch(link, ([own[i] for i, _ in found], [own[j] for _, j in found]))
 
@@ -344,10 +358,12 @@ def _confirmed(docs: DataFrame, groups: DataFrame, words: int, folder: str) -> D
     return rows.mapInArrow(search, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row: the components of linked documents.
 
-    Two documents are linked if 100 * common >= 85 * all of their distinct ``words``-word shingles; a
+    Two documents are linked if 100 * common >= ``percent`` * all of their distinct ``words``-word shingles; a
     text with fewer words has its whole sequence as its only one. A null or empty text, or one of white
     space only, has none and is linked with nothing. ``component_id`` is the smallest id reachable, and
     ``kept`` tells whether that is the row's own. Rows that repeat an id are linked by their own texts.
@@ -362,10 +378,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min("id").alias("id"), F.max("size").alias("size"), F.first("coords").alias("coords")
     )  # copies meet once per task
     nodes = stored(_tagged(classes), f"{folder}/nodes")
-    groups = components(_candidates(nodes, folder))
+    groups = components(_candidates(nodes, percent, folder))
     groups = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
     groups = groups.join(nodes.select("node", "id", "size"), "node")
-    links = _confirmed(rows, stored(groups.select("node", "root", "id", "size"), f"{folder}/groups"), words, folder)
+    links = _confirmed(rows, stored(groups.select("node", "root", "id", "size"), f"{folder}/groups"), words, percent, folder)
     found = components(links)
     found = found.union(found.select(F.col("root").alias("node"), "root").distinct())
     placed = nodes.select("node", "id").join(found, "node", "left")
