@@ -74,3 +74,36 @@ def test_empty_tables_and_clashing_columns(spark):
     rows = quality.resample(docs, model).collect()
     assert len({tuple(r) for r in rows}) == 1 and set(rows[0].asDict()) == {"doc_id", "text", "weight", "key", "kept"}
     assert quality.resample(docs.where("false"), quality.fit(docs.where("false"), labels)).count() == 0
+
+
+def test_short_bad_documents_go_too(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(docs, labels.where("pmod(hash(doc_id), 2) = 0"))
+    rest = labels.where("pmod(hash(doc_id), 2) = 1").select("doc_id", "quality")
+    rows = quality.resample(docs, model, keep=["doc_id", "text"]).join(rest, "doc_id").collect()
+    found = {}
+    for row in rows:
+        n = len(quality.ngrams(row.text or ""))
+        found.setdefault((row.quality, min(n // 300, 3)), []).append(row.kept)
+    for key in sorted(found):
+        print(key, sum(found[key]), "of", len(found[key]))
+    share = lambda q, *sizes: sum(sum(found[q, n]) for n in sizes) / sum(len(found[q, n]) for n in sizes)
+    assert share(0, 0) < 0.3 and share(0, 0, 1, 2, 3) < 0.1
+    assert share(1, 0) > 0.97 and share(1, 0, 1, 2, 3) > 0.985
+
+
+def test_few_labels_keep_few_bad_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = quality.resample(docs, quality.fit(docs, labels), keep=["doc_id"]).join(labels, "doc_id").collect()
+    share = lambda q: sum(r.kept for r in rows if r.quality == q) / sum(r.quality == q for r in rows)
+    print(share(1), share(0))
+    assert share(1) > 0.98 and share(0) < 0.1
+
+
+def test_the_cut_weighs_good_and_bad_labels():
+    good, bad = np.arange(1_000.0), np.array([-5.0, 0.5, 1.5, 1.7, 1.8, 400.0])
+    assert quality._cut(good, bad) == 2.0
+    assert quality._cut(good, np.array([-1.0])) == 0.0
+    assert quality._cut(good, np.arange(500.0, 900.0)) == 0.0

@@ -2,10 +2,11 @@
 
 Words and marks of a text, and pairs of neighbours, are hashed to ``BUCKETS``. One generative model
 counts them in labelled target documents, another in all documents. The log ratio of the two, summed
-over a text, is its log importance weight. With a standard Gumbel draw added, the k largest keys are a
-sample without replacement in proportion to the weights. k is the number of documents whose weight
-reaches a cut, so what is unlike the target is rejected. The cut is set by labelled target documents that
-the model has not counted, as it favours those that it has.
+over a text, is its log importance weight. A sum grows with the text, so texts are compared at one
+length, ``LENGTH`` n-grams, at their own mean. With a standard Gumbel draw added, the k largest keys are a
+sample without replacement in proportion to these weights. k is the number of documents whose weight
+reaches a cut, so what is unlike the target is rejected. The cut is the one with the fewest errors on
+labelled documents, good and bad, that the model has not counted, as it favours those that it has.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from vacantia.session import work_dir
 BUCKETS = 1 << 16
 #: Most labelled documents that are used, chosen by a hash of the id: three in four for the target model, one for the cut.
 SAMPLE = 20_000
-#: Share of the other labelled target documents that must reach the cut.
-REACH = 0.998
+#: Share of the other labelled target documents that must reach the cut where none of them is bad, and else.
+REACH, FLOOR = 0.998, 0.99
+#: N-grams of the text that a weight is compared at, and neutral ones that each text is given, as few tell little.
+LENGTH, NEUTRAL = 1_000, 50
 #: Most keys that are sorted on the driver to find the k-th.
 FEW = 10_000
 #: Most words that a worker remembers, and n-grams that it holds before it counts them.
@@ -60,14 +63,21 @@ def ngrams(text: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Log ratio of target to raw probability by bucket, and the weight that a document must reach."""
+    """Log ratio of target to raw probability by bucket, and the weight at ``LENGTH`` that a document must reach."""
 
     ratio: np.ndarray
     cut: float = 0.0
 
-    def weight(self, text: str | None) -> float | None:
+    def weights(self, text: str | None) -> tuple[float, float] | tuple[None, None]:
+        """Log importance weight of a text, and what it would be at its mean for ``LENGTH`` n-grams."""
         found = ngrams(text) if text else ()
-        return float(self.ratio[found].sum()) if len(found) else None
+        if not len(found):
+            return None, None
+        total = float(self.ratio[found].sum())
+        return total, LENGTH * total / (len(found) + NEUTRAL)
+
+    def weight(self, text: str | None) -> float | None:
+        return self.weights(text)[1]
 
 
 def _sampled(labels: DataFrame, doc_id: str, quality: str) -> DataFrame:
@@ -127,25 +137,40 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     own = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     sample = _sampled(labels, doc_id, quality)
     counted = F.broadcast(sample.where("counted"))  # at most SAMPLE rows, as are the others
-    others = F.broadcast(sample.where("NOT counted AND good = 1"))
+    others = F.broadcast(sample.where("NOT counted"))
     target, raw = _counts(own.join(counted, own["id"] == counted["label_of"], "left"))
     log = lambda c: np.log((c + 1) / (c.sum() + BUCKETS))
     model = Model(log(target) - log(raw))
-    labelled = _weighed(own.join(others, own["id"] == others["label_of"]), model, "text", "weight")
-    rows = labelled.where("weight IS NOT NULL").select("weight").limit(2 * SAMPLE).collect()
-    good = np.sort([r["weight"] for r in rows])
-    model.cut = float(good[int((1 - REACH) * len(good))]) if len(good) else float("-inf")
+    labelled = _weighed(own.join(others, own["id"] == others["label_of"]), model, "text")
+    rows = labelled.where("__even IS NOT NULL").select("__even", "good").limit(2 * SAMPLE).collect()
+    of = lambda good: np.sort([r["__even"] for r in rows if (r["good"] == 1) == good])
+    model.cut = _cut(of(True), of(False))
     return model
 
 
-def _weighed(docs: DataFrame, model: Model, text: str, weight: str, keep: list[str] | None = None) -> DataFrame:
+def _cut(good: np.ndarray, bad: np.ndarray) -> float:
+    """Of the weights of good documents that ``FLOOR`` of them reach, the lowest with the fewest errors. Both are sorted."""
+    if not len(good):
+        return float("-inf")
+    if not len(bad):
+        return float(good[int((1 - REACH) * len(good))])
+    lost = np.arange(int((1 - FLOOR) * len(good)) + 1)
+    kept = len(bad) - np.searchsorted(bad, good[lost])
+    return float(good[np.argmin(lost + kept)])
+
+
+def _weighed(docs: DataFrame, model: Model, text: str, keep: list[str] | None = None) -> DataFrame:
+    """With ``weight``, and ``__even``, the same at one length."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
 
     def start():
-        work = lambda texts: [pa.array([shared.value.weight(t.as_py()) for t in texts], pa.float64())]
+        def work(texts):
+            both = [shared.value.weights(t.as_py()) for t in texts]
+            return [pa.array([b[at] for b in both], pa.float64()) for at in (0, 1)]
+
         return work, _WORDS.clear  # the worker outlives the task
 
-    return map_batches(docs, [text], {weight: T.DoubleType()}, start, keep)
+    return map_batches(docs, [text], {"weight": T.DoubleType(), "__even": T.DoubleType()}, start, keep)
 
 
 def kth_largest(rows: DataFrame, key: str, k: int) -> float:
@@ -176,17 +201,18 @@ def resample(
 ) -> DataFrame:
     """The columns ``keep`` (all by default) with ``weight``, ``key`` and ``kept``, true for the k largest keys.
 
-    ``weight`` is the log importance weight. A text without words or marks, or null, has no weight and
-    is not kept. Equal keys at the border stay together, so repeated rows do. Columns of these names
+    ``weight`` is the log importance weight; ``key`` is drawn from what it would be for ``LENGTH`` n-grams.
+    A text without words or marks, or null, has no weight and is not kept. Equal keys at the border stay together, so repeated rows do. Columns of these names
     are replaced; an empty table stays empty.
     """
     spark = docs.sparkSession
     bits = F.xxhash64(F.lit(seed), F.col(doc_id)).bitwiseAND(F.lit((1 << 53) - 1))
     gumbel = -F.ln(-F.ln((bits + F.lit(0.5)) / F.lit(float(1 << 53))))
     own = [c for c in (docs.columns if keep is None else keep) if c not in ("weight", "key", "kept")]
-    rows = _weighed(docs.withColumn("__gumbel", gumbel), model, text, "weight", [*own, "__gumbel"])
-    rows = rows.select(*own, "weight", (F.col("weight") + F.col("__gumbel")).alias("key"))
+    rows = _weighed(docs.withColumn("__gumbel", gumbel), model, text, [*own, "__gumbel"])
+    rows = rows.select(*own, "weight", (F.col("__even") + F.col("__gumbel")).alias("key"), "__even")
     rows = stored(rows, work_dir(spark, "resample"))
-    k = rows.where(F.col("weight") >= model.cut).count()
+    k = rows.where(F.col("__even") >= model.cut).count()
+    rows = rows.drop("__even")
     least = kth_largest(rows.where("key IS NOT NULL"), "key", k) if k else float("inf")
     return rows.withColumn("kept", F.coalesce(F.col("key") >= least, F.lit(False)))
