@@ -75,3 +75,13 @@ def test_empty_table_and_extra_columns(spark, tmp_path):
     assert round_trip(spark, df, str(tmp_path)) == []
     one = spark.createDataFrame([(1, "http://a.org/", "x", "d", "s")], SCHEMA + ", digest string, size string")
     assert len(round_trip(spark, one, str(tmp_path / "b"))) == 1
+
+
+def test_control_characters_anywhere_in_an_address(spark, tmp_path):
+    marks = ["\n", "\r", "\x7f", "\r\n", " ", "\t", "\x00", "\x85", "\u2028"]
+    forms = ["http://exa{}mple.com/", "http://example.com{}", "http://a.org:80{}/x", "http://u{}@a.org/", "http://a.org/{}p?q={}", "{}http://a.org/"]
+    forms += ["http://u@a{}b@c.org/", "no address{}", "http://{}", "HTTP://A.Org:80{}"]
+    urls = [form.replace("{}", mark) for form in forms for mark in marks] + ["http://exa%0Ample.com/", "http://exa%0ample.com/", "%0A", "", None]
+    rows = [(i, u, f"<p>{i}") for i, u in enumerate(urls)]
+    found = round_trip(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path))
+    assert sorted(r.page_id for r in found) == list(range(len(urls)))

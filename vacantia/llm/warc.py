@@ -51,14 +51,18 @@ RECORD = (
 
 
 def url_key(url: Column) -> Column:
-    """Host parts from last to first, then the path: ``com,example,www)/a?b``. A null address gives ``-``."""
+    """Host parts from last to first, then the path: ``com,example,www)/a?b``. A null address gives ``-``.
+
+    An address is first written as records write it, so that it and its record give one key.
+    """
+    for code in (*range(0x21), 0x7F):
+        url = F.replace(url, F.lit(chr(code)), F.lit(f"%{code:02X}"))
     authority = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
     host = F.lower(F.regexp_replace(authority, r"^.*@|:[0-9]*$", ""))
     rest = F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", "")
     parts = F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), rest)
     key = F.when(authority == "", url).otherwise(parts)
-    # as records write such characters percent-encoded, both forms give one key
-    return F.coalesce(F.regexp_replace(key, r"[\x00-\x20\x7f]|%[01][0-9A-F]|%7F", "%20"), F.lit("-"))
+    return F.coalesce(key, F.lit("-"))
 
 
 def _record_id(page_id, digest: str) -> str:
