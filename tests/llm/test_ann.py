@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from compare import connect, spark_rows, sql_rows
 
 from vacantia.llm import ann, registry
@@ -60,3 +61,17 @@ def test_bounds_never_lose_a_neighbour_on_close_vectors():
     exact[np.arange(40), np.arange(40)] = -np.inf
     want = {(q, v) for q in range(40) for v in np.argsort(-exact[q])[:10].tolist()}
     assert {(q, v) for q, v, _ in found} == want
+
+
+@pytest.mark.parametrize("size, spread", [(1e20, 0), (1e100, 3), (1e-25, 0), (1e-120, 3), (1.0, 60)])
+def test_components_of_any_size(size, spread):
+    draw = np.random.default_rng(3)
+    vectors = draw.normal(size=(300, 8)) * size * 10.0 ** draw.integers(-spread, spread + 1, size=(300, 1))
+    ids = np.arange(300)
+    found = ann._nearest(ids, vectors, ids[:40], vectors[:40], 5)
+    got = {q: [v for _, v in sorted((-s, v) for one, v, s in found if one == q)] for q in range(40)}
+    for q in range(40):
+        scores = np.zeros(300)
+        for d in range(8):
+            scores += vectors[:, d] * vectors[q, d]
+        assert got[q] == sorted((v for v in range(300) if v != q), key=lambda v: (-scores[v], v))[:5]

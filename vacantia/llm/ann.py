@@ -25,6 +25,10 @@ SMALL_BAND, SPREAD = 4_096, 24
 TILE_QUERIES, TILE_CANDIDATES = 256, 4_096
 #: Dimensions whose int8 products a float32 sum holds exactly.
 EXACT_DIMS = 1_024
+#: Largest components that float32 bounds hold as they are; tables with others are scaled for the bounds.
+ORDINARY = 1e-12, 1e12
+#: Survivors whose scores are computed at once.
+SURVIVORS = 65_536
 
 
 def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -97,6 +101,7 @@ def _few_of_each(ids: np.ndarray, vectors: np.ndarray, most: int) -> np.ndarray:
 def _quantised(vectors: np.ndarray):
     """Int8 values with their scale, the norms of original and held part, and the norm of what is lost."""
     scale = np.abs(vectors).max(axis=1) / 127
+    scale[scale == 0] = 1  # a vector that scaling made zero
     whole = np.rint(vectors / scale[:, None])
     held = whole * scale[:, None]
     norm = lambda x: np.sqrt((x * x).sum(axis=1))
@@ -115,8 +120,18 @@ def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def _nearest(ids, vectors, query_ids, query_vectors, k):
     few = _few_of_each(ids, vectors, k + 1)  # one more, as a query's own row does not count
     ids, vectors = ids[few], vectors[few]
-    whole, scale, norm, held, lost = _quantised(vectors)
-    q_whole, q_scale, q_norm, q_held, q_lost = _quantised(query_vectors)
+    largest, q_largest = np.abs(vectors).max(axis=1), np.abs(query_vectors).max(axis=1)
+    every = np.append(largest, q_largest)
+    slack, wild = np.float32(0), np.zeros(len(query_ids), bool)
+    if ORDINARY[0] <= every.min() and every.max() <= ORDINARY[1]:
+        whole, scale, norm, held, lost = _quantised(vectors)
+        q_whole, q_scale, q_norm, q_held, q_lost = _quantised(query_vectors)
+    else:  # powers of two: one for all candidates, so that they compare, and one for each query
+        power, q_power = np.frexp(largest.max())[1], np.frexp(q_largest)[1]
+        whole, scale, norm, held, lost = _quantised(np.ldexp(vectors, -power))
+        q_whole, q_scale, q_norm, q_held, q_lost = _quantised(np.ldexp(query_vectors, -q_power[:, None]))
+        slack = np.float32(1e-35 * vectors.shape[1])  # what float32 loses of candidates far below the largest
+        wild = np.abs(power + q_power) > 900  # doubles may overflow to ties, or vanish: no bounds
     found = []
     for q in range(0, len(query_ids), TILE_QUERIES):
         asked = slice(q, q + TILE_QUERIES)
@@ -132,16 +147,22 @@ def _nearest(ids, vectors, query_ids, query_vectors, k):
             right = np.stack([norm[tile], lost[tile], held[tile]]).astype(np.float32)
             error = left @ right
             error *= np.float32(1 + 1e-5)
+            error += slack
             low, high = near - error, near + error
+            low[wild[asked]], high[wild[asked]] = -np.inf, np.inf
+            low[np.isnan(low)] = -np.inf
+            high[np.isnan(high)] = np.inf
             own = np.searchsorted(ids[tile], query_ids[asked])
             at = np.flatnonzero((own < len(ids[tile])) & (ids[tile][np.minimum(own, len(ids[tile]) - 1)] == query_ids[asked]))
             low[at, own[at]] = high[at, own[at]] = -np.inf
             best = np.partition(np.concatenate([best, low], axis=1), -k, axis=1)[:, -k:]
             rows, columns = np.nonzero((high >= best.min(axis=1)[:, None]) & (high > -np.inf))
             scores = np.zeros(len(rows))
-            one, other = query_vectors[asked][rows], vectors[tile][columns]
-            for d in range(one.shape[1]):
-                scores += one[:, d] * other[:, d]
+            for begin in range(0, len(rows), SURVIVORS):
+                some = slice(begin, begin + SURVIVORS)
+                one, other = query_vectors[asked][rows[some]], vectors[tile][columns[some]]
+                for d in range(one.shape[1]):
+                    scores[some] += one[:, d] * other[:, d]
             for row, score, vec in zip(rows.tolist(), scores.tolist(), ids[tile][columns].tolist()):
                 heap = heaps[row]
                 if len(heap) < k:
