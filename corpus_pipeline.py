@@ -28,9 +28,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @with_package
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the smallest id. Rows of one id stay or go together."""
-    away = minhash.near_duplicates(docs, percent=NEAR).where("NOT kept").select("doc_id").distinct()
-    return docs.join(away, "doc_id", "left_anti").select(docs.columns)
+    """Of each component of near-duplicates one row, with the smallest id."""
+    return minhash.one_of_each(docs, NEAR)
 
 
 @with_package

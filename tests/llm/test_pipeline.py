@@ -125,3 +125,18 @@ def test_near_copies_from_80_percent_on_go(spark):
     )
     out = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
     assert sorted(r.doc_id for r in out.collect()) == sorted(d for d, root in want.items() if d == root)
+
+
+def test_one_row_of_each_component_stays_whatever_ids_repeat(spark):
+    base, other = " ".join(f"w{i}" for i in range(100)), "a clean text that nothing else resembles"
+    rows = [(5, base, "en", "a", 1), (5, other, "en", "a", 1), (3, base + " end", "en", "a", 1)]
+    rows += [(7, "said twice by one id", "en", None, 1)] * 3 + [(8, "SAID two ways by one id", "en", "a", 1), (8, "said two ways by one id", None, "a", 1)]
+    rows += [(9, "", "en", "a", 0), (None, base, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    one, again = (
+        sorted(map(repr, corpus_pipeline.drop_near_duplicates(spark, d, SF).collect())) for d in (docs, docs.repartition(3, "text"))
+    )
+    assert one == again and len(one) == 6
+    found = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()]
+    assert {(5, other), (3, base + " end"), (7, "said twice by one id"), (9, ""), (None, base)} < set(found)
+    assert sum(d == 8 for d, _ in found) == 1

@@ -116,7 +116,8 @@ def _batch(schema: pa.Schema, columns) -> pa.RecordBatch:
 
 
 def _sketches(docs: DataFrame, words: int) -> DataFrame:
-    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("node", pa.binary()), ("coords", pa.binary())])
+    names = [("id", pa.int64()), ("size", pa.int64()), ("node", pa.binary()), ("coords", pa.binary()), ("mark", pa.int64())]
+    schema = pa.schema(names)
 
     def sketch(batches):
         for batch in batches:
@@ -126,10 +127,10 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
                 sizes.append(len(own))
                 nodes.append(_digest(own) if len(own) else None)
                 coords.append(signature(own).tobytes() if len(own) else None)
-            yield _batch(schema, (batch.column(0), sizes, nodes, coords))
+            yield _batch(schema, (batch.column(0), sizes, nodes, coords, batch.column(2)))
         _WORDS.clear()  # the worker outlives the task
 
-    return docs.mapInArrow(sketch, "id long, size long, node binary, coords binary")
+    return docs.mapInArrow(sketch, "id long, size long, node binary, coords binary, mark long")
 
 
 def _values(coords: pa.Array) -> np.ndarray:
@@ -370,9 +371,48 @@ def near_duplicates(
     A row without an id is linked with nothing: its component is null and it is kept. Other columns are
     ignored; an empty table gives an empty one.
     """
-    spark = docs.sparkSession
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), F.lit(None).cast("long").alias("mark")
+    )
+    joined = _placed(rows, words, percent)
+    component = F.coalesce("component_id", "id")
+    return joined.select(
+        F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), component.alias("component_id"),
+        F.col("id").eqNullSafe(component).alias("kept"),
+    )
+
+
+def one_of_each(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Exactly one row of each component, and all rows that are in none: those without an id or words.
+
+    It is one with the smallest id; of several texts or other columns under that id, a hash of the row
+    decides. Rows of other components stay, whatever ids they share.
+    """
+    columns = docs.columns
+    mark = F.xxhash64(*columns, *(F.col(c).isNull() for c in columns))
+    marked = docs.withColumn("__mark", mark).withColumn("__id", F.col(doc_id).cast("long"))
+    rows = marked.select(F.col("__id").alias("id"), F.col(text).cast("string").alias("text"), F.col("__mark").alias("mark"))
+    placed = stored(
+        _placed(rows, WORDS, percent).where("root IS NOT NULL").select("root", "id", "mark"),
+        work_dir(docs.sparkSession, "one-of-each"),
+    )
+    equal = placed.groupBy("root", "id", "mark").agg(F.count("*").alias("times"))
+    best = placed.groupBy(F.col("root").alias("of")).agg(F.min(F.struct("id", "mark")).alias("best"))
+    places = equal.join(best, equal["root"] == best["of"])
+    first = (F.col("id") == F.col("best.id")) & (F.col("mark") == F.col("best.mark"))
+    # rows that go, and equal ones of which one stays; few beside all rows
+    odd = places.where(~first | (F.col("times") > 1)).select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), first.alias("one"))
+    odd = stored(odd, work_dir(docs.sparkSession, "odd-rows"))
+    key = ["__id", "__mark"]
+    rest = marked.join(odd, key, "left_anti")
+    again = marked.join(odd.where("one"), key, "left_semi").dropDuplicates(key)
+    return rest.select(columns).union(again.select(columns))
+
+
+def _placed(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """``id, size, mark`` of every row of ``id, text, mark`` with its component, ``root, component_id``; null in none."""
+    spark = rows.sparkSession
     folder = work_dir(spark, "minhash")
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     sketches = stored(_sketches(rows, words), f"{folder}/sketches")
     classes = sketches.where("size > 0 AND id IS NOT NULL").groupBy("node").agg(
         F.min("id").alias("id"), F.max("size").alias("size"), F.first("coords").alias("coords")
@@ -381,24 +421,19 @@ def near_duplicates(
     groups = components(_candidates(nodes, percent, folder))
     groups = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
     groups = groups.join(nodes.select("node", "id", "size"), "node")
-    links = _confirmed(rows, stored(groups.select("node", "root", "id", "size"), f"{folder}/groups"), words, percent, folder)
+    links = _confirmed(rows.select("id", "text"), stored(groups.select("node", "root", "id", "size"), f"{folder}/groups"), words, percent, folder)
     found = components(links)
     found = found.union(found.select(F.col("root").alias("node"), "root").distinct())
     placed = nodes.select("node", "id").join(found, "node", "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_node = placed.select("node", "root").join(least, "root").select(F.col("node").alias("own"), "component_id")
+    of_node = placed.select("node", "root").join(least, "root").select(F.col("node").alias("own"), "root", "component_id")
     # texts without words get keys of their own, so they do not meet under null
     alone = F.concat(F.lit("-"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary")
     key = F.when(F.col("id").isNotNull(), F.col("node"))
     key = F.coalesce(key, alone)
-    every = sketches.select("id", "size", "node", key.alias("key"))
-    joined = every.join(of_node, every["key"] == of_node["own"], "left")
-    component = F.coalesce("component_id", "id")
-    return joined.select(
-        F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
-    )
+    every = sketches.select("id", "size", "mark", key.alias("key"))
+    return every.join(of_node, every["key"] == of_node["own"], "left")
 
 
 def _tagged(classes: DataFrame) -> DataFrame:
