@@ -24,9 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vacantia.llm.components import components
-from vacantia.llm.registry import stored
+from vacantia.llm.registry import map_batches, stored
 from vacantia.session import work_dir
 
 WORDS = 5
@@ -37,8 +38,8 @@ PERCENT = 85
 MISS = 1e-5
 #: Counters of coordinate values, and pieces they are summed in.
 COUNTERS, PIECES = 1 << 20, 256
-#: Bits of the filter that keeps texts of no candidate out of the second pass.
-FILTER_BITS = 1 << 24
+#: Bits of a filter of members for each of them, most bits of all, and most members; more are joined instead.
+MEMBER_BITS, FILTER_BITS, FILTER_MEMBERS = 32, 1 << 27, 1 << 24
 #: Members of a posting list, and shingles of a component, in one block.
 BLOCK, BLOCK_SHINGLES = 1_024, 1_000_000
 #: Most words that a worker remembers.
@@ -308,33 +309,48 @@ def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return found
 
 
-def _member_filter(members: DataFrame):
-    """Bits of hashed ids, FILTER_BITS of them whatever the number of members."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    word = members.select(bit.alias("bit"))
-    word = word.selectExpr("cast(bit div 64 as int) AS word", "shiftleft(1L, cast(bit % 64 as int)) AS bit")
-    rows = word.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
-    words = np.zeros(FILTER_BITS // 64, np.int64)
-    for row in rows:
+class _Filter:
+    """Bits of hashed members in 64-bit words: 16 MB at most, whatever the corpus."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.last = words, np.uint64(64 * len(words) - 1)
+
+    def may_hold(self, hashes: pa.Array) -> np.ndarray:
+        at = hashes.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) & self.last
+        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _filter(members: DataFrame):
+    """A broadcast filter of the column ``hash``, sized by how many rows there are; None for too many."""
+    count = members.count()
+    if count > FILTER_MEMBERS:
+        return None
+    size = min(FILTER_BITS, 1 << max(16, (MEMBER_BITS * count - 1).bit_length()))
+    bit = members.select(F.col("hash").bitwiseAND(F.lit(size - 1)).alias("bit"))
+    word = bit.selectExpr("cast(bit div 64 as int) AS word", "shiftleft(1L, cast(bit % 64 as int)) AS bit")
+    words = np.zeros(size // 64, np.int64)
+    for row in word.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():  # at most size / 64 rows
         words[row["word"]] = row["bits"]
-    return members.sparkSession.sparkContext.broadcast(np.unpackbits(words.view(np.uint8), bitorder="little"))
+    return members.sparkSession.sparkContext.broadcast(_Filter(words.view(np.uint64)))
 
 
 def _confirmed(docs: DataFrame, groups: DataFrame, words: int, percent: int, folder: str) -> DataFrame:
     """A forest of links; ``groups`` has ``node, root, id, size``, where ``id`` is one document of the node."""
-    bits = _member_filter(groups)
+    members = groups.select(F.xxhash64("id").alias("hash"))
+    bits = _filter(members)
+    if bits is None:
+        docs = docs.join(groups.select(F.col("id").alias("member")).distinct(), F.col("id") == F.col("member"), "left_semi")
     schema = pa.schema([("id", pa.int64()), ("node", pa.binary()), ("shingles", pa.binary())])
 
     def again(batches):
         for batch in batches:
-            kept = bits.value[batch.column(2).to_numpy()].astype(bool)
+            kept = bits.value.may_hold(batch.column(2)) if bits else np.ones(batch.num_rows, bool)
             ids = batch.column(0).filter(pa.array(kept))
             sets = [shingles(t.as_py(), words) for t, k in zip(batch.column(1), kept) if k]
             yield _batch(schema, (ids, [_digest(s) if len(s) else None for s in sets], [s.tobytes() for s in sets]))
         _WORDS.clear()
 
-    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("int")
-    sets = docs.withColumn("place", place).mapInArrow(again, "id long, node binary, shingles binary")
+    sets = docs.withColumn("hash", F.xxhash64("id")).mapInArrow(again, "id long, node binary, shingles binary")
     sets = sets.withColumnsRenamed({"id": "own_id", "node": "own"})
     sums = groups.groupBy(F.col("root").alias("of")).agg(F.sum("size").alias("shingles_of"), F.count("*").alias("members"))
     known = groups.join(sums, groups["root"] == sums["of"]).drop("of")
@@ -401,12 +417,23 @@ def one_of_each(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str
     places = equal.join(best, equal["root"] == best["of"])
     first = (F.col("id") == F.col("best.id")) & (F.col("mark") == F.col("best.mark"))
     # rows that go, and equal ones of which one stays; few beside all rows
-    odd = places.where(~first | (F.col("times") > 1)).select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), first.alias("one"))
+    odd = places.where(~first | (F.col("times") > 1)).select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), first.alias("__one"))
     odd = stored(odd, work_dir(docs.sparkSession, "odd-rows"))
     key = ["__id", "__mark"]
-    rest = marked.join(odd, key, "left_anti")
-    again = marked.join(odd.where("one"), key, "left_semi").dropDuplicates(key)
-    return rest.select(columns).union(again.select(columns))
+    hashed = F.xxhash64(*key)
+    bits = _filter(odd.select(hashed.alias("hash")))
+    if bits is None:
+        met = marked.join(odd, key, "left")
+        rest = met.where("__one IS NULL")
+    else:  # texts that the filter does not hold stay where they are; the others alone are shuffled
+
+        def start():
+            return lambda hashes: [pa.array(bits.value.may_hold(hashes))], lambda: None
+
+        told = map_batches(marked.withColumn("__hash", hashed), ["__hash"], {"__maybe": T.BooleanType()}, start)
+        met = told.where("__maybe").join(odd, key, "left")
+        rest = told.where("NOT __maybe").select(columns).union(met.where("__one IS NULL").select(columns))
+    return rest.select(columns).union(met.where("__one").dropDuplicates(key).select(columns))
 
 
 def _placed(rows: DataFrame, words: int, percent: int) -> DataFrame:
