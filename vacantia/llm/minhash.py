@@ -309,7 +309,7 @@ def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return found
 
 
-class _Filter:
+class MemberFilter:
     """Bits of hashed members in 64-bit words: 16 MB at most, whatever the corpus."""
 
     def __init__(self, words: np.ndarray):
@@ -320,7 +320,7 @@ class _Filter:
         return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _filter(members: DataFrame):
+def member_filter(members: DataFrame):
     """A broadcast filter of the column ``hash``, sized by how many rows there are; None for too many."""
     count = members.count()
     if count > FILTER_MEMBERS:
@@ -331,13 +331,13 @@ def _filter(members: DataFrame):
     words = np.zeros(size // 64, np.int64)
     for row in word.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():  # at most size / 64 rows
         words[row["word"]] = row["bits"]
-    return members.sparkSession.sparkContext.broadcast(_Filter(words.view(np.uint64)))
+    return members.sparkSession.sparkContext.broadcast(MemberFilter(words.view(np.uint64)))
 
 
 def _confirmed(docs: DataFrame, groups: DataFrame, words: int, percent: int, folder: str) -> DataFrame:
     """A forest of links; ``groups`` has ``node, root, id, size``, where ``id`` is one document of the node."""
     members = groups.select(F.xxhash64("id").alias("hash"))
-    bits = _filter(members)
+    bits = member_filter(members)
     if bits is None:
         docs = docs.join(groups.select(F.col("id").alias("member")).distinct(), F.col("id") == F.col("member"), "left_semi")
     schema = pa.schema([("id", pa.int64()), ("node", pa.binary()), ("shingles", pa.binary())])
@@ -421,7 +421,7 @@ def one_of_each(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str
     odd = stored(odd, work_dir(docs.sparkSession, "odd-rows"))
     key = ["__id", "__mark"]
     hashed = F.xxhash64(*key)
-    bits = _filter(odd.select(hashed.alias("hash")))
+    bits = member_filter(odd.select(hashed.alias("hash")))
     if bits is None:
         met = marked.join(odd, key, "left")
         rest = met.where("__one IS NULL")

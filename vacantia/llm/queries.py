@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vacantia.llm import ann, bpe, imatch, licenses, minhash, mixing, pii, quality, sharding, warc
+from vacantia.llm import ann, bpe, imatch, licenses, minhash, mixing, pii, quality, search, sharding, warc
 from vacantia.llm.registry import query, table
 from vacantia.session import work_dir
 
@@ -145,3 +145,36 @@ def op10_hash_tree(spark, sf):
     )
     rows = sharding.assign(rows, sharding.layout(16))
     return sharding.number(sharding.assign(rows, sharding.layout(17), shard="grown_shard"))
+
+
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query(f"""
+    WITH t AS (
+        SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, {LOWER}), '{TERMS}') AS terms
+        FROM documents),
+    d AS (SELECT row, doc_id, len(terms) AS n FROM t WHERE len(terms) > 0),
+    s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+    f AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM t) GROUP BY ALL),
+    w AS (
+        SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+        FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+    i AS (SELECT DISTINCT item_id, text FROM benchmark),
+    q AS (
+        SELECT item_id, text, term, count(*) AS times
+        FROM (SELECT *, unnest(regexp_extract_all(translate(text, {LOWER}), '{TERMS}')) AS term FROM i) GROUP BY ALL),
+    p AS (
+        SELECT q.item_id, q.text, d.row, d.doc_id, CAST(sum(times * w * ((1000000000 * tf)
+            // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // total))))) AS BIGINT) AS score
+        FROM q JOIN w USING (term) JOIN f USING (term) JOIN d USING (row), s GROUP BY ALL),
+    r AS (
+        SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank
+        FROM p WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+""")
+def op11_search(spark, sf):
+    """The ten best documents of all for every benchmark item."""
+    docs, items = table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark", "item_id", "text")
+    return search.best_documents(docs, items)
