@@ -1,0 +1,141 @@
+import hashlib
+import itertools
+import random
+import zlib
+
+import pytest
+from compare import connect, spark_rows, sql_rows
+
+from vacantia.llm import conversations as C
+from vacantia.llm import registry
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "conv_id long, turn long, role string, text string"
+SPACE = " \t\n\x0b\f\r"
+
+
+def spoiled(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        show = lambda x: " " if x is None else str(x)
+        fate = zlib.crc32(f"{show(conv)}:{show(turn)}".encode()) % 20
+        role, text = show(role), show(text)
+        text = "" if fate == 1 else text.translate({ord(c): None for c in ".!?"}) if fate == 2 else text
+        out += [(conv, turn, "user" if fate == 4 else role, text)] * (0 if fate == 0 else 2 if fate == 3 else 1)
+    return out
+
+
+def plain(rows):
+    """Least (cost, audit) and what comes out, by extending whole prefixes row by row."""
+    faults, seen = [], set()
+    for role, text in rows:
+        inner = text.rstrip(SPACE)
+        faults.append("blank" if not inner else "duplicate" if (role, text) in seen else "truncated" if inner[-1] not in ".!?" else "")
+        seen.add((role, text))
+    follow = {"": "su", "s": "u", "u": "a", "a": "u"}
+    # a prefix may be worse as a text and still begin the least audit, so all costs near the least are kept
+    front = {("", 0, "", ())}
+    for (role, text), fault in zip(rows, faults):
+        front = insertions(front, follow)
+        new = set()
+        for state, cost, audit, out in front:
+            new.add((state, cost + 3, audit + "D", out))
+            if fault in ("", "truncated"):
+                more = 1 if fault else 0
+                if role[:1] and role[0] in follow[state]:
+                    new.add((role[0], cost + more, audit + "K", (*out, (role, text))))
+                for put in follow[state].replace("s", ""):
+                    new.add((put, cost + 2 + more, audit + "R", (*out, ({"u": "user", "a": "assistant"}[put], text))))
+        least = {}
+        for way in new:
+            least[way[0]] = min(least.get(way[0], 1 << 30), way[1])
+        front = {w for w in new if w[1] == least[w[0]]}
+    done = [w for w in insertions(front, follow) if w[0] in ("", "a")]
+    state, cost, audit, out = min(done, key=lambda w: (w[1], w[2]))
+    return faults, cost, audit, out
+
+
+def insertions(front, follow):
+    out = set(front)
+    for _ in range(3):
+        out |= {
+            (put, cost + 2, audit + "I", (*made, ({"u": "user", "a": "assistant"}[put], "")))
+            for state, cost, audit, made in out
+            for put in follow[state].replace("s", "")
+        }
+    return out
+
+
+def brute(given, rows):
+    found = []
+    for conv in {r[0] for r in given}:
+        own = sorted(
+            ((t, r, x) for c, t, r, x in rows if c == conv),
+            key=lambda x: (x[0] is not None, x[0] or 0, x[1], hashlib.md5(f"{x[1]}\0{x[2]}".encode()).hexdigest()),
+        )
+        faults, cost, audit, out = plain([(r, x) for _, r, x in own])
+        turns = [t for t, *_ in own if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum((a[1][:1] + b[1][:1]) not in ("su", "ua", "au") for a, b in itertools.pairwise(own))
+        digest = hashlib.sha256("\n".join(f"{r}:{x}" for r, x in out).encode()).hexdigest()
+        found.append((conv, gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest))
+    return sorted(found, key=repr)
+
+
+def got(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_query_agrees_with_sql_and_with_a_plain_search(spark):
+    columns, rows = spark_rows(registry.QUERIES["op13_repair"](spark, SF))
+    assert (columns, rows) == sql_rows(connect(SF), registry.SQL["op13_repair"])
+    given = list(map(tuple, spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()))
+    assert got(registry.QUERIES["op13_repair"](spark, SF)) == brute(given, spoiled(given))
+
+
+@pytest.mark.parametrize("chunk, parts", [(1_024, 4), (3, 4), (1, 7), (2, 1)])
+def test_random_conversations_in_chunks_of_any_size(spark, monkeypatch, chunk, parts):
+    monkeypatch.setattr(C, "CHUNK", chunk)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        draw, rows = random.Random(chunk * 10 + parts), []
+        for conv in range(40):
+            for _ in range(draw.randint(1, 9)):
+                turn = draw.choice((None, *range(12)))
+                role = draw.choice(("system", "user", "user", "assistant", "assistant", "tool", "", None, "admin"))
+                rows.append((conv if conv else None, turn, role, draw.choice(("a.", "b", "", " \n", "c!", "d? ", None, f"x{draw.random()}."))))
+        df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+        shown = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+        assert got(C.repair_report(df, df)) == brute(shown, shown)
+        found = C.audits(df)
+        again = C.repaired(df, found).selectExpr("try_cast(conv AS long) AS conv_id", "position AS turn", "role", "text")
+        assert {r.illegal for r in C.audits(again).collect()} <= {0}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_lightest_derivations_against_all_edits():
+    letters = {"D", "I", "K", "R"}
+    for codes in itertools.product(range(12), repeat=3):
+        rows = [({"?": "x", "s": "system", "u": "user", "a": "admin"}[C.INITIALS[c & 3]], {0: f"{i}.", 1: "", 2: "same.", 3: f"{i}"}[c >> 2]) for i, c in enumerate(codes)]
+        if any(c >> 2 == 2 for c in codes):
+            continue  # repeats depend on the other rows
+        cost, audit, after = C.derive(bytes(codes), C.FINISH)[C.START]
+        _, want, edits, _ = plain(rows)
+        assert (cost, audit + "I" * (C.FINISH[after] // 2)) == (want, edits) and set(audit) <= letters
+
+
+def test_a_long_conversation_spread_over_tasks_nulls_and_empty_tables(spark):
+    rows = [(7, i, ("user", "assistant")[i % 2], f"word {i}.") for i in range(5_000)] + [(8, 1, "user", "x" * 200_000)]
+    rows += [(None, None, None, None), (9, 3, "system", "only.")] + [(10, None, "user", "same.")] * 50
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS conv", "'m' AS mark", "0 AS seq")
+    out = {r.conv_id: r for r in C.repair_report(df, df).collect()}
+    assert (out[7].cost, out[7].audit, out[7].gaps) == (0, "K" * 5_000, 0)
+    assert (out[8].cost, out[8].audit) == (3, "D") or (out[8].cost, out[8].audit) == (3, "KI")
+    assert (out[9].audit, out[9].cost, out[None].audit, out[None].blank) == ("D", 3, "D", 1)
+    assert (out[10].duplicate, out[10].audit, out[10].cost, out[10].gaps) == (49, "K" + "D" * 49 + "I", 149, 0)
+    assert got(C.repair_report(df.where("false"), df.where("false"))) == []
+    empty = C.repair_report(df.where("conv_id = 9"), df.where("false")).first()
+    assert tuple(empty) == (9, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vacantia.llm import ann, bpe, imatch, licenses, minhash, mixing, pii, quality, search, sharding, warc
+from vacantia.llm import ann, bpe, conversations, imatch, licenses, minhash, mixing, pii, quality, search, sharding, warc
 from vacantia.llm.registry import query, table
 from vacantia.session import work_dir
 
@@ -178,3 +178,88 @@ def op11_search(spark, sf):
     """The ten best documents of all for every benchmark item."""
     docs, items = table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark", "item_id", "text")
     return search.best_documents(docs, items)
+
+
+def _repair_sql() -> str:
+    """The least cost and audit of each state, from the last row to the first, as texts that sort like both."""
+    add = lambda cost, edits, of: f"lpad(CAST(CAST({of}[1:12] AS BIGINT) + {cost} AS VARCHAR), 12, '0') || '{edits}' || {of}[13:]"
+    zero = lambda cost, edits="": f"'{cost:012d}{edits}'"
+    following = {0: 2, 1: 2, 2: 3, 3: 2}  # the state after a user's row, or after user the assistant's
+    kept = {0: (("s", 1), ("u", 2)), 1: (("u", 2),), 2: (("a", 3),), 3: (("u", 2),)}
+    row, insert = [], []
+    for state in range(4):
+        ways = [add(3, "D", f"b.v{state}")]
+        ways += [f"CASE WHEN free AND initial = '{i}' THEN {add('cut', 'K', f'b.v{to}')} END" for i, to in kept[state]]
+        ways += [f"CASE WHEN free THEN {add('2 + cut', 'R', f'b.v{following[state]}')} END"]
+        row.append(f"least({', '.join(ways)}) AS w{state}")
+        once, twice = following[state], following[following[state]]
+        insert.append(f"least(w{state}, {add(2, 'I', f'w{once}')}, {add(4, 'II', f'w{twice}')}) AS v{state}")
+    return f"""
+    WITH RECURSIVE codes AS (
+        SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+    hashed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+                string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                lambda x: ascii(x)::UBIGINT)),
+                lambda c, x: xor(c >> 8, t[CAST((xor(c, x) & 255) + 1 AS BIGINT)])), 4294967295::UBIGINT) % 20 AS fate
+        FROM conversations, codes),
+    harmed AS (
+        SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+            CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS time
+        FROM hashed WHERE fate <> 0),
+    placed AS (
+        SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS inner_text, role[1:1] AS initial,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(role || chr(0) || text), time) AS place
+        FROM harmed),
+    marked AS (
+        SELECT *, CASE WHEN inner_text = '' THEN 1
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 2
+            WHEN inner_text[-1:] NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+            lead(initial) OVER (PARTITION BY conv_id ORDER BY place) AS following
+        FROM placed),
+    totals AS (
+        SELECT conv_id, count(*) AS n, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+            count(*) FILTER (fault = 3) AS truncated,
+            count(*) FILTER (following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal,
+            coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+        FROM marked GROUP BY conv_id),
+    best AS (
+        SELECT conv_id, n AS place, {zero(0)} AS v0, {zero(4, "II")} AS v1, {zero(2, "I")} AS v2, {zero(0)} AS v3 FROM totals
+        UNION ALL
+        SELECT conv_id, place, {", ".join(insert)} FROM (
+            SELECT b.conv_id, b.place - 1 AS place, {", ".join(row)}
+            FROM (SELECT *, fault IN (0, 3) AS free, CASE WHEN fault = 3 THEN 1 ELSE 0 END AS cut FROM marked) m
+            JOIN best b ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.place = b.place)),
+    found AS (SELECT conv_id, CAST(v0[1:12] AS BIGINT) AS cost, v0[13:] AS audit FROM best WHERE place = 0),
+    edits AS (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS no FROM found),
+    steps AS (
+        SELECT conv_id, no, audit[no] AS edit, len(replace(audit[1:no], 'I', '')) AS place,
+            len(replace(audit[1:no], 'D', '')) AS put, len(audit) - len(ltrim(audit, 'D')) + 1 AS head
+        FROM edits),
+    said AS (
+        SELECT s.*, m.role, m.text, m.initial,
+            max(CASE WHEN no = head AND edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY s.conv_id) AS opened
+        FROM steps s LEFT JOIN marked m ON m.conv_id IS NOT DISTINCT FROM s.conv_id AND m.place = s.place AND edit <> 'I'),
+    texts AS (
+        SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role ELSE
+            CASE WHEN (put - opened) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+            || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY no) AS repaired
+        FROM said WHERE edit <> 'D' GROUP BY conv_id)
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+        coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c
+    LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM c.conv_id
+    """
+
+
+@query(_repair_sql())
+def op13_repair(spark, sf):
+    """All conversations damaged, and what it takes to repair them."""
+    given = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    return conversations.repair_report(given, conversations.damaged(given))
