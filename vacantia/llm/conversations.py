@@ -143,7 +143,7 @@ def _chunk(conv, part, seq, turns: list, codes: bytes) -> dict:
     }
 
 
-def _chunks(batches):
+def _chunks(batches, most: int):
     """Chunks of sorted rows; a conversation that may go on in another task, or is long, keeps its codes."""
     part, made = TaskContext.get().partitionId(), []
     conv, turns, codes, seq, edge = None, [], bytearray(), 0, True
@@ -164,7 +164,7 @@ def _chunks(batches):
             if codes and own != conv:
                 close(True)
                 edge, seq = False, 0
-            elif len(codes) == CHUNK:
+            elif len(codes) == most:
                 close(False)
                 seq += 1
             conv = own
@@ -245,7 +245,8 @@ def audits(conversations: DataFrame) -> DataFrame:
     coded = met.select(*ORDER, "spread", (F.col("initial") + 4 * fault).cast("int").alias("code"))
     order = [*ORDER, "spread"]
     dealt = coded.repartitionByRange(*order).sortWithinPartitions(*order).select("conv", "turn", "code")
-    chunks = stored(dealt.mapInArrow(_chunks, _CHUNK_TYPE), f"{folder}/chunks")
+    most = CHUNK
+    chunks = stored(dealt.mapInArrow(lambda batches: _chunks(batches, most), _CHUNK_TYPE), f"{folder}/chunks")
     names = [n.split()[0] for n in RESULT.split(", ")]
     gaps = F.when(F.col("turns") > 0, F.col("to_turn") - F.col("from_turn") + 1 - F.col("turns")).otherwise(0)
     whole = chunks.where("whole").withColumn("gaps", gaps.cast("long")).select(names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vacantia.llm import ann, bpe, conversations, imatch, licenses, minhash, mixing, pii, quality, search, sharding, warc
+from vacantia.llm import ann, bpe, conversations, imatch, licenses, lm, minhash, mixing, pii, quality, search, sharding, warc
 from vacantia.llm.registry import query, table
 from vacantia.session import work_dir
 
@@ -263,3 +263,11 @@ def op13_repair(spark, sf):
     """All conversations damaged, and what it takes to repair them."""
     given = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     return conversations.repair_report(given, conversations.damaged(given))
+
+
+@query()
+def op12_lm(spark, sf):
+    """All documents scored by a model of nine in ten of them."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10
+    return lm.score(docs, remainder == 0)

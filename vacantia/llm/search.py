@@ -69,7 +69,8 @@ class _Numbers(dict):
 class _Builder:
     """One block in the making."""
 
-    def __init__(self):
+    def __init__(self, docs: int, tokens: int):
+        self.most_docs, self.most_tokens = docs, tokens
         self.numbers, self.ids, self.lengths, self.terms, self.tfs, self.tokens = _Numbers(), [], [], [], [], 0
 
     def add(self, doc_id: int | None, text: str | None) -> None:
@@ -86,7 +87,7 @@ class _Builder:
         self.tokens += len(words)
 
     def full(self) -> bool:
-        return len(self.ids) >= BLOCK_DOCS or self.tokens >= BLOCK_TOKENS
+        return len(self.ids) >= self.most_docs or self.tokens >= self.most_tokens
 
     def block(self, wanted) -> pa.RecordBatch:
         import xxhash
@@ -117,14 +118,16 @@ def build_index(docs: DataFrame, folder: str, wanted=None, doc_id: str = "doc_id
     that repeat an id are documents of their own; other columns are ignored.
     """
 
+    limits = BLOCK_DOCS, BLOCK_TOKENS
+
     def build(batches):
-        block = _Builder()
+        block = _Builder(*limits)
         for batch in batches:
             for own, words in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(own, words.as_py())
                 if block.full():
                     yield block.block(wanted and wanted.value)
-                    block = _Builder()
+                    block = _Builder(*limits)
         if block.ids:
             yield block.block(wanted and wanted.value)
 
@@ -167,7 +170,8 @@ def _weighted(index: DataFrame, terms: DataFrame) -> tuple[DataFrame, int, int]:
 class _Block:
     """A block of the index, ready to be searched."""
 
-    def __init__(self, row: dict, n: int, length: int):
+    def __init__(self, row: dict, n: int, length: int, window: int, long: int):
+        self.long = long
         ids = row["ids"]
         self.none = np.array([i is None for i in ids])
         self.ids = np.array([0 if i is None else i for i in ids], np.int64)
@@ -178,7 +182,7 @@ class _Block:
         norm = 100 - LENGTH_SHARE + LENGTH_SHARE * own * n // length
         self.impacts = SCALE * tfs // (1000 * tfs + SATURATION * norm[self.docs])
         self.ends = np.concatenate([[0], np.cumsum(dfs)])
-        self.bounds = np.append(np.arange(0, len(ids), WINDOW), len(ids))
+        self.bounds = np.append(np.arange(0, len(ids), window), len(ids))
         # where every window begins in every list, and the largest impact there
         key = np.repeat(np.arange(len(dfs)), dfs) * len(ids) + self.docs
         self.starts = np.searchsorted(key, np.arange(len(dfs))[:, None] * len(ids) + self.bounds[None, :])
@@ -189,8 +193,8 @@ class _Block:
     def search(self, terms: list[tuple[bytes, int]], best: _Best) -> None:
         lists = [(self.at[t], w) for t, w in terms if t in self.at]
         size = lambda x: self.ends[x[0] + 1] - self.ends[x[0]]
-        short = [x for x in lists if size(x) * LONG <= len(self.ids)]
-        long = [x for x in lists if size(x) * LONG > len(self.ids)]
+        short = [x for x in lists if size(x) * self.long <= len(self.ids)]
+        long = [x for x in lists if size(x) * self.long > len(self.ids)]
         sums = np.zeros(len(self.ids), np.int64)  # the accumulators
         for at, weight in short:  # term at a time
             own = slice(self.ends[at], self.ends[at + 1])
@@ -258,7 +262,7 @@ def search(index: DataFrame, terms: DataFrame, k: int = 10) -> DataFrame:
     weighted = stored(weighted, f"{folder}/queries")
     rounds = weighted.agg(F.sum(F.size("terms")).alias("terms")).first()["terms"] or 0
     rounds = max(1, -(-rounds // ROUND_TERMS))
-    found = None
+    found, sizes = None, (WINDOW, LONG)
     schema = pa.schema([("item_id", pa.int64()), ("item", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
     for number in range(rounds):  # rounds of bounded size, each one pass over the index
         own = weighted.where(F.pmod("item", F.lit(rounds)) == number).collect()
@@ -269,7 +273,7 @@ def search(index: DataFrame, terms: DataFrame, k: int = 10) -> DataFrame:
             best = [_Best(k) for _ in asked.value]
             for batch in batches:
                 for row in batch.to_pylist():
-                    block = _Block(row, n, length)
+                    block = _Block(row, n, length, *sizes)
                     for (_, _, wanted), one in zip(asked.value, best):
                         block.search(wanted, one)
             columns = [[], [], [], []]
