@@ -9,8 +9,8 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Questions answered at a time, which bounds what is unpacked.
-SLICE = 1 << 16
+#: One question for so many bits is answered by a pass over all bits.
+MANY = 16
 _BYTES = np.arange(8, dtype=np.uint64) * np.uint64(8)
 
 
@@ -39,21 +39,29 @@ class EliasFano:
 
     def _select(self, which: np.ndarray, bit: int) -> np.ndarray:
         """Place of the given bits that equal ``bit``, counted from 0."""
+        if len(which) * MANY > self.length:  # about all of them are asked for: one pass over the bits
+            bits = np.unpackbits(self.words.view(np.uint8), bitorder="little")
+            return np.flatnonzero(bits == bit)[which]
         before = self.ones if bit else np.arange(len(self.ones)) * 512 - self.ones
-        out = np.empty(len(which), np.int64)
-        for begin in range(0, len(which), SLICE):
-            asked = which[begin : begin + SLICE]
-            block = np.searchsorted(before, asked, side="right") - 1
-            rest = asked - before[block]
-            words = self.words.reshape(-1, 8)[block]
-            words = words if bit else ~words
-            sums = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-            word = (sums <= rest[:, None]).sum(axis=1)
-            rest = rest - np.where(word > 0, sums[np.arange(len(word)), np.maximum(word - 1, 0)], 0)
-            inside = np.unpackbits(words[np.arange(len(word)), word][:, None].view(np.uint8), axis=1, bitorder="little")
-            at = (np.cumsum(inside, axis=1, dtype=np.uint8) <= rest[:, None]).sum(axis=1)
-            out[begin : begin + SLICE] = block * 512 + word * 64 + at
-        return out
+        block = np.searchsorted(before, which, side="right") - 1
+        rest = which - before[block]
+        word, place = np.zeros(len(which), np.uint64), block * 512
+        found = np.zeros(len(which), bool)
+        for k in range(8):  # the word of the block
+            own = self.words[block * 8 + k]
+            own = own if bit else ~own
+            count = np.bitwise_count(own)
+            here = ~found & (rest < count)
+            word[here], place[here] = own[here], place[here] + 64 * k
+            found |= here
+            rest = np.where(found, rest, rest - count)
+        for width in (32, 16, 8, 4, 2, 1):  # the half of the word, and so on
+            count = np.bitwise_count(word & np.uint64((1 << width) - 1))
+            upper = rest >= count
+            rest = rest - np.where(upper, count, 0)
+            word = np.where(upper, word >> np.uint64(width), word)
+            place = place + np.where(upper, width, 0)
+        return place
 
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.width:

@@ -39,7 +39,7 @@ WEIGHTS = (3_000.0, 3.0)
 #: Added to every count of single tokens.
 ADDED = 0.1
 #: Tokens and documents of a bundle (a longer text is one by itself), trigrams of a shard, words of a shard.
-BUNDLE_TOKENS, BUNDLE_DOCS, SHARD, WORD_SHARD = 1 << 21, 1 << 16, 1 << 21, 1 << 22
+BUNDLE_TOKENS, BUNDLE_DOCS, SHARD, WORD_SHARD = 1 << 20, 1 << 16, 1 << 20, 1 << 22
 #: Least tokens of a word or pair that is split; at most MOST_HOT of each are, so the bound grows beyond that.
 PART, MOST_HOT = 1 << 20, 1 << 20
 #: Steps of a logarithm, and what is added before it is kept in 16 bits.
@@ -104,6 +104,20 @@ def _changes(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _order(*keys: np.ndarray) -> np.ndarray:
+    """What sorts rows by their keys, the first one first; equal rows in any order."""
+    if not len(keys[0]) or any(int(k.max()) >> 32 for k in keys):
+        return np.lexsort(keys[::-1])
+    whole = keys[0] << 32 | keys[1]
+    order = np.argsort(whole)
+    for key in keys[2:]:
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(_changes(whole[order]))
+        whole = place << 32 | key
+        order = np.argsort(whole)
+    return order
+
+
 # --- bundles -------------------------------------------------------------------------------------
 
 BUNDLE = "bundle long, size long, tokens long, trained long, texts long, hashes binary, counts binary, body binary, rows binary"
@@ -315,7 +329,7 @@ def _cells(bundle: dict, answers: list[dict], total: dict, hot: _Hot) -> list[di
     pair = hot.pair_times(middle, after)
     key = _mixed(key) + np.where(pair > 0, _mixed(before) % (1 + pair // hot.part).astype(np.uint64), np.uint64(0))
     to = (_mixed(key) % np.uint64(total["shards"])).astype(np.int64)
-    order = np.lexsort((before, after, middle, to))
+    order = _order(to, middle, after)
     to, middle, after, before = to[order], middle[order], after[order], before[order]
     times, context, doc = times[order], context[order], doc[order] * 2 + (held[doc[order]] == 0)
     edges = np.append(np.flatnonzero(_changes(to)), len(to))
@@ -355,14 +369,18 @@ class _Level:
         self.values = EliasFano(value + base[parent], keep)
 
     def find(self, parent: np.ndarray, value: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Place of each value among those of its parent, whether it is there, and where the range begins."""
+        """Place of each value among those of its parent, whether it is there, and where the range begins.
+
+        Parents that are ``there`` come in order.
+        """
         place, begins, met = np.zeros(len(parent), np.int64), np.zeros(len(parent), np.int64), np.zeros(len(parent), bool)
         some = np.flatnonzero(there)
         if not len(some) or not self.values.size:
             return place, met, begins
-        ranges, at = np.unique(parent[some], return_inverse=True)
-        end = self.ends.get(ranges)
-        begin = np.where(ranges > 0, self.ends.get(np.maximum(ranges - 1, 0)), 0)
+        new = _changes(parent[some])  # they come in order
+        ranges, at = parent[some][new], np.cumsum(new) - 1
+        both = self.ends.get(np.concatenate([np.maximum(ranges - 1, 0), ranges]))
+        end, begin = both[len(ranges) :], np.where(ranges > 0, both[: len(ranges)], 0)
         base = np.where(begin > 0, self.values.get(np.maximum(begin - 1, 0)), 0)
         place[some], met[some] = self.values.successor(value[some] + base[at], begin[at], end[at])
         begins[some] = begin[at]
@@ -387,7 +405,7 @@ class _Trie:
         self.rest = keep((_logs(weights[1] * share) + OFFSET).astype(np.uint16))
         self.given = keep((_logs(times + weights[1]) + OFFSET).astype(np.uint16))
         of = context[pair]
-        order = np.lexsort((before, of))
+        order = _order(of, before)
         new = _changes(of[order], before[order])
         self.before = _Level(int(first.sum()), of[order][new], before[order][new], keep)
         place = np.empty(len(pair), np.int64)
@@ -406,7 +424,7 @@ class _Trie:
         new = _changes(middle, after)
         two = np.cumsum(new) - 1
         pair, pair_met, _ = self.after.find(context[new], after[new], known[new])
-        order = np.lexsort((before, middle))
+        order = _order(middle, before)
         fresh = _changes(middle[order], before[order])
         some = order[fresh]
         place, place_met, begin = self.before.find(context[some], before[some], known[some])
@@ -430,7 +448,7 @@ def _scored(cells: list[list[np.ndarray]], total: dict, hot: _Hot) -> list[bytes
     after, before, doc = (np.concatenate([c[i] for c in cells]) for i in (1, 2, 3))
     words, at = np.unique(np.concatenate([np.cumsum(c[4]) for c in cells]), return_index=True)
     counts = np.concatenate([c[5] for c in cells])[at]
-    order = np.lexsort((before, after, middle))
+    order = _order(middle, after, before)
     middle, after, before = middle[order], after[order], before[order]
     trained = (doc[order] & 1).astype(np.int64)
     new = _changes(middle, after, before)
@@ -454,10 +472,10 @@ def _scored(cells: list[list[np.ndarray]], total: dict, hot: _Hot) -> list[bytes
     unseen = _logs(weights[1] * weights[0] * shares / (contexts + weights[0]))[pair]
     value, given = trie.look_up(middle, after, before, unseen)
     value = value - np.where(after == END, 0, given)
-    key = cell[order] * (int(doc.max()) + 2 >> 1) + (doc[order] >> 1)
+    width = int(doc.max()) + 2 >> 1
+    key = cell[order] * width + (doc[order] >> 1)
     every, at = np.unique(key, return_inverse=True)
     sums = np.bincount(at, weights=value[gram]).astype(np.int64)
-    width = int(doc.max()) + 2 >> 1
     edges = np.searchsorted(every, np.arange(len(cells) + 1) * width)
     return [
         pack(_deltas(every[b:e] - i * width), _zigzag(sums[b:e])) for i, (b, e) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist()))
