@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Numbers that are taken apart at a time.
+SLICE = 1 << 16
 #: One question for so many bits is answered by a pass over all bits.
 MANY = 16
 _BYTES = np.arange(8, dtype=np.uint64) * np.uint64(8)
@@ -27,10 +29,15 @@ class EliasFano:
         self.size = len(values)
         most = int(values[-1]) if self.size else 0
         self.width = max(0, (most // max(1, self.size)).bit_length() - 1)
-        low = values & ((1 << self.width) - 1)
-        planes = ((low[:, None] >> np.arange(self.width)) & 1).astype(np.uint8)
-        self.lows = keep(np.append(np.packbits(planes.ravel(), bitorder="little"), np.zeros(8, np.uint8)))
-        del planes
+        lows = np.zeros(-(-self.size * self.width // 8) + 8, np.uint8)
+        for begin in range(0, self.size, SLICE):  # a slice takes whole bytes
+            low = values[begin : begin + SLICE]
+            bits = np.empty((len(low), self.width), np.uint8)
+            for k in range(self.width):
+                bits[:, k] = (low >> k) & 1
+            packed = np.packbits(bits.ravel(), bitorder="little")
+            lows[begin * self.width // 8 :][: len(packed)] = packed
+        self.lows = keep(lows)
         high = values >> self.width
         self.length = (int(high[-1]) if self.size else 0) + self.size + 1
         self.words = keep(_bits_to_words(high + np.arange(self.size), self.length))

@@ -39,7 +39,7 @@ WEIGHTS = (3_000.0, 3.0)
 #: Added to every count of single tokens.
 ADDED = 0.1
 #: Tokens and documents of a bundle (a longer text is one by itself), trigrams of a shard, words of a shard.
-BUNDLE_TOKENS, BUNDLE_DOCS, SHARD, WORD_SHARD = 1 << 20, 1 << 16, 1 << 20, 1 << 22
+BUNDLE_TOKENS, BUNDLE_DOCS, SHARD, WORD_SHARD = 1 << 20, 1 << 16, 1 << 20, 1 << 21
 #: Least tokens of a word or pair that is split; at most MOST_HOT of each are, so the bound grows beyond that.
 PART, MOST_HOT = 1 << 20, 1 << 20
 #: Steps of a logarithm, and what is added before it is kept in 16 bits.
@@ -193,7 +193,8 @@ ANSWER = "bundle long, shard long, data binary, known long, hot binary"
 
 
 def _word_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return (_mixed(hashes) % np.uint64(shards)).astype(np.int64)
+    """By ranges of hashes, so words in order of their hashes are in order of their shards."""
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
 def _counted(bundles: DataFrame, shards: int, part: int) -> DataFrame:
@@ -203,11 +204,11 @@ def _counted(bundles: DataFrame, shards: int, part: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 hashes, counts = np.cumsum(unpack(row["hashes"])[0].view(np.uint64), dtype=np.uint64), unpack(row["counts"])[0]
-                shard = _word_shard(hashes, shards)
-                some, made = np.unique(shard), []
-                for s in some.tolist():
-                    own = shard == s
-                    made.append({"shard": s, "bundle": row["bundle"], "data": pack(_deltas(hashes[own]), counts[own])})
+                shard, made = _word_shard(hashes, shards), []
+                edges = np.append(np.flatnonzero(_changes(shard)), len(shard))
+                for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                    data = pack(_deltas(hashes[begin:end]), counts[begin:end])
+                    made.append({"shard": int(shard[begin]), "bundle": row["bundle"], "data": data})
                 for at in range(0, len(made), 64):
                     yield pa.RecordBatch.from_pylist(made[at : at + 64], schema=_schema("shard long, bundle long, data binary"))
 
@@ -298,12 +299,8 @@ CELL = "shard long, bundle long, data binary"
 
 def _cells(bundle: dict, answers: list[dict], total: dict, hot: _Hot) -> list[dict]:
     """A bundle's trigrams by shard, and a row of what is known of its documents without them."""
-    hashes = np.cumsum(unpack(bundle["hashes"])[0].view(np.uint64), dtype=np.uint64)
-    shard = _word_shard(hashes, total["word_shards"])
-    number, count = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
-    for answer in answers:
-        own = shard == answer["shard"]
-        number[own], count[own] = unpack(answer["data"])
+    known = [unpack(a["data"]) for a in sorted(answers, key=lambda a: a["shard"])] or [[np.empty(0, np.int64)] * 2]
+    number, count = (np.concatenate([k[i] for k in known]) for i in (0, 1))  # in order of hashes
     tokens, lengths = unpack(bundle["body"])
     ids, none, held = unpack(bundle["rows"])
     texts = len(lengths)
@@ -317,8 +314,8 @@ def _cells(bundle: dict, answers: list[dict], total: dict, hot: _Hot) -> list[di
     before = np.roll(middle, 1)
     before[first] = START
 
-    logs = np.log10((times + ADDED) / (total["trained"] + ADDED * (total["known"] + 1)))
-    base = np.bincount(doc, weights=logs, minlength=texts)
+    share = (times + ADDED) / (total["trained"] + ADDED * (total["known"] + 1))
+    base = np.bincount(doc, weights=np.log10(share), minlength=texts)
     known = np.bincount(doc, weights=times > 0, minlength=texts).astype(np.int64)
     begun = np.full(texts, -_logs(np.array([total["texts"] + total["weights"][1]]))[0], np.int64)
     data = pack(ids, none, held, lengths + 1, known, _zigzag(begun), base.view(np.int64))
@@ -335,9 +332,9 @@ def _cells(bundle: dict, answers: list[dict], total: dict, hot: _Hot) -> list[di
     edges = np.append(np.flatnonzero(_changes(to)), len(to))
     for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
         own = slice(begin, end)
-        words, at = np.unique(np.concatenate([middle[own], after[own]]), return_index=True)
+        words, at, place = np.unique(np.concatenate([middle[own], after[own]]), return_index=True, return_inverse=True)
         counts = np.concatenate([context[own], times[own]])[at]
-        data = pack(_deltas(middle[own]), after[own], before[own], doc[own], _deltas(words), counts)
+        data = pack(_deltas(place[: end - begin]), place[end - begin :], before[own], doc[own], _deltas(words), counts)
         out.append({"shard": int(to[begin]), "bundle": bundle["bundle"], "data": data})
     return out
 
@@ -442,18 +439,21 @@ class _Trie:
 
 def _scored(cells: list[list[np.ndarray]], total: dict, hot: _Hot) -> list[bytes]:
     """The sums of each cell's documents: numerators of their trigrams, less what the next token is divided by."""
-    sizes = [len(c[0]) for c in cells]
-    cell = np.repeat(np.arange(len(cells)), sizes)
-    middle = np.concatenate([np.cumsum(c[0]) for c in cells])
-    after, before, doc = (np.concatenate([c[i] for c in cells]) for i in (1, 2, 3))
-    words, at = np.unique(np.concatenate([np.cumsum(c[4]) for c in cells]), return_index=True)
-    counts = np.concatenate([c[5] for c in cells])[at]
+    cell = np.repeat(np.arange(len(cells)), [len(c[0]) for c in cells])
+    own = [np.cumsum(c[4]) for c in cells]
+    middle = np.concatenate([w[np.cumsum(c[0])] for w, c in zip(own, cells)])
+    after = np.concatenate([w[c[1]] for w, c in zip(own, cells)])
+    before, doc = (np.concatenate([c[i] for c in cells]) for i in (2, 3))
+    words, at = np.unique(np.concatenate(own), return_index=True)
+    counts, many = np.concatenate([c[5] for c in cells])[at], len(cells)
+    cells.clear()
+    del own, at
     order = _order(middle, after, before)
-    middle, after, before = middle[order], after[order], before[order]
-    trained = (doc[order] & 1).astype(np.int64)
+    middle, after, before, cell, doc = middle[order], after[order], before[order], cell[order], doc[order]
+    del order
     new = _changes(middle, after, before)
     gram = np.cumsum(new) - 1
-    times = np.bincount(gram, weights=trained).astype(np.int64)
+    times = np.bincount(gram, weights=doc & 1).astype(np.int64)
     middle, after, before = middle[new], after[new], before[new]
     first = _changes(middle, after)
     pair = np.cumsum(first) - 1
@@ -473,10 +473,10 @@ def _scored(cells: list[list[np.ndarray]], total: dict, hot: _Hot) -> list[bytes
     value, given = trie.look_up(middle, after, before, unseen)
     value = value - np.where(after == END, 0, given)
     width = int(doc.max()) + 2 >> 1
-    key = cell[order] * width + (doc[order] >> 1)
+    key = cell * width + (doc >> 1)
     every, at = np.unique(key, return_inverse=True)
     sums = np.bincount(at, weights=value[gram]).astype(np.int64)
-    edges = np.searchsorted(every, np.arange(len(cells) + 1) * width)
+    edges = np.searchsorted(every, np.arange(many + 1) * width)
     return [
         pack(_deltas(every[b:e] - i * width), _zigzag(sums[b:e])) for i, (b, e) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist()))
     ]
@@ -538,7 +538,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         ]
         return pa.Table.from_arrays(columns, names=[f.split()[0] for f in SCORE.split(", ")])
 
-    asked = bundles.select("bundle", "hashes", "body", "rows").groupBy("bundle").cogroup(
+    asked = bundles.select("bundle", "body", "rows").groupBy("bundle").cogroup(
         answers.select("bundle", "shard", "data").groupBy("bundle")
     )
     cells = asked.applyInArrow(ask, CELL)
