@@ -6,8 +6,11 @@ from test_heat import SITES
 
 from vacantia import schemas
 from vacantia.operators import heat
+from pyspark.sql import functions as F
+
+from vacantia.operators.dedupe import only_new
 from vacantia.streaming import ingest as I
-from vacantia.streaming import weekly
+from vacantia.streaming import ledger, weekly
 
 
 def items(*keys, bad=()):
@@ -177,15 +180,13 @@ def test_replay_leaves_no_stale_outcome(spark, place):
     assert (place.stored(), place.rejected()) == ([("a", 0)], [])
 
 
-@pytest.mark.parametrize("most, parsed", [(10, ["b"]), (0, ["a", "b", "c"])])
-def test_only_pages_of_open_ids_are_parsed(spark, monkeypatch, most, parsed):
-    monkeypatch.setattr(I, "OPEN_IDS", most)
+def test_only_pages_of_open_ids_are_parsed(spark):
     landed = spark.createDataFrame([items("a", "b"), *details("a", "b", "c")], schemas.RAW)
     seen = spark.createDataFrame([("dice", "a")], schemas.SEEN)
     plan = I.PLANS["dice"]
     claimed = I.common.claim(plan.listed(landed), seen)
     pages = I.pages_in_question(landed, claimed)
-    assert sorted(r.claim for r in plan.details(pages).collect()) == parsed
+    assert sorted(r.claim for r in plan.details(pages).collect()) == ["b"]
 
 
 def test_compacted_ids_are_the_same_set(spark, place):
@@ -287,3 +288,155 @@ def test_weekly_stream_keeps_no_state_and_compacts(spark, tmp_path):
     weekly.count_days(spark, landed, store, checkpoint).awaitTermination()
     total = weekly.read_day_counts(spark, store).agg({"quantity": "sum"}).first()[0]
     assert total == len(SITES) + 1
+
+
+def test_a_batch_replayed_after_compaction_gives_the_same_rows(spark, place, monkeypatch):
+    place.land(items("a", "b"), *details("a", "b"))
+    place.run()
+    place.land(items("b", "c", "d"), *details("c", "d"))
+    write = I._replace
+
+    def fail(df, path, *partitions):
+        write(df, path, *partitions)
+        if path.startswith(I.seen_path(place.store)):
+            raise RuntimeError("lost")  # ids are written, the batch is not committed
+
+    monkeypatch.setattr(I, "_replace", fail)
+    with pytest.raises(Exception, match="lost"):
+        place.run()
+    monkeypatch.setattr(I, "_replace", write)
+    assert I.compact_seen(spark, place.store)
+    assert place.seen() == [("a", -1), ("b", -1), ("c", 1), ("d", 1)]
+    place.run()
+    assert place.stored() == [("a", 0), ("b", 0), ("c", 1), ("d", 1)]
+    assert place.tally() == {"accepted": 4, "skipped_seen": 1}
+    assert I.compact_seen(spark, place.store) and not I.compact_seen(spark, place.store)
+    place.land(items("a", "d", "e"), *details("e"))
+    place.run()
+    assert place.stored() == [("a", 0), ("b", 0), ("c", 1), ("d", 1), ("e", 2)]
+
+
+def test_a_batch_without_a_checkpoint_is_never_put_together(spark, place):
+    rows = spark.createDataFrame([items("a", "b"), *details("a", "b")], schemas.RAW)
+    I.ingest_batch(rows, 0, place.store, "dice")
+    assert not I.compact_seen(spark, place.store)
+    I.ingest_batch(rows, 0, place.store, "dice")
+    assert place.stored() == place.seen() == [("a", 0), ("b", 0)]
+
+
+def test_readers_during_a_compaction_see_the_generation_before(spark, place, monkeypatch):
+    for name in ("a", "b"):
+        I.add_seen(spark.createDataFrame([("dice", name)], schemas.SEEN), place.store)
+    I.compact_seen(spark, place.store)
+    I.add_seen(spark.createDataFrame([("dice", "c")], schemas.SEEN), place.store)
+    reader, publish, found = I.read_stored_seen(spark, place.store), ledger._publish, []
+
+    def look(*given):
+        found.append(sorted(r.job_id for r in I.read_stored_seen(spark, place.store).collect()))
+        publish(*given)
+
+    monkeypatch.setattr(ledger, "_publish", look)
+    I.compact_seen(spark, place.store)
+    assert found == [["a", "b", "c"]]
+    assert sorted(r.job_id for r in reader.collect()) == ["a", "b", "c"]
+    monkeypatch.setattr(ledger, "_publish", lambda *given: (_ for _ in ()).throw(RuntimeError("lost")))
+    I.add_seen(spark.createDataFrame([("dice", "d")], schemas.SEEN), place.store)
+    with pytest.raises(RuntimeError):
+        I.compact_seen(spark, place.store)
+    assert [k for k, _ in place.seen()] == ["a", "b", "c", "d"]
+    monkeypatch.setattr(ledger, "_publish", publish)
+    I.compact_seen(spark, place.store)
+    assert place.seen() == [("a", -1), ("b", -1), ("c", -1), ("d", -1)]
+
+
+def test_stored_ids_stay_in_their_buckets(spark, place):
+    I.add_seen(spark.range(5_000).selectExpr("'dice' AS source", "string(id) AS job_id"), place.store)
+    I.compact_seen(spark, place.store)
+    landed = spark.createDataFrame([items("7", "x")], schemas.RAW)
+    old, fresh = I.seen_parts(spark, place.store, "dice")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        known = I.common.mark_known(I.common.claim(I.PLANS["dice"].listed(landed)), old)
+        plan = known._jdf.queryExecution().executedPlan().toString()
+        ids = only_new(landed.select("source", F.col("url").alias("job_id")), old, one_per_key=True, distinct=True)
+        plans = [plan, ids._jdf.queryExecution().executedPlan().toString()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in plans:
+        stored = plan[plan.index("Join") :].split("\n")
+        at = next(i for i, line in enumerate(stored) if "vacantia_g" in line)
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        above, level = [], depth(stored[at])
+        for line in reversed(stored[:at]):
+            if depth(line) < level:
+                above.append(line)
+                level = depth(line)
+        assert any("Bucketed: true" in line for line in stored)
+        assert not any("Exchange" in line for line in above[: next(i for i, line in enumerate(above) if "Join" in line) + 1])
+    assert {r.claim: r.skip for r in known.collect()} == {"7": "skipped_seen", "x": None}
+
+
+def test_a_batch_reads_what_is_open_however_many_there_were(spark, place):
+    place.land(items("open"), *details("unlisted"))
+    place.run()
+    counts = []
+    for n in range(6):
+        place.land(items(f"k{n}", f"w{n}"), *details(f"k{n}", *([f"w{n - 1}"] if n else [])))
+        place.run()
+        run = I.run_of(place.checkpoint)
+        claims = I.waiting_claims(spark, place.store, "dice", run, 100)
+        pages = I.waiting_pages(spark, place.store, "dice", run, 100)
+        counts.append((sorted(r.claim for r in claims.collect()), [r.list_id for r in pages.collect()]))
+        assert len(I._batches(spark, I.waiting_path(place.store, "list"), "dice", run)) <= 3
+    assert counts == [(["open", f"w{n}"], ["unlisted"]) for n in range(6)]
+    assert place.tally() == {"accepted": 11, "no_detail": 2}
+    place.land(items("unlisted"), *details("open"))
+    place.run()
+    assert ("open", 7) in place.stored() and ("unlisted", 7) in place.stored()
+
+
+def test_lists_are_parsed_once_in_a_batch(spark, place, monkeypatch):
+    plan, log = I.PLANS["dice"], f"{place.store}-parsed"
+
+    def listed(raw):
+        def count(batches):
+            for batch in batches:
+                with open(log, "a") as out:
+                    out.write("x" * batch.num_rows)
+                yield batch
+
+        return plan.listed(raw.filter("kind = 'list'").mapInArrow(count, raw.schema))
+
+    monkeypatch.setitem(I.PLANS, "dice", plan._replace(listed=listed))
+    place.land(items("a", "b"), *details("a"))
+    place.run()
+    assert open(log).read() == "x" and place.tally() == {"accepted": 1, "no_detail": 1}
+
+
+def test_tallies_of_many_runs_add_up_in_a_plan_of_one_size(spark, place, tmp_path):
+    sizes = []
+    for n in range(3):
+        place.landed = str(tmp_path / f"landed{n}")
+        place.land(items(f"a{n}", "shared", f"w{n}"), *details(f"a{n}", "shared"))
+        place.run(checkpoint=str(tmp_path / f"checkpoint{n}"))
+        plan = I.stored_outcomes(spark, place.store)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len(plan.split("\n")))
+    assert place.tally() == {"accepted": 4, "skipped_seen": 2, "no_detail": 3}
+    assert len(set(sizes)) == 1
+
+
+def test_days_replayed_after_compaction_count_once(spark, tmp_path, monkeypatch):
+    landed, store, checkpoint = (str(tmp_path / d) for d in ("landed", "store", "checkpoint"))
+    for part in (SITES[:4], SITES[4:]):
+        spark.createDataFrame(part, schemas.AGGREGATOR_SITE).write.mode("append").parquet(landed)
+        weekly.count_days(spark, landed, store, checkpoint).awaitTermination()
+    (tmp_path / "checkpoint" / "commits" / "1").unlink()  # as if lost after the write, before the commit
+    (tmp_path / "checkpoint" / "commits" / ".1.crc").unlink(missing_ok=True)
+    days = lambda: sorted(map(repr, weekly.read_day_counts(spark, store).collect()))
+    before = days()
+    assert weekly.compact_days(spark, store)
+    assert days() == before
+    weekly.count_days(spark, landed, store, checkpoint).awaitTermination()
+    assert days() == before
+    assert weekly.compact_days(spark, store)
+    assert days() == before

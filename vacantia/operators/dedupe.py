@@ -36,15 +36,17 @@ def only_new(
     seen: DataFrame,
     key: Sequence[str] = ("source", "job_id"),
     one_per_key: bool = False,
+    distinct: bool = False,
 ) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``seen``; a NULL key is never in it.
 
-    Stored ids are made distinct map-side first, so repeated ids do not travel. Rows that are known
+    Stored ids are made distinct map-side first, so repeated ids do not travel; with ``distinct`` they already
+    are, and stay in their buckets if they lie in any by these keys. Rows that are known
     to hold every key once, as :func:`first_seen` leaves them, stay where they are. Others may have
     a hot key: joining on a second hash of the key gives both sides an exchange of their own, right
     below the join, which is where AQE can split a partition that one key blows up.
     """
-    ids = seen.select(*key).distinct()
+    ids = seen.select(*key) if distinct else seen.select(*key).distinct()
     if one_per_key:
         return df.join(ids, list(key), "left_anti")
     spread = F.xxhash64(*key)

@@ -51,7 +51,7 @@ class Plan(NamedTuple):
         return self.finish(claimed, **options)
 
 
-def claim(records: DataFrame, seen: DataFrame | None) -> DataFrame:
+def claim(records: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """First row per source and ``list_id``, with ``copies`` and, where it is no more than counted, ``skip``.
 
     A row with a ``problem`` claims nothing: it gets a key made of where it came from and of the record
@@ -77,24 +77,37 @@ def claim(records: DataFrame, seen: DataFrame | None) -> DataFrame:
     first = first.withColumn("problem", F.when(~counted, F.col("problem")))
     first = first.withColumn("list_id", F.when(~counted, F.col("list_id")))
     first = first.withColumn("claimed", F.col("problem").isNull() & ~counted)
-    if seen is None:
-        return first
-    known = seen.select("source", F.col("job_id").alias("claim")).distinct().withColumn("known", F.lit(True))
-    met = first.join(known, CLAIM, "left")
-    return met.withColumn(
-        "skip", F.when(F.col("known") & F.col("claimed"), F.lit("skipped_seen")).otherwise(F.col("skip"))
-    ).drop("known")
+    return first if seen is None else mark_known(first, seen.select("source", "job_id").distinct())
+
+
+def mark_known(claimed: DataFrame, *seen: DataFrame) -> DataFrame:
+    """Claims with those skipped whose id earlier runs stored; ``seen`` has ``source`` and ``job_id``, once each.
+
+    The claims hold every id once and the stored ids may be many, so each part is joined by itself: one that lies in
+    buckets by source and id stays where it is.
+    """
+    for ids in seen:
+        known = ids.select("source", F.col("job_id").alias("claim"), F.lit(True).alias("known"))
+        met = claimed.join(known, CLAIM, "left")
+        skip = F.when(F.col("known") & F.col("claimed") & F.col("skip").isNull(), F.lit("skipped_seen"))
+        claimed = met.withColumn("skip", F.coalesce(skip, "skip")).drop("known")
+    return claimed
 
 
 def merged_claims(claimed: DataFrame, waiting: DataFrame) -> DataFrame:
-    """Claims together with those that wait for their detail from earlier runs; the earlier one stays."""
+    """Claims together with those that wait for their detail from earlier batches; the earlier one stays.
+
+    Of its ``copies``, ``waited`` came with the earlier batches.
+    """
+    sums = ("copies", "waited")
+    claimed, waiting = claimed.withColumn("waited", F.lit(0).cast("bigint")), waiting.withColumn("waited", F.col("copies"))
     both = claimed.unionByName(waiting, allowMissingColumns=True)
-    carried = [c for c in both.columns if c not in (*CLAIM, "copies")]
+    carried = [c for c in both.columns if c not in (*CLAIM, *sums)]
     first = both.groupBy(*CLAIM).agg(
-        F.min_by(F.struct(*carried), F.struct(*ARRIVAL)).alias("_first"), F.sum("copies").alias("copies")
+        F.min_by(F.struct(*carried), F.struct(*ARRIVAL)).alias("_first"), *(F.sum(c).alias(c) for c in sums)
     )
     return first.select(
-        *(F.col(c) if c in (*CLAIM, "copies") else F.col("_first")[c].alias(c) for c in both.columns)
+        *(F.col(c) if c in (*CLAIM, *sums) else F.col("_first")[c].alias(c) for c in both.columns)
     )
 
 

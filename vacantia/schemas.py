@@ -4,6 +4,14 @@ from pyspark.sql import types as T
 
 from vacantia import fixed
 
+_KINDS = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType()}
+
+
+def plain(columns: str) -> T.StructType:
+    """A schema from names and types, which needs no session."""
+    return T.StructType([T.StructField(n, _KINDS[k]) for n, k in (c.split() for c in columns.split(", "))])
+
+
 LISTINGS = T.ArrayType(
     T.StructType(
         [

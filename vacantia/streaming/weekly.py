@@ -7,36 +7,26 @@ up: the stream keeps no state, and a replayed batch replaces what it wrote.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vacantia import schemas
 from vacantia.functions.dates import week_age
-from vacantia.sources.stored import read_table
-from vacantia.streaming.ingest import run_of
+from vacantia.streaming import ledger
 
 DAY = ["date_posted", "latitude", "longitude"]
-COUNTS = T.StructType(
-    [
-        *schemas.AGGREGATOR_SITE.fields,
-        T.StructField("quantity", T.LongType()),
-        T.StructField("run", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
+TOTALS = T.StructType([*schemas.AGGREGATOR_SITE.fields, T.StructField("quantity", T.LongType())])
 
 
 def count_days(spark: SparkSession, landed: str, store: str, checkpoint: str):
     """Start the stream: each batch writes the counts of its rows by day and place."""
-    run = run_of(checkpoint)
+    run = ledger.register(spark, store, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = batch.groupBy(*DAY).agg(F.count("*").alias("quantity"))
         writer = counts.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.parquet(f"{store}/run={run}/batch_id={batch_id}")
+        writer.parquet(f"{ledger.batches_path(store)}/run={run}/batch_id={batch_id}")
 
     return (
         spark.readStream.schema(schemas.AGGREGATOR_SITE)
@@ -48,27 +38,34 @@ def count_days(spark: SparkSession, landed: str, store: str, checkpoint: str):
     )
 
 
+def _added(counts: DataFrame) -> DataFrame:
+    return counts.groupBy(*DAY).agg(F.sum("quantity").alias("quantity"))
+
+
+def _counts(spark: SparkSession, store: str) -> DataFrame:
+    known = ledger.manifest(spark, store)
+    there = T.StructType([*TOTALS.fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+    rows = ledger.open_batches(spark, store, there, known).select(*TOTALS.names)
+    old = ledger.generation(spark, store, TOTALS, known=known)
+    return rows if old is None else rows.unionByName(old)
+
+
 def read_day_counts(spark: SparkSession, store: str) -> DataFrame:
     """The total of every day and place."""
-    return read_table(spark, store, COUNTS).groupBy(*DAY).agg(F.sum("quantity").alias("quantity"))
+    return _added(_counts(spark, store))
 
 
-def compact_days(spark: SparkSession, store: str) -> None:
-    """Put all counts into one batch; not while a stream is going, nor before it has ended its last batch."""
-    staged = f"{store}-compact-{uuid.uuid4().hex}"
-    read_day_counts(spark, store).write.parquet(staged)
-    days = spark.read.parquet(staged).withColumns({"run": F.lit("compacted"), "batch_id": F.lit(-1)})
-    days.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "run", "batch_id"
-    ).parquet(store)
+def compact_days(spark: SparkSession, store: str) -> bool:
+    """Put the counts of all committed batches together; the stream may go on meanwhile."""
+    return ledger.compact(spark, store, TOTALS, _added)
 
 
 def read_week_counts(spark: SparkSession, store: str) -> DataFrame:
     """Postings per week and place, as :func:`vacantia.operators.heat.week_counts` gives them."""
-    days = read_day_counts(spark, store)
-    newest = read_table(spark, store, COUNTS).agg(F.max("date_posted")).scalar()
+    counts = _counts(spark, store)
+    newest = counts.agg(F.max("date_posted")).scalar()
     return (
-        days.withColumn("week", week_age(newest, F.col("date_posted")))
+        _added(counts).withColumn("week", week_age(newest, F.col("date_posted")))
         .groupBy("week", "latitude", "longitude")
         .agg(F.sum("quantity").alias("quantity"))
     )
