@@ -2,12 +2,14 @@ import csv
 import datetime
 import glob
 import json
+import pathlib
 
+import pytest
 from pyspark.sql import functions as F
 
-from vacantia import fixed, schemas
+from vacantia import fixed, schemas, session
 from vacantia.operators import heat
-from vacantia.sources import sinks, stored
+from vacantia.sources import files, sinks, stored
 
 LISTINGS = [("Needs", ["a \"b\"", "c, d", "é\ne"]), ("None", [])]
 
@@ -115,3 +117,49 @@ def test_filled_keeps_order_and_fills(spark):
     assert made.columns == ["b-c", "missing", "a"]
     assert tuple(made.first()) == ("", "", "1")
     assert made.select(F.col("`b-c`")).first()[0] == ""
+
+
+def test_a_write_that_fails_leaves_the_earlier_file(spark, tmp_path):
+    path = str(tmp_path / "direct")
+    sinks.export_postings(postings(spark, posting("1")), path, "overwrite")
+    broken = postings(spark, posting("2"), posting("3")).withColumn("title", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.export_postings(broken, path, "overwrite")
+    assert [r.job_id for r in stored.read_postings(spark, path).collect()] == ["1"]
+    sinks.export_postings(postings(spark, posting("4")), path, "overwrite")
+    assert [r.job_id for r in stored.read_postings(spark, path).collect()] == ["4"]
+    assert not (tmp_path / "direct-before").exists()
+
+
+def test_a_swap_that_was_lost_half_way_is_taken_back(spark, tmp_path):
+    path = str(tmp_path / "direct")
+    sinks.export_postings(postings(spark, posting("1")), path, "overwrite")
+    (tmp_path / "direct").rename(tmp_path / "direct-before")
+    files.restore(spark, path)
+    assert [r.job_id for r in stored.read_postings(spark, path).collect()] == ["1"]
+
+
+def test_exports_are_cut_into_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FILE_ROWS", 2)
+    path = str(tmp_path / "direct")
+    sinks.export_postings(postings(spark, *(posting(str(i)) for i in range(5))).coalesce(1), path)
+    assert len(glob.glob(f"{path}/*.csv")) == 3
+    assert sorted(r.job_id for r in stored.read_postings(spark, path).collect()) == list("01234")
+
+
+def test_work_folders_are_shared_and_removed(spark, tmp_path):
+    first = session.work_dir(spark, "one")
+    spark.range(3).write.parquet(first)
+    assert spark.read.parquet(first).count() == 3 and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+    session.clean(spark)
+    assert files.folders(spark, first) == [] and not pathlib.Path(first).exists()
+
+    class Elsewhere:
+        class conf:
+            get = staticmethod(lambda key, *default: default[0] if default else "file:/home/warehouse")
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="share"):
+        session.work_dir(Elsewhere, "two")

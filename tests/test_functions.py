@@ -135,6 +135,26 @@ def test_resolve(spark, ref, want):
     assert value(spark, U.resolve, "https://h.example/a/b?q=c/d", ref) == want
 
 
+@pytest.mark.parametrize(
+    "ref,want",
+    [
+        ("../c", "https://h.example/a/c"),
+        ("./d", "https://h.example/a/b/d"),
+        ("/a/../b", "https://h.example/b"),
+        ("..", "https://h.example/a/"),
+        (".", "https://h.example/a/b/"),
+        ("../../../../x", "https://h.example/x"),
+        ("../x/./y/../z?p=/../q#/./r", "https://h.example/a/x/z?p=/../q#/./r"),
+        ("%2e%2E/x", "https://h.example/a/x"),
+        ("..x/y.", "https://h.example/a/b/..x/y."),
+        ("/x//../y", "https://h.example/x/y"),
+        ("https://o.example/a/../b", "https://o.example/a/../b"),
+    ],
+)
+def test_resolve_follows_dot_segments(spark, ref, want):
+    assert value(spark, U.resolve, "https://h.example/a/b/c?q=1", ref) == want
+
+
 def test_resolve_against_bare_host(spark):
     assert value(spark, U.resolve, "https://h.example", "x") == "https://h.example/x"
 

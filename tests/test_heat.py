@@ -115,3 +115,24 @@ def test_one_shuffle_for_the_index(sites):
     plan = heat.site_index(heat.aged_sites(sites))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_long_tables_have_names_and_ranges_of_any_length(spark):
+    names = heat.week_columns(60)
+    assert names[25:29] == ["Z", "AA", "AB", "AC"] and names[52] == "BA" and len(set(names)) == 61
+    rng = random.Random(3)
+    rows = [(ago(rng.randrange(2_100)), float(rng.randrange(3)), None if rng.random() < 0.2 else 1.0) for _ in range(300)]
+    rows += [(None, 9.0, 9.0), (ago(0), 1.0, 1.0)]
+    sites = spark.createDataFrame(rows, schemas.AGGREGATOR_SITE)
+    prefix = heat.site_prefix(heat.aged_sites(sites)).cache()
+    assert by_place(prefix.filter("latitude = 9"), "week", "total") == {(9.0, 9.0): (-1, 0)}
+    wide = heat.site_index(heat.aged_sites(sites), 60).cache()
+    for lo, hi in ((0, 0), (0, 1), (5, 60), (7, 8), (59, 60), (0, 60)):
+        assert by_place(heat.heat_range(prefix, lo, hi), "quantity") == by_place(heat.heat_range(wide, lo, hi), "quantity")
+    newest = max(r[0] for r in rows if r[0])
+    found = by_place(heat.heat_range(prefix, 100, 300), "quantity")
+    for place, (n,) in found.items():
+        assert n == sum(d is not None and 100 <= (newest - d).days // 7 < 300 for d, *p in rows if tuple(p) == place)
+    assert by_place(heat.heat_range(heat.site_prefix(heat.week_counts(sites)), 3, 40), "quantity") == by_place(heat.heat_range(prefix, 3, 40), "quantity")
+    with pytest.raises(ValueError):
+        heat.heat_range(prefix, 3, 2)

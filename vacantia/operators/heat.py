@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacantia import fixed
@@ -86,12 +86,43 @@ def site_index(weeks: DataFrame, n: int = 5, form: str = "wide") -> DataFrame:
 
 
 def week_columns(n: int = 5) -> list[str]:
-    first = ord(fixed.WEEK_COLUMNS[0])
-    return [chr(first + i) for i in range(n + 1)]
+    """``A`` to ``Z``, then ``AA``, ``AB`` and so on, as sheets name their columns."""
+    first, names = ord(fixed.WEEK_COLUMNS[0]), []
+    for i in range(n + 1):
+        name, i = "", i + 1
+        while i:
+            i, digit = divmod(i - 1, 26)
+            name = chr(first + digit) + name
+        names.append(name)
+    return names
+
+
+def site_prefix(weeks: DataFrame) -> DataFrame:
+    """Cumulative postings per place in long form, however many weeks there are: ``week, total``.
+
+    There is a row for a week with postings only; a place without any in week 0 or later has one row of
+    week -1 with total 0. ``weeks`` may be counted already or hold one row per posting.
+    """
+    known = F.col("week") >= 0
+    counted = weeks.groupBy(*PLACE, F.when(known, F.col("week")).otherwise(-1).cast("int").alias("week")).agg(
+        F.sum(F.when(known, F.col("quantity")).otherwise(0)).alias("quantity")
+    )
+    upto = Window.partitionBy(*PLACE).orderBy("week").rowsBetween(Window.unboundedPreceding, 0)
+    return counted.select(*PLACE, "week", F.sum("quantity").over(upto).cast("bigint").alias("total"))
 
 
 def heat_range(index: DataFrame, lo: int, hi: int) -> DataFrame:
-    """Postings of weeks ``lo`` to ``hi - 1`` per place, by one subtraction."""
+    """Postings of weeks ``lo`` to ``hi - 1`` per place, by one subtraction.
+
+    In long form (:func:`site_prefix`, or :func:`site_index` in long form) both totals are those of the last week before
+    the bound that has a row, found in one aggregate.
+    """
+    if "week" in index.columns:
+        if not 0 <= lo <= hi:
+            raise ValueError("need 0 <= lo <= hi")
+        before = lambda bound: F.coalesce(F.max(F.when(F.col("week") < bound, F.col("total"))), F.lit(0))
+        found = index.groupBy(*PLACE).agg((before(hi) - before(lo)).cast("bigint").alias("quantity"))
+        return found.select("longitude", "latitude", "quantity")
     columns = [c for c in index.columns if c not in PLACE]
     if not 0 <= lo <= hi < len(columns):
         raise ValueError(f"need 0 <= lo <= hi <= {len(columns) - 1}")

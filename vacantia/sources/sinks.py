@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vacantia import fixed, schemas
+from vacantia.sources import files
+
+#: Rows of one file at most: files with line breaks in texts are read by one task each.
+FILE_ROWS = 250_000
 
 
 def _as_text(df: DataFrame, name: str) -> Column:
@@ -41,12 +46,16 @@ def export_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "ov
     """Write CSV with a header, quoting only where needed, quotes doubled.
 
     Rows end with a plain line feed: the writer would turn every line feed inside a text into
-    whatever longer row end it is given.
+    whatever longer row end it is given. To overwrite, all is written beside and then put in the place of what
+    was there, which a write that fails leaves as it is.
     """
+    spark, whole = df.sparkSession, mode == "overwrite"
+    at = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}" if whole else path
     (
         filled(df, columns)
-        .write.mode(mode)
+        .write.mode("errorifexists" if whole else mode)
         .option("header", True)
+        .option("maxRecordsPerFile", FILE_ROWS)
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
@@ -54,8 +63,10 @@ def export_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "ov
         .option("lineSep", "\n")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
+        .csv(at)
     )
+    if whole:
+        files.replace(spark, at, path)
 
 
 def export_postings(postings: DataFrame, path: str, mode: str = "append") -> None:

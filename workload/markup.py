@@ -88,6 +88,42 @@ def url_rewrite(spark, sf):
     )
 
 
+RELATIVE = ["../c/{}", "./d?q=../{}", "/a/../b/./{}", "x/..", "../../../../up/%2E%2e/{}#../z", "{}/."]
+
+
+def _dots_sql(path: str) -> str:
+    """A path without dot segments, by a stack of segments."""
+    parts = f"string_split({path}[2:], '/')"
+    plain = "replace(replace(x[1], '%2E', '.'), '%2e', '.')"
+    kept = f"""list_reduce(list_prepend([]::varchar[], list_transform({parts}, lambda s: [s])),
+        lambda kept, x: case when {plain} = '..' then kept[:-2] when {plain} = '.' then kept else kept || x end)"""
+    last = f"replace(replace({parts}[-1], '%2E', '.'), '%2e', '.') in ('.', '..')"
+    return f"'/' || array_to_string({kept} || (case when {last} then [''] else []::varchar[] end), '/')"
+
+
+@query(f"""
+    with links as (
+        select page_id, regexp_extract(url, '^(https?://[^/?#]*)', 1) as origin,
+               coalesce(nullif(regexp_extract(url, '^https?://[^/?#]*(/(?:[^?#]*/)?)', 1), ''), '/') as folder,
+               unnest([{", ".join("'" + r.replace("{}", "' || page_id || '") + "'" for r in RELATIVE)}]) as ref
+        from pages),
+    parts as (select *, regexp_extract(ref, '^([^?#]*)', 1) as path from links)
+    select page_id, ref, origin || {_dots_sql("(case when path[1:1] = '/' then path else folder || path end)")}
+           || ref[length(path) + 1:] as resolved
+    from parts
+""")
+def relative_links(spark, sf):
+    """References with dot segments against the address of every page."""
+    number = F.col("page_id").cast("string")
+    made = []
+    for ref in RELATIVE:
+        before, _, after = ref.partition("{}")
+        made.append(F.concat(F.lit(before), number, F.lit(after)) if "{}" in ref else F.lit(ref))
+    pages = table(spark, sf, "pages", "page_id", "url").withColumn("ref", F.explode(F.array(*made)))
+    return pages.select("page_id", "ref", U.resolve(F.col("url"), F.col("ref")).alias("resolved"))
+
+
+
 @query(f"""
     with listed as (
         select page_id, 0 as section_no, 'Items' as type, {ITEMS} as elements from pages

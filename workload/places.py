@@ -110,3 +110,43 @@ def weekly_cumulative_long(spark, sf):
 """)
 def heat_week_range(spark, sf):
     return heat.heat_range(heat.site_index(heat.aged_sites(dated_sites(spark, sf))), 1, 4)
+
+
+ORDER_WEEKS = """
+    select cast(date_diff('day', cast(o_orderdate as date), (select max(cast(o_orderdate as date)) from orders)) // 7
+                as bigint) as wk,
+           cast(c_nationkey as double) as latitude, cast(o_custkey % 5 as double) as longitude
+    from orders join customer on o_custkey = c_custkey
+"""
+
+
+def order_sites(spark, sf):
+    """Orders as geolocated aggregator postings of several years."""
+    customers = table(spark, sf, "customer", "c_custkey", "c_nationkey")
+    orders = table(spark, sf, "orders", "o_custkey", "o_orderdate")
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderdate").cast("date").alias("date_posted"),
+        F.col("c_nationkey").cast("double").alias("latitude"),
+        (F.col("o_custkey") % 5).cast("double").alias("longitude"),
+    )
+
+
+@query(f"""
+    select longitude, latitude, count(*) filter (where wk between 20 and 79) as quantity
+    from ({ORDER_WEEKS}) group by longitude, latitude
+""")
+def long_heat_range(spark, sf):
+    """Sixty weeks out of several hundred, from the sparse long form."""
+    return heat.heat_range(heat.site_prefix(heat.aged_sites(order_sites(spark, sf))), 20, 80)
+
+
+@query(f"""
+    with weeks as (select latitude, longitude, wk, count(*) as n from ({ORDER_WEEKS}) where wk >= 0 group by all)
+    select latitude, longitude, wk as week,
+           cast(sum(n) over (partition by latitude, longitude order by wk) as bigint) as total
+    from weeks
+""")
+def long_cumulative(spark, sf):
+    """Cumulative postings of every week that has any, over several hundred weeks."""
+    prefix = heat.site_prefix(heat.aged_sites(order_sites(spark, sf)))
+    return prefix.withColumn("week", F.col("week").cast("bigint"))
