@@ -142,7 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     log = lambda c: np.log((c + 1) / (c.sum() + BUCKETS))
     model = Model(log(target) - log(raw))
     labelled = _weighed(own.join(others, own["id"] == others["label_of"]), model, "text")
-    rows = labelled.where("__even IS NOT NULL").select("__even", "good").limit(2 * SAMPLE).collect()
+    one = labelled.where("__even IS NOT NULL").groupBy("label_of").agg(F.min("__even").alias("__even"), F.max("good").alias("good"))
+    rows = one.select("__even", "good").collect()  # one of the rows that repeat an id, so at most SAMPLE
     of = lambda good: np.sort([r["__even"] for r in rows if (r["good"] == 1) == good])
     model.cut = _cut(of(True), of(False))
     return model
