@@ -137,9 +137,10 @@ def test_near_copies_from_80_percent_on_go(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted(d for d, root in want.items() if d == root)
 
 
-@pytest.mark.parametrize("most", [1 << 24, 0])
-def test_one_row_of_each_component_stays_whatever_ids_repeat(spark, monkeypatch, most):
-    monkeypatch.setattr(minhash, "FILTER_MEMBERS", most)  # with 0, members are joined
+@pytest.mark.parametrize("sent, most", [(1 << 18, 1 << 24), (0, 1 << 24), (0, 0)])
+def test_one_row_of_each_component_stays_whatever_ids_repeat(spark, monkeypatch, sent, most):
+    monkeypatch.setattr(minhash, "SENT_ROWS", sent)  # with 0, a filter says which texts are shuffled
+    monkeypatch.setattr(minhash, "FILTER_MEMBERS", most)  # with 0, all are
     base, other = " ".join(f"w{i}" for i in range(100)), "a clean text that nothing else resembles"
     rows = [(5, base, "en", "a", 1), (5, other, "en", "a", 1), (3, base + " end", "en", "a", 1)]
     rows += [(7, "said twice by one id", "en", None, 1)] * 3 + [(8, "SAID two ways by one id", "en", "a", 1), (8, "said two ways by one id", None, "a", 1)]

@@ -40,6 +40,8 @@ MISS = 1e-5
 COUNTERS, PIECES = 1 << 20, 256
 #: Bits of a filter of members for each of them, most bits of all, and most members; more are joined instead.
 MEMBER_BITS, FILTER_BITS, FILTER_MEMBERS = 32, 1 << 27, 1 << 24
+#: Most rows of ids, 24 bytes each, that are sent to every task.
+SENT_ROWS = 1 << 18
 #: Members of a posting list, and shingles of a component, in one block.
 BLOCK, BLOCK_SHINGLES = 1_024, 1_000_000
 #: Most words that a worker remembers.
@@ -420,20 +422,23 @@ def one_of_each(docs: DataFrame, percent: int, doc_id: str = "doc_id", text: str
     odd = places.where(~first | (F.col("times") > 1)).select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), first.alias("__one"))
     odd = stored(odd, work_dir(docs.sparkSession, "odd-rows"))
     key = ["__id", "__mark"]
+    if odd.count() <= SENT_ROWS:
+        met = marked.join(F.broadcast(odd), key, "left")
+        return met.where("__one IS NULL").select(columns).union(met.where("__one").dropDuplicates(key).select(columns))
     hashed = F.xxhash64(*key)
     bits = member_filter(odd.select(hashed.alias("hash")))
-    if bits is None:
-        met = marked.join(odd, key, "left")
-        rest = met.where("__one IS NULL")
-    else:  # texts that the filter does not hold stay where they are; the others alone are shuffled
+    rest, some = None, marked
+    if bits is not None:  # texts that the filter does not hold stay where they are; the others alone are shuffled, once
 
         def start():
             return lambda hashes: [pa.array(bits.value.may_hold(hashes))], lambda: None
 
         told = map_batches(marked.withColumn("__hash", hashed), ["__hash"], {"__maybe": T.BooleanType()}, start)
-        met = told.where("__maybe").join(odd, key, "left")
-        rest = told.where("NOT __maybe").select(columns).union(met.where("__one IS NULL").select(columns))
-    return rest.select(columns).union(met.where("__one").dropDuplicates(key).select(columns))
+        rest, some = told.where("NOT __maybe").select(columns), told.where("__maybe").drop("__hash", "__maybe")
+    met = some.join(odd, key, "left").where("__one IS NULL OR __one")
+    met = stored(met, work_dir(docs.sparkSession, "met-rows"))
+    kept = met.where("__one IS NULL").select(columns).union(met.where("__one").dropDuplicates(key).select(columns))
+    return kept if rest is None else rest.union(kept)
 
 
 def _placed(rows: DataFrame, words: int, percent: int) -> DataFrame:
