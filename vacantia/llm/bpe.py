@@ -43,9 +43,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Codec:
     """One vocabulary in one worker."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = MEMO):
         import regex
 
+        self.memo = memo
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
         self.tokens = [None] * (max(ranks.values()) + 1)
@@ -71,6 +72,7 @@ class Codec:
         for memo in (self.fits, self.pieces):
             memo.clear()
             memo.old = {}
+        pa.default_memory_pool().release_unused()
 
     def stays(self, left: bytes, right: bytes) -> bool:
         """Whether the merges of these bytes, lowest rank first, end at the border of the two and nowhere else."""
@@ -148,7 +150,7 @@ class _Memo(dict):
         answer = self.old.get(key)
         if answer is None:
             answer = self.work_out(key)
-        if len(self) >= MEMO:
+        if len(self) >= self.codec.memo:
             self.old = dict(self)
             self.clear()
         self[key] = answer
@@ -174,27 +176,28 @@ class _Fits(_Memo):
         return self.codec.stays(b"" if key >= BEGIN else tokens[left], tokens[right])
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, memo: int = MEMO) -> Codec:
     """The codec of a rank file, built once in a worker."""
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = Codec(read_ranks(path), pattern)
-    return _CODECS[path, pattern]
+    if (path, pattern, memo) not in _CODECS:
+        _CODECS[path, pattern, memo] = Codec(read_ranks(path), pattern, memo)
+    return _CODECS[path, pattern, memo]
 
 
 def encode(
     df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None,
-    keep: list[str] | None = None,
+    keep: list[str] | None = None, memo: int = MEMO,
 ) -> DataFrame:
     """Add ``ids``: the tokens of the whole text as packed little-endian unsigned 32-bit integers.
 
     ``decoded`` names one more column, for the bytes that these ids decode to, made in the same pass;
     ``keep`` names the columns to keep, all by default. A null text counts as empty and gives no bytes;
     texts of any length are encoded whole; repeated rows give equal ids; an empty table stays empty.
-    Columns of the new names are replaced. ``path`` is a rank file that every executor can open.
+    Columns of the new names are replaced. ``path`` is a rank file that every executor can open. ``memo`` bounds
+    what a worker remembers; it costs time and changes no result.
     """
 
     def start():
-        own = codec(path, pattern)
+        own = codec(path, pattern, memo)
 
         def work(texts):
             columns = [[own.encode(t.as_py() or "") for t in texts]]
