@@ -16,6 +16,8 @@ from vacantia.session import work_dir
 
 #: Percent of common shingles that makes near-duplicates here.
 NEAR = 80
+#: Pieces and pairs that a worker remembers, which it does beside what the other stages hold.
+MEMO = 50_000
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -50,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @with_package
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, packed, and whether they decode to exactly its bytes."""
-    both = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded="decoded")
+    both = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded="decoded", memo=MEMO)
     exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return both.select("doc_id", "lang", "source", bpe.token_count().alias("n_tokens"), "ids", exact.alias("exact"))
 
