@@ -198,11 +198,10 @@ def ingest_batch(
         known = F.col("skip") == "skipped_seen"
         copies = F.when(known, F.col("copies") - F.col("waited")).otherwise(F.col("copies"))
         claimed = claimed.withColumn("copies", copies).filter(F.col("copies") > 0).drop("waited")
-    staged = f"{store}/claims/{folder}"
-    _replace(claimed, staged)  # lists are read, parsed and claimed here and never again
-    claimed = spark.read.schema(claimed.schema).parquet(staged)
-    joined = claimed
+    joined, staged = claimed, f"{store}/claims/{folder}"
     if plan.details is not None:
+        _replace(claimed, staged)  # lists are read, parsed and claimed here and never again
+        claimed = spark.read.schema(claimed.schema).parquet(staged)
         pages = pages_of(landed, source, "detail").filter(F.col("list_id").isNotNull())
         pages = pages.unionByName(waiting_pages(spark, store, source, run, batch_id))
         joined = common.attach_details(claimed, plan.details(pages_in_question(pages, claimed)))
@@ -216,7 +215,7 @@ def ingest_batch(
     _replace(outcomes(records).drop("source").coalesce(1), f"{tally_path(store)}/{folder}")
     if plan.details is not None:
         _keep_waiting(claimed, pages, records, store, source, run, batch_id)
-    files.remove(spark, staged)
+        files.remove(spark, staged)
 
 
 def pages_in_question(pages: DataFrame, claimed: DataFrame) -> DataFrame:
