@@ -5,6 +5,7 @@ import string
 import numpy as np
 import pytest
 
+from vacantia.llm import components as stars_and_rounds
 from vacantia.llm import minhash, registry
 from vacantia.llm.components import components
 
@@ -109,8 +110,10 @@ def test_signatures_estimate_likeness():
     assert abs(np.mean(agree) - np.mean(exact)) < 0.02
 
 
+@pytest.mark.parametrize("held", [stars_and_rounds.TASK_LINKS, 100, 7])  # in one task, and in rounds over all
 @pytest.mark.parametrize("nodes, links", [(400, 300), (300, 600), (50, 0)])
-def test_components_of_random_links(spark, nodes, links):
+def test_components_of_random_links(spark, monkeypatch, nodes, links, held):
+    monkeypatch.setattr(stars_and_rounds, "TASK_LINKS", held)
     draw, found = random.Random(nodes), Union()
     rows = [(draw.randrange(nodes), draw.randrange(nodes)) for _ in range(links)]
     rows += [(i, i + 1) for i in range(1_000, 1_090)] + [(2_000, i) for i in range(2_001, 2_400)] + [(7, None)]
@@ -121,3 +124,18 @@ def test_components_of_random_links(spark, nodes, links):
     want = {x: found.root(x) for x in list(found) if found.root(x) != x}
     assert {r.node: r.root for r in components(df).collect()} == want
     assert components(df.where("false")).count() == 0
+    names = df.selectExpr("concat('é', hex(a)) AS a", "concat('é', hex(b)) AS b")
+    by_name = Union()
+    for x, root in want.items():
+        by_name.join(f"é{x:X}", f"é{root:X}")
+    assert {r.node: r.root for r in components(names).collect()} == {n: by_name.root(n) for n in list(by_name) if by_name.root(n) != n}
+
+
+def test_components_with_batches_of_a_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(stars_and_rounds, "TASK_LINKS", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 8)
+    try:
+        df = spark.range(0, 300, 1, 3).selectExpr("id AS a", "id + 1 AS b")
+        assert {(r.node, r.root) for r in components(df.union(df)).collect()} == {(i, 0) for i in range(1, 301)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -9,7 +9,7 @@
    comes from counts over the whole corpus in a table of fixed size; any order gives the same pairs.
 3. Each posting list of at least two nodes counts the coordinates in which its members agree. Long lists are cut
    into blocks, and each pair of blocks is a group of its own. A group returns no pairs, but a forest
-   that holds together what agrees; so a group of n near copies costs n - 1 rows.
+   that holds together what agrees, and a task the stars of its forests; so a group of n near copies costs n - 1 rows.
 4. The components of the forests hold every link. Full sets are computed again for their members only,
    and each component is searched for links by counting common shingles in its inverted lists; again
    large ones are cut into blocks, and again a forest comes out, now of confirmed links.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vacantia.llm.components import components
+from vacantia.llm.components import components, stars
 from vacantia.llm.registry import map_batches, stored
 from vacantia.session import work_dir
 
@@ -44,6 +44,8 @@ MEMBER_BITS, FILTER_BITS, FILTER_MEMBERS = 32, 1 << 27, 1 << 24
 SENT_ROWS = 1 << 18
 #: Members of a posting list, and shingles of a component, in one block.
 BLOCK, BLOCK_SHINGLES = 1_024, 1_000_000
+#: Pairs of a task that are put together as stars.
+HELD_PAIRS = 50_000
 #: Most words that a worker remembers.
 MEMO = 150_000
 
@@ -263,18 +265,19 @@ def _candidates(nodes: DataFrame, percent: int, folder: str) -> DataFrame:
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def collide(batches):
-        pairs = set()
+        pairs = []
         for parts in _by_group(batches, 3):
             group = pa.Table.from_batches(parts)
             if group.num_rows < 2:
                 continue
             own = group["node"].to_pylist()
             tags = np.frombuffer(b"".join(group["tag"].to_pylist()), np.uint8).reshape(-1, COORDS)
-            pairs.update((own[i], own[j]) for i, j in _agreeing(tags, group["size"].to_numpy(), percent))
-            if len(pairs) >= 50_000:
-                yield _batch(schema, zip(*pairs))
-                pairs = set()
-        yield _batch(schema, zip(*pairs) if pairs else ([], []))
+            pairs += ((own[i], own[j]) for i, j in _agreeing(tags, group["size"].to_numpy(), percent))
+            if len(pairs) >= HELD_PAIRS:  # what many values say of the same nodes leaves the task once
+                yield _batch(schema, stars(*(pa.array(side, pa.binary()) for side in zip(*pairs))))
+                pairs = []
+        if pairs:
+            yield _batch(schema, stars(*(pa.array(side, pa.binary()) for side in zip(*pairs))))
 
     keys = ["value", "one", "two"]
     rows = rows.select(*keys, "node", "size", "tag").repartition(*keys).sortWithinPartitions(*keys, "node")
