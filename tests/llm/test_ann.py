@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from compare import connect, spark_rows, sql_rows
@@ -37,6 +39,22 @@ def test_small_integers_with_ties_copies_and_several_bands(spark, monkeypatch):
     assert got(ann.nearest(df, asked, k=5)) == brute(rows, queries, 5)
 
 
+def test_bands_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CANDIDATE_BYTES", 40 * 8 * 64)
+    monkeypatch.setattr(ann, "QUERY_BYTES", 10 * 8 * 64)
+    draw = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in draw.integers(-9, 10, 64)]) for i in range(400)]
+    rows += [(1_000 + i, [float(x) for x in draw.integers(-9, 10, 3)]) for i in range(40)]
+    rows = [(i, v) for i, v in rows if any(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = df.where("vec_id % 4 = 0")
+    found = ann.nearest(df, asked, k=3)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    held = [int(n) for n in re.findall(r"sequence\(0, (\d+),", plan)]
+    assert sorted(held) == sorted([-(-asked.count() // 10) - 1, -(-len(rows) // 40) - 1])
+    assert got(found) == brute(rows, [r for r in rows if r[0] % 4 == 0], 3)
+
+
 def test_rows_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Most rows, about, in a band: what one task holds.
+#: Most bytes, about, of the double vectors of a band, and most rows: what one task holds.
+CANDIDATE_BYTES, QUERY_BYTES = 1 << 27, 1 << 24
 CANDIDATE_BAND, QUERY_BAND = 262_144, 32_768
 #: Fewest rows worth a band of their own, and how many bands small tables are cut into at most.
 SMALL_BAND, SPREAD = 4_096, 24
@@ -40,6 +41,12 @@ def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
 
 
+def _extent(rows: DataFrame) -> tuple[int, int]:
+    """How many rows, and the length of the longest vector; 1 if there are none."""
+    n, dim = rows.agg(F.count("*"), F.max(F.size("vec"))).first()
+    return n, dim or 1
+
+
 def nearest(
     candidates: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -51,9 +58,12 @@ def nearest(
     one with the smallest vector counts, in order of its components. Other columns are ignored.
     """
     base, asked = usable(candidates, vec_id, vector), usable(queries, vec_id, vector)
-    n_base, n_asked = candidates.count(), queries.count()
-    base_bands = max(-(-n_base // CANDIDATE_BAND), min(SPREAD, -(-n_base // SMALL_BAND)), 1)
-    asked_bands = max(-(-n_asked // QUERY_BAND), 1)
+    n_base, base_dim = _extent(base)
+    n_asked, asked_dim = _extent(asked)
+    base_rows = max(1, min(CANDIDATE_BAND, CANDIDATE_BYTES // (8 * base_dim)))
+    asked_rows = max(1, min(QUERY_BAND, QUERY_BYTES // (8 * asked_dim)))
+    base_bands = max(-(-n_base // base_rows), min(SPREAD, -(-n_base // SMALL_BAND)), 1)
+    asked_bands = max(-(-n_asked // asked_rows), 1)
     band = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = base.select("id", "vec", F.size("vec").alias("dim"), band(base_bands).alias("c"), every(asked_bands).alias("q"))
