@@ -1,7 +1,10 @@
 import glob
 import gzip
 import hashlib
+import io
+import random
 
+import pytest
 from compare import connect, spark_rows, sql_rows
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from vacantia.llm import registry, warc
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "page_id long, url string, html string"
+draw = random.Random(4)
 
 
 def round_trip(spark, df, folder):
@@ -70,6 +74,28 @@ def test_lookup_over_many_blocks_and_one_hot_address(spark, tmp_path):
     assert sorted(r.page_id for r in found) == want
 
 
+def test_archives_are_read_as_streams(monkeypatch):
+    records = [b"a" * n for n in (0, 1, 50, 3_000, 7)] + [bytes(draw.randrange(256) for _ in range(5_000))]
+    records += [b"ab" * 9_000_000, b"last"]  # the first of these ends in an empty member
+    data = b"".join(warc._member(r) + b"\0" for r in records)
+    for step in (1, 7, 26, 1 << 16):
+        monkeypatch.setattr(warc, "STEP", step)
+        found = list(warc._members(io.BytesIO(data)))
+        assert [r for _, _, r in found] == records
+        assert [o for o, _, _ in found][1:] == [o + n for o, n, _ in found][:-1]
+        assert sum(n for _, n, _ in found) == len(data)
+    with pytest.raises(ValueError):
+        list(warc._members(io.BytesIO(data[:-5])))
+
+
+def test_no_file_is_read_as_one_value(spark, tmp_path):
+    rows = [(i, f"http://h{i}.org/", f"page {i} " * 50) for i in range(40)]
+    warc.write_archives(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "a"))
+    captures = warc.scan(spark, str(tmp_path / "a"))
+    assert "content" not in captures._jdf.queryExecution().executedPlan().toString()
+    assert captures.count() == 40
+
+
 def test_empty_table_and_extra_columns(spark, tmp_path):
     df = spark.createDataFrame([], SCHEMA + ", digest string, size string")
     assert round_trip(spark, df, str(tmp_path)) == []

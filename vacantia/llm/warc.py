@@ -15,6 +15,7 @@ bisection, reads the blocks that can hold a key, and then reads byte ranges of t
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 import uuid
 import zlib
@@ -32,14 +33,16 @@ DIRECTORY = 65_536
 BLOCK = 256
 #: Characters of a key that the directory keeps.
 FENCE = 512
-#: Most records in one archive file, which bounds what one indexing task holds.
+#: Most records in one archive file; files are read as streams, so no task holds a whole one.
 FILE_RECORDS = 2_000
+#: Captures that indexing sends on at once.
+CAPTURES = 4_096
 #: Bytes read at once where ranges are neighbours.
 WINDOW = 4 << 20
 #: Smallest payload that may be replaced by a reference.
 REVISIT_BYTES = 100
 
-#: Bytes given to the decompressor at once.
+#: Bytes of a stream that are given to the decompressor at once.
 STEP = 1 << 16
 #: A gzip member without content.
 EMPTY = zlib.compressobj(6, zlib.DEFLATED, 31).flush()
@@ -156,20 +159,27 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
     )
 
 
-def _members(data):
-    """Offset, length and content of every record in the bytes of a file."""
-    at = 0
-    while at < len(data):
+def _members(stream):
+    """Offset, length and content of every record in a binary stream, of which one record is held at a time."""
+    at, rest = 0, stream.read(STEP)
+    while rest:
         begin, parts, unpacker = at, [], zlib.decompressobj(31)
-        while not unpacker.eof:
-            if at >= len(data):
+        while True:
+            if not rest:
                 raise ValueError("an archive ends within a record")
-            parts.append(unpacker.decompress(data[at : at + STEP]))
-            at += STEP
-        at = min(at, len(data)) - len(unpacker.unused_data)
-        if bytes(data[at : at + len(EMPTY)]) == EMPTY:
-            at += len(EMPTY)
+            parts.append(unpacker.decompress(rest))
+            at += len(rest)
+            if unpacker.eof:
+                break
+            rest = stream.read(STEP)
+        rest = unpacker.unused_data
+        at -= len(rest)
+        while len(rest) < len(EMPTY) and (more := stream.read(STEP)):
+            rest += more
+        if rest[: len(EMPTY)] == EMPTY:
+            at, rest = at + len(EMPTY), rest[len(EMPTY) :]
         yield begin, at - begin, b"".join(parts)
+        rest = rest or stream.read(STEP)
 
 
 def _parse(record: bytes) -> tuple[dict[str, str], bytes]:
@@ -185,25 +195,34 @@ def _number(text: str | None) -> int | None:
 
 
 def _files(spark, folder: str) -> DataFrame:
+    """Names of the files of a folder; their content is not read."""
     name = F.element_at(F.split("path", "/"), -1)
-    return spark.read.format("binaryFile").load(folder).where("length > 0").select(name.alias("file"), "content")
+    return spark.read.format("binaryFile").load(folder).where("length > 0").select(name.alias("file"))
 
 
 def scan(spark, folder: str) -> DataFrame:
-    """Captures of all archives: where each record lies, and its address."""
+    """Captures of all archives: where each record lies, and its address. A task holds one record of a file at a time."""
 
     def walk(batches):
+        ranges = _Ranges(folder)
         for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for file in batch.column(0).to_pylist():
                 rows = []
-                for offset, length, record in _members(memoryview(content.as_buffer())):
-                    fields, _ = _parse(record)
-                    uri = fields.get("WARC-Target-URI")
-                    rows.append((uri, _number(fields.get("X-Page-ID")), file, offset, length))
-                columns = zip(*rows) if rows else ([],) * 5
-                kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
-                names = ["url", "page_id", "file", "offset", "length"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+                with ranges.stream(file) as stream:
+                    for offset, length, record in _members(stream):
+                        fields, _ = _parse(record)
+                        uri = fields.get("WARC-Target-URI")
+                        rows.append((uri, _number(fields.get("X-Page-ID")), file, offset, length))
+                        if len(rows) == CAPTURES:
+                            yield table(rows)
+                            rows = []
+                yield table(rows)
+
+    def table(rows):
+        columns = zip(*rows) if rows else ([],) * 5
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+        names = ["url", "page_id", "file", "offset", "length"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     found = _files(spark, folder).mapInArrow(
         walk, "url string, page_id long, file string, offset long, length long"
@@ -239,12 +258,14 @@ def build_index(spark, archives: str, index: str) -> None:
     )
 
     def fences(batches):
+        ranges = _Ranges(f"{index}/blocks")
         for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows = [
-                    (lines[: lines.index(b"\t")].decode()[:FENCE], file, offset, length)
-                    for offset, length, lines in _members(memoryview(content.as_buffer()))
-                ]
+            for file in batch.column(0).to_pylist():
+                with ranges.stream(file) as stream:
+                    rows = [
+                        (lines[: lines.index(b"\t")].decode()[:FENCE], file, offset, length)
+                        for offset, length, lines in _members(stream)
+                    ]
                 kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
                 arrays = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["fence", "file", "offset", "length"])
@@ -265,6 +286,10 @@ class _Ranges:
         self.name = self.file = None
         self.begin, self.held = 0, b""
 
+    def stream(self, name: str):
+        """A whole file, to be read from its start."""
+        return self.fs.open_input_stream(f"{self.folder}/{name}", buffer_size=STEP)
+
     def read(self, name: str, offset: int, length: int) -> bytes:
         if name != self.name:
             if self.file:
@@ -302,7 +327,7 @@ def lookup(keys: DataFrame, index: str) -> DataFrame:
             rows = []
             for key, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if block != held:
-                    text = next(_members(memoryview(ranges.read(*place[block]))))[2]
+                    text = next(_members(io.BytesIO(ranges.read(*place[block]))))[2]
                     lines = [line.split(b"\t") for line in text.split(b"\n")]
                     held, keys_of = block, [line[0] for line in lines]
                 wanted = key.encode()
@@ -334,7 +359,7 @@ def read_records(captures: DataFrame, archives: str, payload: bool = True) -> Da
         for batch in batches:
             rows, held = [], 0
             for place in zip(*(c.to_pylist() for c in batch.columns)):
-                record = next(_members(memoryview(ranges.read(*place))))[2]
+                record = next(_members(io.BytesIO(ranges.read(*place))))[2]
                 fields, data = _parse(record)
                 size, digest = int(fields["X-Payload-Length"]), fields["WARC-Payload-Digest"].partition(":")[2]
                 if fields["WARC-Type"] == "response" and (len(data), hashlib.sha256(data).hexdigest()) != (size, digest):
