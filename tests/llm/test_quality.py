@@ -107,3 +107,25 @@ def test_the_cut_weighs_good_and_bad_labels():
     assert quality._cut(good, bad) == 2.0
     assert quality._cut(good, np.array([-1.0])) == 0.0
     assert quality._cut(good, np.arange(500.0, 900.0)) == 0.0
+
+
+def test_null_long_and_repeated_texts(spark):
+    draw = random.Random(11)
+    model = quality.Model(np.random.default_rng(11).normal(scale=1e-3, size=quality.BUCKETS))
+    texts = [" ".join(draw.choice("abcdefgh") * draw.randint(1, 9) for _ in range(30)) for _ in range(24)]
+    texts.sort(key=lambda t: model.weight(t))
+    long = " ".join(f"w{n % 997}" for n in range(200_000))
+    model.cut = model.weight(texts[-1])  # of the others none reaches it, so as many rows as it has copies are kept
+    rows = [(n, t) for n, t in enumerate(texts[:-1])] + [(50, texts[-1])] * 30 + [(60, None), (61, ""), (62, None), (70, long)]
+    found = quality.resample(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), model).collect()
+    assert len(found) == len(rows)
+    of = {r.doc_id: r for r in found}
+    for n in (60, 61, 62):
+        assert (of[n].weight, of[n].key, of[n].kept) == (None, None, False)
+    assert of[70].weight == pytest.approx(float(model.ratio[quality.ngrams(long)].sum()))
+    copies = [r for r in found if r.doc_id == 50]
+    assert len(copies) == 30 and len({(r.weight, r.key, r.kept) for r in copies}) == 1
+    enough = 30 + (model.weight(long) >= model.cut)
+    keys = sorted((r.key for r in found if r.key is not None), reverse=True)
+    assert all(r.kept == (r.key >= keys[enough - 1]) for r in found if r.key is not None)
+    assert copies[0].key == keys[enough - 1] and sum(r.kept for r in found) > enough  # equal keys at the border stay together
