@@ -1,10 +1,13 @@
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from vacantia.functions import html as H
 from vacantia.operators.html_nodes import html_nodes
+from vacantia.session import SETTINGS
+from workload.registry import _bounded
 
 
 def tree(page):
@@ -167,3 +170,35 @@ def test_cards_take_linear_time(spark):
 
     small = min(seconds(2_000) for _ in range(3))
     assert seconds(8_000) < 10 * small + 2
+
+
+def test_a_batch_goes_on_in_bounded_pieces():
+    page = "<p>a</p>" * 1_000
+    pieces = list(H._parse_batch(pa.array([page, None, *[page] * 40, "", page])))
+    assert [len(p) for p in pieces[:2]] == [6, 5] and sum(len(p) for p in pieces) == 44
+    assert max(len(p.flatten()) for p in pieces) < H.CHUNK + 2_000
+    assert pieces[0][1].as_py() == [] and len(pieces[-1][-1].as_py()) == 2_000
+    long = "x" * (H.CHUNK_CHARS // 2)
+    assert [len(p) for p in H._parse_batch(pa.array([long] * 5))] == [2, 2, 1]
+    assert not list(H._parse_batch(pa.array([], pa.string())))
+
+
+def test_pieces_meet_their_rows_in_spark(spark, monkeypatch):
+    monkeypatch.setattr(H, "CHUNK", 7)
+    rows = [(i, None if i % 5 == 0 else f"<b>{i}</b>" * (i % 4)) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, body string").coalesce(1)
+    made = df.select("k", "body", H.nodes(F.col("body")).alias("nodes"))
+    texts = made.select("k", "body", F.size("nodes").alias("n"), H.visible_text(F.col("nodes")).alias("t"))
+    assert [tuple(r) for r in texts.orderBy("k").collect()] == [
+        (k, b, 0 if not b else 2 * (k % 4), str(k) * (k % 4) if b else "") for k, b in rows]
+
+
+def test_queries_bound_batches_in_any_session(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64m")
+    try:
+        _bounded(lambda session: session)(spark)
+        assert spark.conf.get(key) == SETTINGS[key] == "4m"
+    finally:
+        spark.conf.set(key, before)

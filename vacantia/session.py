@@ -12,7 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 

@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
+import functools
+
+from vacantia.session import SETTINGS
+
 QUERIES = {}
 SQL = {}
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _bounded(fn):
+    """Batches on their way to Python as the engine wants them, also in a session that it has not built."""
+
+    @functools.wraps(fn)
+    def run(spark, *rest):
+        spark.conf.set(ARROW_BYTES, SETTINGS[ARROW_BYTES])
+        return fn(spark, *rest)
+
+    return run
+
+
 def query(sql: str | None = None):
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        QUERIES[fn.__name__] = _bounded(fn)
         if sql is not None:
             SQL[fn.__name__] = sql
         return fn
