@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vacantia.functions import html as H
 from vacantia.operators.html_nodes import html_nodes
+from vacantia.operators.listings import explode_listings
 from vacantia.session import SETTINGS
 from workload.registry import _bounded
 
@@ -202,3 +203,14 @@ def test_queries_bound_batches_in_any_session(spark):
         assert spark.conf.get(key) == SETTINGS[key] == "4m"
     finally:
         spark.conf.set(key, before)
+
+
+def test_pages_are_parsed_once_whatever_is_made_of_them(spark):
+    pages = spark.createDataFrame([(1, "<li>a</li><h1>b</h1>"), (2, "c"), (3, None)], "list_id int, body string")
+    page = pages.select("list_id", H.nodes(F.col("body")).alias("nodes"))
+    lists = F.array(*(
+        F.struct(F.lit(tag).alias("type"), H.tag_texts(F.col("nodes"), tag).alias("elements")) for tag in ("li", "h1")))
+    long = explode_listings(page.withColumn("listings", lists), ("list_id",))
+    assert sorted((r.list_id, r.type, r.element) for r in long.collect()) == [(1, "h1", "b"), (1, "li", "a")]
+    for made in (long, html_nodes(pages)):
+        assert made._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
