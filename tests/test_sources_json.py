@@ -5,6 +5,7 @@ import datetime
 from payloads import AT, LATER, detail, landed, page, rows_by
 
 import vacantia as v
+from vacantia.plans import apple
 from vacantia.plans.companies import typed_companies
 from vacantia.schemas import COMPANY_COLUMNS
 
@@ -148,6 +149,21 @@ def apple_detail(job_id, drop=(), **info):
                                     "reqTextFields": FIELDS})
 
 
+def test_apple_values_are_computed_once(spark):
+    raw = landed(spark, [apple_list(requisition(11)), apple_detail("11"), apple_detail("12", reqOpenDt="soon")])
+    pages = apple.details(raw.repartition(2))
+    assert {r.claim: (r.day, r.detail_problem) for r in pages.collect()} == {
+        "11": (DAY, None), "12": (None, "reqOpenDt is not a date")}
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        shown = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+        assert shown(pages).count("gettimestamp(") == 1
+        # Of each of two fields: no second look at the record's nodes for the end of the element.
+        assert shown(apple.list_records(raw.repartition(2)).select("item")).count("= jobid") == 1
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
 def test_apple_posting(spark):
     raw = landed(spark, [apple_list(requisition(11)), apple_detail("11")])
     accepted, rejected = v.normalise_apple(raw)

@@ -23,8 +23,7 @@ def list_records(raw: DataFrame) -> DataFrame:
     """Records of the XML lists, read as tolerantly as HTML: a bare ``&`` or a cut page costs nothing else."""
     pages = pages_of(raw, SOURCE).withColumn("nodes", H.nodes(F.col("body")))
     nodes = F.col("nodes")
-    first = lambda found: H.text_below(nodes, F.get(found, 0))
-    field = lambda r, tag: first(F.filter(H.below(nodes, r), H.tagged(tag)))
+    field = lambda r, tag: H.text_of_first(nodes, F.filter(H.below(nodes, r), H.tagged(tag)))
     entries = F.transform(
         H.select(nodes, H.tagged(RECORD)),
         lambda r: F.struct(*(field(r, tag).alias(tag) for tag in RECORD_FIELDS)),
@@ -33,7 +32,7 @@ def list_records(raw: DataFrame) -> DataFrame:
     problem = (
         F.when(F.coalesce(F.forall(nodes, H.is_text), F.lit(True)), F.lit("body is not XML"))
         .when(F.size(counts) == 0, F.lit("count is missing"))
-        .when(F.trim(first(counts)).try_cast("bigint").isNull(), F.lit("count is not a number"))
+        .when(F.trim(H.text_of_first(nodes, counts)).try_cast("bigint").isNull(), F.lit("count is not a number"))
     )
     items = array_items(pages, entries, problem)
     key = F.when(F.col("item.jobid") != "", F.col("item.jobid"))
@@ -43,15 +42,28 @@ def list_records(raw: DataFrame) -> DataFrame:
     )
 
 
-def sections(doc: Column, *at: str) -> Column:
-    """Text sections under known keys, by key; sections of any other kind are left out."""
+def section_texts(doc: Column, *at: str) -> Column:
+    """Texts under known keys, by key, NULL where there is anything but text."""
     made = []
     for key, label in sorted(fixed.APPLE_SECTIONS):
-        v = J.member(doc, *at, key)
         text = F.try_variant_get(doc, J.path_of(*at, key), "string")
-        section = F.struct(F.lit(label).alias("type"), X.split_lines(X.strip(text)).alias("elements"))
-        made.append(F.when(J.is_text(v), section))
-    return F.array_compact(F.array(*made)).cast(schemas.LISTINGS)
+        shown = F.when(J.is_text(J.member(doc, *at, key)), text)
+        made.append(F.struct(F.lit(label).alias("type"), shown.alias("text")))
+    return F.array(*made)
+
+
+def sections_of(texts: Column) -> Column:
+    """Sections of :func:`section_texts`; those without text are left out."""
+    found = F.filter(texts, lambda s: s["text"].isNotNull())
+    made = F.transform(
+        found, lambda s: F.struct(s["type"].alias("type"), X.split_lines(X.strip(s["text"])).alias("elements"))
+    )
+    return made.cast(schemas.LISTINGS)
+
+
+def sections(doc: Column, *at: str) -> Column:
+    """Text sections under known keys, by key; sections of any other kind are left out."""
+    return sections_of(section_texts(doc, *at))
 
 
 def details(raw: DataFrame) -> DataFrame:
@@ -66,7 +78,10 @@ def details(raw: DataFrame) -> DataFrame:
     place = J.text_field(doc, "requisitionInfo", "locationName")
     state = J.text_field(doc, "requisitionInfo", "stateAbbr")
     opened = J.text_field(doc, "requisitionInfo", "reqOpenDt")
-    day, day_problem = J.date_field(opened, day_month_date, "reqOpenDt")
+    # What is used more than once, or within a function over an array, is a column first: it is computed once, in
+    # compiled code.
+    pages = pages.withColumns({"day": day_month_date(opened.value), "texts": section_texts(doc, "reqTextFields")})
+    day, day_problem = J.date_field(opened, lambda _: F.col("day"), "reqOpenDt")
     comments = J.text_field(doc, "jobComments")
     zero = ~J.is_text(form) & (form_id.try_cast("double") == 0)
     problem = F.coalesce(
@@ -86,14 +101,14 @@ def details(raw: DataFrame) -> DataFrame:
         F.when(fields.isNotNull() & ~J.is_object(fields), F.lit("reqTextFields is not an object")),
     )
     return pages.select(
-        "*",
+        *(c for c in pages.columns if c not in ("day", "texts")),
         problem.alias("detail_problem"),
         form_id.alias("job_id"),
         X.strip(title.value).alias("title"),
         X.strip(X.place_with_state(place.value, state.value)).alias("place"),
         day.alias("day"),
         X.strip(comments.value).alias("comments"),
-        sections(doc, "reqTextFields").alias("listings"),
+        sections_of(F.col("texts")).alias("listings"),
     ).withColumn("body", F.when(F.col("detail_problem").isNotNull(), F.col("body"))).drop("doc")
 
 
