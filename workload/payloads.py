@@ -150,8 +150,10 @@ def apple(spark, sf):
         stateAbbr=F.when(F.col(k) % 2 == 0, F.lit("NY")),
         reqOpenDt=every(k, 23, F.lit("soon"), F.date_format("o_orderdate", "dd-MMM-yyyy")),
     )
+    # No body is NULL; without a word on it, the plan's filter on bodies would make each before it is dealt out and again.
+    made = [F.coalesce(c, F.lit("")) for c in (info, fields)]
     body = F.concat(
-        F.lit('{"requisitionInfo":'), info, F.lit(',"jobComments":" c","reqTextFields":'), fields,
+        F.lit('{"requisitionInfo":'), made[0], F.lit(',"jobComments":" c","reqTextFields":'), made[1],
         F.lit("}"),
     )
     arrived = spread(orders.filter(F.col(k) % 41 != 0))
