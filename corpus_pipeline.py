@@ -52,9 +52,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @with_package
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, packed, and whether they decode to exactly its bytes."""
-    both = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded="decoded", memo=MEMO)
-    exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return both.select("doc_id", "lang", "source", bpe.token_count().alias("n_tokens"), "ids", exact.alias("exact"))
+    own = ["doc_id", "lang", "source"]  # texts and decoded bytes, thrice the ids, stay in the worker
+    found = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, keep=own, memo=MEMO, exact="exact")
+    return found.select(*own, bpe.token_count().alias("n_tokens"), "ids", "exact")
 
 
 STAGES = [

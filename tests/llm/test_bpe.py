@@ -71,3 +71,13 @@ def test_nulls_empty_repeated_rows_and_clashing_columns(spark):
     assert [len(r.ids) for r in out] == [0, 0, 8, 8, 4]
     assert out[0].asDict().keys() == {"doc_id", "text", "ids", "decoded"}
     assert bpe.encode(df.where("false"), PATH, PATTERN).count() == 0
+
+
+def test_exact_is_what_comparing_the_decoded_bytes_says(spark):
+    texts = ["one two", "", None, "naïve  \n🎉 12345", "one two", "x" * 5_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded", exact="exact")
+    assert out.columns == ["doc_id", "text", "ids", "decoded", "exact"]
+    for row in out.collect():
+        assert row.exact is (bytes(row.decoded) == (row.text or "").encode()) is True

@@ -50,6 +50,17 @@ def test_excess_is_shared_until_none_is_above():
         assert given == pytest.approx(plain_targets(sizes, weights), rel=1e-6, abs=1e-3)
 
 
+def test_what_the_driver_holds_needs_no_python_workers(spark):
+    rows = [("a", 3), ("b", 5), (None, 2), ("ü", 0)]
+    docs = spark.createDataFrame([(s, n) for s, n in rows], "source string, size long")
+    for sizes in (docs, docs.limit(0)):
+        plan, few = mixing._plan(sizes, [5, 2, 1], 3.0)
+        shown = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert few and "RDD" not in shown and "LocalRelation" in shown
+        assert plan.dtypes[:3] == [("source", "string"), ("target", "double"), ("source_size", "bigint")]
+        assert {(r.source, r.source_size) for r in plan.collect()} == {tuple(r) for r in sizes.collect()}
+
+
 def test_hot_source_heavier_weights_come_more_often(spark):
     rows = [(i, "w " * (i % 9 + 1), "a" if i % 3 else "b", 4.0 if i % 2 else 1.0) for i in range(6_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, w double").repartition(6)

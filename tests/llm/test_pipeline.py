@@ -1,3 +1,4 @@
+import re
 import struct
 
 import public_tokenizers
@@ -5,7 +6,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from vacantia.llm import bpe, minhash, mixing, pii, quality
+from vacantia.llm import bpe, minhash, mixing, pii, quality, registry
 
 from .test_minhash import Union, brute, shingle_set
 
@@ -86,6 +87,32 @@ def test_tokens_are_those_of_a_public_encoder(kept):
         assert bytes(row.ids) == struct.pack(f"<{row.n_tokens}I", *texts[row.doc_id])
 
 
+def test_tokens_send_back_neither_texts_nor_decoded_bytes(spark):
+    docs = spark.createDataFrame([(1, "one two", "en", "a", 7)], "doc_id long, text string, lang string, source string, n_chars long")
+    plan = corpus_pipeline.encode_tokens(spark, docs, SF)._jdf.queryExecution().optimizedPlan().toString()
+    made = re.search(r"MapInArrow .*?, \[(.*?)\]", plan)[1]
+    assert re.findall(r"(\w+)#", made) == ["doc_id", "lang", "source", "ids", "exact"]
+
+
+def test_workers_give_back_freed_batches_at_the_end_of_every_task(spark, monkeypatch):
+    released, frame, tasks = [], type(spark.range(0)), []
+    plain = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, run, *rest: (tasks.append(run.__qualname__), plain(self, run, *rest))[1])
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF)
+    assert len(tasks) > 9 and {t.split(".")[0] for t in tasks} == {"releasing"}
+
+    class Pool:
+        def release_unused(self):
+            released.append(True)
+
+    monkeypatch.setattr(registry.pa, "default_memory_pool", Pool)
+    task = registry.releasing(lambda batches: (2 * b for b in batches))([1, 2])
+    assert [next(task), next(task)] == [2, 4] and not released
+    assert list(task) == [] and released == [True]
+
+
 def test_run_gives_the_rows_of_the_stages(spark, kept):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, kept["tokens"][1]))

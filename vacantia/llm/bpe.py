@@ -72,7 +72,6 @@ class Codec:
         for memo in (self.fits, self.pieces):
             memo.clear()
             memo.old = {}
-        pa.default_memory_pool().release_unused()
 
     def stays(self, left: bytes, right: bytes) -> bool:
         """Whether the merges of these bytes, lowest rank first, end at the border of the two and nowhere else."""
@@ -185,11 +184,12 @@ def codec(path: str, pattern: str, memo: int = MEMO) -> Codec:
 
 def encode(
     df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None,
-    keep: list[str] | None = None, memo: int = MEMO,
+    keep: list[str] | None = None, memo: int = MEMO, exact: str | None = None,
 ) -> DataFrame:
     """Add ``ids``: the tokens of the whole text as packed little-endian unsigned 32-bit integers.
 
-    ``decoded`` names one more column, for the bytes that these ids decode to, made in the same pass;
+    ``decoded`` names one more column, for the bytes that these ids decode to, made in the same pass, and ``exact``
+    one for whether these bytes are exactly those of the text, which spares sending both back to compare them;
     ``keep`` names the columns to keep, all by default. A null text counts as empty and gives no bytes;
     texts of any length are encoded whole; repeated rows give equal ids; an empty table stays empty.
     Columns of the new names are replaced. ``path`` is a rank file that every executor can open. ``memo`` bounds
@@ -200,15 +200,19 @@ def encode(
         own = codec(path, pattern, memo)
 
         def work(texts):
-            columns = [[own.encode(t.as_py() or "") for t in texts]]
+            packed = [own.encode(t.as_py() or "") for t in texts]
+            columns = [pa.array(packed, pa.binary())]
             if decoded is not None:
-                columns.append([own.decode(i) for i in columns[0]])
-            return [pa.array(c, pa.binary()) for c in columns]
+                columns.append(pa.array([own.decode(i) for i in packed], pa.binary()))
+            if exact is not None:
+                same = [own.decode(i) == (t.as_py() or "").encode("utf-8") for i, t in zip(packed, texts)]
+                columns.append(pa.array(same, pa.bool_()))
+            return columns
 
         return work, own.forget
 
-    names = [ids] if decoded is None else [ids, decoded]
-    return map_batches(df, [text], {n: T.BinaryType() for n in names}, start, keep)
+    outputs = {ids: T.BinaryType(), decoded: T.BinaryType(), exact: T.BooleanType()}
+    return map_batches(df, [text], {n: t for n, t in outputs.items() if n is not None}, start, keep)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str = "decoded") -> DataFrame:

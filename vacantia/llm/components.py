@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.llm.registry import stored
+from vacantia.llm.registry import releasing, stored
 from vacantia.session import work_dir
 
 #: Most links that a task holds at a time; 8 MB for nodes of 16 bytes.
@@ -82,7 +82,7 @@ def _merged(links: DataFrame) -> DataFrame:
         columns = (pa.concat_arrays([batch.column(i) for batch in held]) for i in (0, 1))
         return pa.RecordBatch.from_arrays(list(stars(*columns)), names=["a", "b"])
 
-    return links.mapInArrow(merge, links.schema)
+    return links.mapInArrow(releasing(merge), links.schema)
 
 
 def _state(links: DataFrame):

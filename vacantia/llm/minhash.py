@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vacantia.llm.components import components, stars
-from vacantia.llm.registry import map_batches, stored
+from vacantia.llm.registry import map_batches, releasing, stored
 from vacantia.session import work_dir
 
 WORDS = 5
@@ -135,7 +135,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
             yield _batch(schema, (batch.column(0), sizes, nodes, coords, batch.column(2)))
         _WORDS.clear()  # the worker outlives the task
 
-    return docs.mapInArrow(sketch, "id long, size long, node binary, coords binary, mark long")
+    return docs.mapInArrow(releasing(sketch), "id long, size long, node binary, coords binary, mark long")
 
 
 def _values(coords: pa.Array) -> np.ndarray:
@@ -170,7 +170,7 @@ def _frequencies(nodes: DataFrame) -> np.ndarray:
         arrays = [pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())]
         return pa.table(arrays, names=["piece", "counts"])
 
-    parts = nodes.select("coords").mapInArrow(count, "piece int, counts binary")
+    parts = nodes.select("coords").mapInArrow(releasing(count), "piece int, counts binary")
     sums = parts.groupBy("piece").applyInArrow(add, "piece int, counts binary")
     total = np.zeros((PIECES, width), np.int64)
     for row in sums.collect():  # PIECES rows of fixed length
@@ -193,7 +193,7 @@ def _postings(nodes: DataFrame, percent: int) -> DataFrame:
             kept = np.take_along_axis(values, order, axis=1).astype(np.int64)
             yield _batch(schema, (kept.ravel(), batch.column(0).take(pa.array(np.repeat(np.arange(len(kept)), prefix)))))
 
-    return nodes.select("node", "coords").mapInArrow(post, "value long, node binary")
+    return nodes.select("node", "coords").mapInArrow(releasing(post), "value long, node binary")
 
 
 def _in_blocks(rows: DataFrame, key: str, blocks) -> DataFrame:
@@ -281,7 +281,7 @@ def _candidates(nodes: DataFrame, percent: int, folder: str) -> DataFrame:
 
     keys = ["value", "one", "two"]
     rows = rows.select(*keys, "node", "size", "tag").repartition(*keys).sortWithinPartitions(*keys, "node")
-    return rows.mapInArrow(collide, "a binary, b binary")
+    return rows.mapInArrow(releasing(collide), "a binary, b binary")
 
 
 def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -355,7 +355,7 @@ def _confirmed(docs: DataFrame, groups: DataFrame, words: int, percent: int, fol
             yield _batch(schema, (ids, [_digest(s) if len(s) else None for s in sets], [s.tobytes() for s in sets]))
         _WORDS.clear()
 
-    sets = docs.withColumn("hash", F.xxhash64("id")).mapInArrow(again, "id long, node binary, shingles binary")
+    sets = docs.withColumn("hash", F.xxhash64("id")).mapInArrow(releasing(again), "id long, node binary, shingles binary")
     sets = sets.withColumnsRenamed({"id": "own_id", "node": "own"})
     sums = groups.groupBy(F.col("root").alias("of")).agg(F.sum("size").alias("shingles_of"), F.count("*").alias("members"))
     known = groups.join(sums, groups["root"] == sums["of"]).drop("of")
@@ -377,7 +377,7 @@ def _confirmed(docs: DataFrame, groups: DataFrame, words: int, percent: int, fol
 
     keys = ["root", "one", "two"]
     rows = rows.select(*keys, "node", "shingles").repartition(*keys).sortWithinPartitions(*keys, "node")
-    return rows.mapInArrow(search, "a binary, b binary")
+    return rows.mapInArrow(releasing(search), "a binary, b binary")
 
 
 def near_duplicates(
@@ -483,5 +483,5 @@ def _tagged(classes: DataFrame) -> DataFrame:
             yield _batch(schema, (*batch.columns, tags))
 
     return classes.select("node", "id", "size", "coords").mapInArrow(
-        tag, "node binary, id long, size long, coords binary, tag binary"
+        releasing(tag), "node binary, id long, size long, coords binary, tag binary"
     )

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,17 +64,24 @@ class Shares:
         return given
 
 
+def _rows(spark, **columns) -> DataFrame:
+    """A table of columns, each with its type, that the driver holds. Made of Arrow it is part of the plan; a list of
+    rows would start Python workers of another kind on the executors, which stay beside those of the operators."""
+    return spark.createDataFrame(pa.table([pa.array(*c) for c in columns.values()], names=list(columns)))
+
+
 def _numbered(sources: DataFrame) -> DataFrame:
     """Sources with their place by code point, null last, however many there are: ranges are counted, then numbered."""
     spark, last = sources.sparkSession, F.col("source").isNull()
     dealt = sources.repartitionByRange(last, "source").withColumn("__range", F.spark_partition_id())
     dealt = stored(dealt, work_dir(spark, "sources"))
     counts = dealt.groupBy("__range").count().orderBy("__range").collect()  # one row a partition
-    rows, before = [], 0
+    befores, before = [], 0
     for row in counts:
-        rows.append((row["__range"], before))
+        befores.append(before)
         before += row["count"]
-    offsets = F.broadcast(spark.createDataFrame(rows, "__range int, before long"))
+    offsets = _rows(spark, __range=([row["__range"] for row in counts], pa.int32()), before=(befores, pa.int64()))
+    offsets = F.broadcast(offsets)
     place = F.row_number().over(Window.partitionBy("__range").orderBy(last, "source")) - 1
     return dealt.join(offsets, "__range").select("source", "size", (F.col("before") + place).alias("place"))
 
@@ -105,8 +113,8 @@ def _plan(docs: DataFrame, weights: list[float], most: float) -> tuple[DataFrame
         totals = sorted(sums.collect(), key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8", "surrogatepass")))
         sizes = [r["size"] for r in totals]
         shares = Shares([float(weights[i % len(weights)]) for i in range(len(sizes))], sizes, most).targets()
-        rows = [(r["source"], float(target), r["size"]) for r, target in zip(totals, shares)]
-        plan = spark.createDataFrame(rows, "source string, target double, source_size long")
+        names = [r["source"] for r in totals]
+        plan = _rows(spark, source=(names, pa.string()), target=(shares, pa.float64()), source_size=(sizes, pa.int64()))
     else:
         plan = _many_targets(sums, weights, most).select("source", "target", F.col("size").alias("source_size"))
     size = F.col("source_size")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vacantia.llm.registry import map_batches, stored
+from vacantia.llm.registry import map_batches, releasing, stored
 from vacantia.session import work_dir
 
 BUCKETS = 1 << 16
@@ -121,7 +121,7 @@ def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["kind", "counts"])
 
     # each task's counts are of fixed length; they are summed in a few groups first
-    parts = rows.select("text", "good").mapInArrow(count, "kind int, counts binary")
+    parts = rows.select("text", "good").mapInArrow(releasing(count), "kind int, counts binary")
     parts = parts.withColumn("kind", F.col("kind") + 2 * (F.spark_partition_id() % 16))
     sums = parts.groupBy("kind").applyInArrow(add, "kind int, counts binary").collect()  # at most 32 rows
     of = lambda k: sum((np.frombuffer(r["counts"], np.int64) for r in sums if r["kind"] % 2 == k), np.zeros(BUCKETS, np.int64))

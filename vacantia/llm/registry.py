@@ -69,6 +69,19 @@ def stored(df, folder: str):
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def releasing(run):
+    """``run``, a function for mapInArrow, that gives freed batches back to the system at the end of a task.
+
+    A worker outlives its task and goes on to other stages, and Arrow's pool keeps what was freed.
+    """
+
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def map_batches(df, inputs: list[str], outputs: dict[str, T.DataType], start, keep: list[str] | None = None):
     """Columns ``keep`` (all by default) and ``outputs``, which Python makes of Arrow arrays of ``inputs``.
 
@@ -89,4 +102,4 @@ def map_batches(df, inputs: list[str], outputs: dict[str, T.DataType], start, ke
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *made], names=names)
         end()
 
-    return df.select(*kept, *more).mapInArrow(run, T.StructType(fields))
+    return df.select(*kept, *more).mapInArrow(releasing(run), T.StructType(fields))
